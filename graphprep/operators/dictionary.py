@@ -29,14 +29,16 @@ def distinct_relations(triples: DataFrame) -> DataFrame:
 def dense_index(keys: DataFrame, key: str, partitions: int) -> DataFrame:
     """``(index, key, partition)`` with ``index`` dense from 0 in each partition. ``keys`` must be distinct.
 
-    Both readers below start from the same distinct keys, so their shuffle is run once and reused.
+    The numbering and the slice sizes both start from the same distinct keys, so the shuffle behind those is run once
+    and reused. For that the derived columns must not be nullable: null checks for the join would otherwise be pushed
+    below the distinct, into one of the two branches, and hash every row there.
     """
     if partitions < 1:
         raise ValueError("partitions must be positive")
-    hashed = keys.select(key, digest(F.col(key)).alias("_digest"))
+    hashed = keys.select(key, digest(F.coalesce(key, F.lit(""))).alias("_digest"))
     placed = hashed.select(
         key,
-        modulo(F.col("_digest"), partitions).alias("partition"),
+        F.coalesce(modulo(F.col("_digest"), partitions), F.lit(0)).alias("partition"),
         F.substring("_digest", 9, 2).alias("_slice"),
         F.substring("_digest", 9, 24).alias("_order"),
     )

@@ -20,8 +20,8 @@ def endpoints(triples: DataFrame) -> DataFrame:
 
 def triples_per_entity(triples: DataFrame) -> DataFrame:
     """Number of triples each entity takes part in; a self-loop counts once."""
-    ends = triples.select(F.explode(F.array_distinct(F.array("subj", "obj"))).alias("ent"))
-    return ends.groupBy("ent").count()
+    ends = F.when(F.col("subj") == F.col("obj"), F.array("subj")).otherwise(F.array("subj", "obj"))
+    return triples.select(F.explode(ends).alias("ent")).groupBy("ent").count()
 
 
 def triples_per_relation(triples: DataFrame) -> DataFrame:

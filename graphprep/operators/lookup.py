@@ -6,8 +6,8 @@ Two ways, chosen by a check of the lookup table's size:
 * beyond that both sides are shuffled, and the rows of each hot key are spread over ``SALTS`` reducers. The lookup side
   repeats only the rows of the hot keys, of which there are at most ``HOT_LIMIT``.
 
-Salts come from ``_row`` (a row's position in its file) when the table carries it: equal rows then part company as well,
-and a retried task draws the same salt again. Otherwise they come from a hash of the row.
+Salts come from the stored row number ``_row`` when the table carries it (see ``workspace.stage``): equal rows then part
+company as well, and a retried task draws the same salt again. Otherwise they come from a hash of the row.
 """
 
 from __future__ import annotations

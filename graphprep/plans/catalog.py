@@ -47,8 +47,17 @@ class Dataset(NamedTuple):
         return encode.encode_triples(self.train, self.entities, self.relations, self.hot)
 
 
+def stored_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(sample.triples(spark, sf_dir), "raw", row_ids=True)
+
+
+def stored_raw_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(sample.raw_graph(spark, sf_dir), "raw")
+
+
 def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    graph = sample.triples(spark, sf_dir, row_ids=True)
+    """As the import job does it: the graph is written once, then counted and filtered."""
+    graph = stored_graph(spark, sf_dir)
     return filters.filter_min_count(graph, hot=hot_keys(graph, "subj", "obj"))
 
 
@@ -147,7 +156,7 @@ def relation_min_count(spark, sf_dir):
 
 @query
 def relation_membership(spark, sf_dir):
-    graph = sample.triples(spark, sf_dir)
+    graph = stored_graph(spark, sf_dir).drop(ROW)
     return filters.keep_relations(graph, filters.frequent_relations(graph))
 
 
@@ -306,19 +315,19 @@ def relation_names(spark, sf_dir):
 @query
 def label_entity_names(spark, sf_dir):
     entities = dictionary.entity_dictionary(train(spark, sf_dir), PARTITIONS)
-    return names.label_entity_names(sample.raw_graph(spark, sf_dir), entities)
+    return names.label_entity_names(stored_raw_graph(spark, sf_dir), entities)
 
 
 @query
 def label_relation_names(spark, sf_dir):
     relations = dictionary.relation_dictionary(train(spark, sf_dir))
-    return names.label_relation_names(sample.raw_graph(spark, sf_dir), relations)
+    return names.label_relation_names(stored_raw_graph(spark, sf_dir), relations)
 
 
 @query
 def unique_names(spark, sf_dir):
     data = dataset(spark, sf_dir)
-    labelled = names.label_entity_names(sample.raw_graph(spark, sf_dir), data.entities)
+    labelled = names.label_entity_names(stored_raw_graph(spark, sf_dir), data.entities)
     return names.unique_names(names.entity_names(data.coded, data.entities).unionByName(labelled))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from graphprep.functions.text import RDFS_LABEL
 from graphprep.functions.vectors import COMPLEX, TRANSLATION
-from graphprep.workspace import ROW
 
 PARTITIONS = 4
 
@@ -29,28 +28,24 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def triples(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
+def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A multigraph with hubs, self-loops, rare entities and one rare relation."""
 
-    def edges(name: str, subj: Column, rel: Column, obj: Column) -> DataFrame:
-        extra = [F.col("_metadata.row_index").alias(ROW)] if row_ids else []
-        return table(spark, sf_dir, name).select(subj.alias("subj"), rel.alias("rel"), obj.alias("obj"), *extra)
+    def edges(rows: DataFrame, subj: Column, rel: Column, obj: Column) -> DataFrame:
+        return rows.select(subj.alias("subj"), rel.alias("rel"), obj.alias("obj"))
 
-    hub = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 3)
-    hub_row = [F.col("_metadata.row_index").alias(ROW)] if row_ids else []
+    lines, orders, customers, nations = (
+        table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "nation")
+    )
+    nation, region = _uri("nation", "n_nationkey"), _uri("region", "n_regionkey")
     return _union(
         [
-            edges("lineitem", _uri("order", "l_orderkey"), _uri("contains", "l_returnflag"), _uri("part", "l_partkey")),
-            edges("orders", _uri("order", "o_orderkey"), F.lit("/placed_by"), _uri("customer", "o_custkey")),
-            edges("customer", _uri("customer", "c_custkey"), F.lit("/in_nation"), _uri("nation", "c_nationkey")),
-            edges("nation", _uri("nation", "n_nationkey"), F.lit("/in_region"), _uri("region", "n_regionkey")),
-            edges("nation", _uri("nation", "n_nationkey"), F.lit("/self"), _uri("nation", "n_nationkey")),
-            hub.select(
-                _uri("nation", "n_nationkey").alias("subj"),
-                F.lit("/hub").alias("rel"),
-                _uri("region", "n_regionkey").alias("obj"),
-                *hub_row,
-            ),
+            edges(lines, _uri("order", "l_orderkey"), _uri("contains", "l_returnflag"), _uri("part", "l_partkey")),
+            edges(orders, _uri("order", "o_orderkey"), F.lit("/placed_by"), _uri("customer", "o_custkey")),
+            edges(customers, _uri("customer", "c_custkey"), F.lit("/in_nation"), _uri("nation", "c_nationkey")),
+            edges(nations, nation, F.lit("/in_region"), region),
+            edges(nations, nation, F.lit("/self"), nation),
+            edges(nations.where(F.col("n_nationkey") < 3), nation, F.lit("/hub"), region),
         ]
     )
 

@@ -8,16 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphprep import schemas
-from graphprep.workspace import with_row_ids
 
 
 def triples_from_rows(spark: SparkSession, rows: Iterable[tuple[str, str, str]]) -> DataFrame:
     return spark.createDataFrame(list(rows), schemas.TRIPLE)
 
 
-def read_triples(spark: SparkSession, path: str, row_ids: bool = False) -> DataFrame:
-    table = spark.read.schema(schemas.TRIPLE).parquet(path)
-    return with_row_ids(table) if row_ids else table
+def read_triples(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.TRIPLE).parquet(path)
 
 
 def read_entities(spark: SparkSession, path: str, partition: int | None = None) -> DataFrame:

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphprep.workspace import ROW
 
-
-def parse_triples(lines: DataFrame, mode: str = "failfast", row_ids: bool = False) -> DataFrame:
+def parse_triples(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     """``lines(value)`` to ``(subj, rel, obj)``: the first three tab-separated fields; later fields are ignored.
 
     Trailing empty fields do not count as fields. A line with fewer than three is an error, or is skipped with
@@ -23,10 +21,8 @@ def parse_triples(lines: DataFrame, mode: str = "failfast", row_ids: bool = Fals
         fields = fields.withColumn("fields", F.when(complete, F.col("fields")).otherwise(error))
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    triples = fields.select(*[F.get("fields", i).alias(name) for i, name in enumerate(("subj", "rel", "obj"))])
-    # Numbered right above the scan, where a retried task sees the same rows in the same order.
-    return triples.withColumn(ROW, F.monotonically_increasing_id()) if row_ids else triples
+    return fields.select(*[F.get("fields", i).alias(name) for i, name in enumerate(("subj", "rel", "obj"))])
 
 
-def read_triple_text(spark: SparkSession, path: str, mode: str = "failfast", row_ids: bool = False) -> DataFrame:
-    return parse_triples(spark.read.text(path), mode, row_ids)
+def read_triple_text(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
+    return parse_triples(spark.read.text(path), mode)

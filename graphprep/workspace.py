@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "_row"
+ROW_NUMBERS = 4096
 _own_root: str | None = None
 
 
@@ -40,21 +41,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/graphprep/{name}-{uuid.uuid4().hex}"
 
 
-def with_row_ids(table: DataFrame) -> DataFrame:
-    """Add each row's position in its Parquet file as ``_row``.
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), row_ids: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back.
 
-    It is the same on every retry, so it is a safe source of salts even among exact copies of one row.
+    ``row_ids`` stores a small running number as ``_row``. Read back from the file it is the same on every retry, so it
+    is a safe source of salts even among exact copies of one row.
     """
-    return table.select("*", F.col("_metadata.row_index").alias(ROW))
-
-
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), row_ids: bool = False) -> DataFrame:
-    """Write ``df`` once and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.drop(ROW).write
+    table = df.drop(ROW)
+    if row_ids:
+        table = table.withColumn(ROW, (F.monotonically_increasing_id() % ROW_NUMBERS).cast("smallint"))
+    writer = table.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    table = spark.read.parquet(path)
-    return with_row_ids(table) if row_ids else table
+    return spark.read.parquet(path)
