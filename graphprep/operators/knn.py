@@ -53,14 +53,14 @@ def locate(questions: DataFrame, entity_names: DataFrame, relation_names: DataFr
     """Add ``partition, index`` of the entity and ``rel`` of the relation; questions about unknown keys drop out."""
     entities = entity_names.select(F.col("ent").alias("entity"), "partition", "index")
     relations = relation_names.select(F.col("ent").alias("relation"), F.col("index").alias("rel"))
-    return questions.join(_broadcast_if_small(relations), "relation").join(entities, "entity")
+    return questions.join(relations, "relation").join(entities, "entity")
 
 
 def unknown_requests(requests: DataFrame, entity_names: DataFrame, relation_names: DataFrame) -> DataFrame:
     """The requests that name an unknown entity or relation."""
     entities = entity_names.select(F.col("ent").alias("entity"), F.lit(True).alias("_entity"))
     relations = relation_names.select(F.col("ent").alias("relation"), F.lit(True).alias("_relation"))
-    marked = requests.join(_broadcast_if_small(relations), "relation", "left").join(entities, "entity", "left")
+    marked = requests.join(relations, "relation", "left").join(entities, "entity", "left")
     return marked.where(F.col("_entity").isNull() | F.col("_relation").isNull()).select(requests.columns)
 
 
@@ -177,10 +177,13 @@ def knn(
         raise ValueError(f"named_only must be 'after' or 'before', not {named_only!r}")
     if on_missing not in ("empty", "error"):
         raise ValueError(f"on_missing must be 'empty' or 'error', not {on_missing!r}")
+    relation_names = _broadcast_if_small(relation_names)
     if on_missing == "error":
         unknown = unknown_requests(requests, lookup, relation_names).first()
         if unknown is not None:
             raise KeyError(f"unknown entity or relation: {unknown['entity']!r}, {unknown['relation']!r}")
+    few = small_copy(requests)
+    requests = requests if few is None else few
     questions = questions_of(requests)
     projected = projected_questions(locate(questions, lookup, relation_names), embeddings, operators)
     scanned = embeddings
@@ -196,5 +199,6 @@ def knn(
     answer = answer.join(questions.select("question_id", _question_key().alias("_answered")), "question_id")
     asked = requests.withColumn("side", operator_side(F.col("direction")))
     asked = asked.select("query_id", _question_key().alias("_asked"))
-    answered = salted_join(asked, answer, "_asked", "_answered", "inner", hot_keys(asked, "_asked"))
+    hot = hot_keys(asked, "_asked") if few is None else []
+    answered = salted_join(asked, answer, "_asked", "_answered", "inner", hot)
     return answered.select("query_id", "rank", "uri", F.col("dist").cast("double").alias("dist"), "name")

@@ -2,7 +2,7 @@
 
 Two ways, chosen by a check of the lookup table's size:
 
-* a table of at most ``max_rows`` rows is fetched (never more than ``max_rows`` + 1 rows) and broadcast;
+* a table of at most ``SMALL_ROWS`` rows is fetched (never more than one row above that) and broadcast;
 * beyond that both sides are shuffled, and the rows of each hot key are spread over ``SALTS`` reducers. The lookup side
   repeats only the rows of the hot keys, of which there are at most ``HOT_LIMIT``.
 
@@ -37,8 +37,9 @@ def hot_keys(df: DataFrame, *keys: str, fraction: float = 0.01, min_hits: int =
     return [row["key"] for row in frequent.orderBy(F.desc("count"), "key").limit(HOT_LIMIT).collect()]
 
 
-def small_copy(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """A driver-held copy of ``df`` if it has at most ``max_rows`` rows, else None."""
+def small_copy(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
+    """A driver-held copy of ``df`` if it has at most ``max_rows`` (by default ``SMALL_ROWS``) rows, else None."""
+    max_rows = SMALL_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return None
@@ -77,7 +78,7 @@ def lookup_join(
     left_key: str,
     right_key: str,
     how: str = "inner",
-    max_rows: int = SMALL_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """As ``salted_join``, for a lookup table that is usually small: broadcast it if it is, else salt."""
     copy = small_copy(right, max_rows)

@@ -11,6 +11,7 @@ map-side aggregate, so the matches of one question are never gathered in one tas
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,34 +28,47 @@ def word_index(names: DataFrame) -> DataFrame:
     return names.select(F.explode(tokens(F.col("name"))).alias("word"), F.col("ent").alias("uri")).distinct()
 
 
-def _checked(requests: DataFrame) -> DataFrame:
+class _Requests(NamedTuple):
+    """Requests with ``question`` and ``_end``; ``few`` if their number was checked to be small."""
+
+    rows: DataFrame
+    few: bool
+
+    @property
+    def questions(self) -> DataFrame:
+        return self.rows.select("question").distinct()
+
+
+def _ask(requests: DataFrame, question: Column) -> _Requests:
+    copy = small_copy(requests)
+    rows = requests if copy is None else copy
     valid = (F.col("limit") >= 0) & (F.col("offset") >= 0)
     end = F.when(valid, F.col("offset").cast("long") + F.col("limit")).otherwise(
         F.raise_error(F.lit("limit and offset must not be negative"))
     )
-    return requests.withColumn("_end", end)
+    return _Requests(rows.withColumns({"question": question, "_end": end}), copy is not None)
 
 
-def _candidates(questions: DataFrame, items: DataFrame) -> DataFrame:
+def _candidates(questions: DataFrame, items: DataFrame, few: bool) -> DataFrame:
     """``questions(question, terms)`` joined with ``items(.., terms)`` on each question's rarest term.
 
-    Every match of a question has all its terms, so the candidates cover all matches.
+    Every match of a question has all its terms, so the candidates cover all matches. With ``few`` questions the names
+    are scanned where they lie; otherwise the join is shuffled, with hot terms spread.
     """
     item_columns = [c for c in items.columns if c != "terms"]
     asked = questions.select("question", F.explode("terms").alias("term"))
     terms = asked.select("term").distinct()
-    few = small_copy(terms)
-    terms = terms if few is None else F.broadcast(few)
     postings = items.select(*item_columns, F.explode("terms").alias("term"))
-    frequency = postings.select("term").join(terms, "term", "left_semi").groupBy("term").count()
-    rarity = asked.join(frequency, "term", "left").fillna(0, ["count"])
+    used = postings.select("term").join(F.broadcast(terms) if few else terms, "term", "left_semi")
+    rarity = asked.join(used.groupBy("term").count(), "term", "left").fillna(0, ["count"])
     rarest = (
         rarity.groupBy("question")
         .agg(F.min(F.struct("count", "term")).alias("rarest"))
         .where(F.col("rarest.count") > 0)
         .select("question", F.col("rarest.term").alias("term"))
     )
-    probes = small_copy(rarest)
+    # Fetched once when it is as small as the requests: the matches are read twice, for the pages and for the totals.
+    probes = small_copy(rarest) if few else None
     if probes is not None:
         return postings.join(F.broadcast(probes), "term")
     hot = hot_keys(postings, "term")
@@ -67,12 +81,12 @@ def _candidates(questions: DataFrame, items: DataFrame) -> DataFrame:
     return postings.withColumn("_salt", slice_of).join(spread, ["term", "_salt"]).drop("_salt")
 
 
-def _pages(requests: DataFrame, matches: DataFrame, order: list[Column]) -> DataFrame:
-    """``requests(query_id, question, offset, _end)`` and ``matches(question, value, label)`` to ranked page rows.
+def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFrame:
+    """The pages of ``matches(question, value, label)`` that the requests ask for.
 
     Requests meet the ranks in blocks, so a request is paired with its own page and not with all ranks above it.
     """
-    deepest = min(requests.agg(F.max("_end")).first()[0] or 0, 2**31 - 1)
+    deepest = min(asked.rows.agg(F.max("_end")).first()[0] or 0, 2**31 - 1)
     block = max(PAGE_BLOCK, deepest // 1000)
 
     def page(rank: Column) -> Column:
@@ -85,18 +99,19 @@ def _pages(requests: DataFrame, matches: DataFrame, order: list[Column]) -> Data
         F.concat_ws(" ", page(F.col("rank") - 1), "question").alias("_ranked_page"), "rank", "value", "label", "size"
     )
     pages = F.sequence(page(F.col("offset")), page(F.col("_end") - 1))
-    asked = requests.where(F.col("_end") > F.col("offset")).withColumn("_block", F.explode(pages))
-    asked = asked.withColumn("_page", F.concat_ws(" ", "_block", "question")).select("query_id", "offset", "_end", "_page")
-    found = salted_join(asked, ranked, "_page", "_ranked_page", "inner", hot_keys(asked, "_page"))
+    turned = asked.rows.where(F.col("_end") > F.col("offset")).withColumn("_block", F.explode(pages))
+    turned = turned.select("query_id", "offset", "_end", F.concat_ws(" ", "_block", "question").alias("_page"))
+    hot = [] if asked.few else hot_keys(turned, "_page")
+    found = salted_join(turned, ranked, "_page", "_ranked_page", "inner", hot)
     on_page = (F.col("rank") > F.col("offset")) & (F.col("rank") <= F.col("_end"))
     return found.where(on_page).select("query_id", "rank", "value", "label", "size")
 
 
-def word_matches(questions: DataFrame, names: DataFrame) -> DataFrame:
+def word_matches(questions: DataFrame, names: DataFrame, few: bool = False) -> DataFrame:
     """``questions(question: blank-joined tokens)`` to all names holding every token."""
     words = tokens(F.col("name"))
     items = names.select("ent", "name", "count", F.array_distinct(words).alias("terms"), words.alias("words"))
-    found = _candidates(questions.select("question", F.split("question", " ", -1).alias("terms")), items)
+    found = _candidates(questions.select("question", F.split("question", " ", -1).alias("terms")), items, few)
     missing = F.array_except(F.split("question", " ", -1), F.col("words"))
     return found.where(F.size(missing) == 0).select("question", "ent", "name", "count")
 
@@ -104,8 +119,8 @@ def word_matches(questions: DataFrame, names: DataFrame) -> DataFrame:
 def word_search(requests: DataFrame, names: DataFrame) -> DataFrame:
     """Names whose tokens include all tokens of the query, most frequent first: ``(query_id, rank, value, label, size)``."""
     question = F.concat_ws(" ", F.array_sort(F.array_distinct(tokens(F.col("query")))))
-    asked = _checked(requests).withColumn("question", question)
-    matches = word_matches(asked.select("question").distinct(), names)
+    asked = _ask(requests, question)
+    matches = word_matches(asked.questions, names, asked.few)
     matches = matches.select(
         "question",
         F.col("ent").alias("value"),
@@ -115,7 +130,7 @@ def word_search(requests: DataFrame, names: DataFrame) -> DataFrame:
     return _pages(asked, matches, [F.desc("count"), F.asc("value")])
 
 
-def substring_matches(questions: DataFrame, labels: DataFrame) -> DataFrame:
+def substring_matches(questions: DataFrame, labels: DataFrame, few: bool = False) -> DataFrame:
     """``questions(question: lower-cased text)`` to all ``labels(uri, label)`` holding it.
 
     The terms are the character trigrams of the question; shorter questions are their own only term.
@@ -133,12 +148,12 @@ def substring_matches(questions: DataFrame, labels: DataFrame) -> DataFrame:
     items = labels.select(
         "uri", "label", F.lower("label").alias("folded"), terms(F.lower("label"), lambda n: F.lit(True)).alias("terms")
     )
-    found = _candidates(asked, items)
+    found = _candidates(asked, items, few)
     return found.where(F.contains("folded", "question")).select("question", "uri", "label")
 
 
 def substring_search(requests: DataFrame, labels: DataFrame) -> DataFrame:
     """``labels(uri, label)`` whose label holds the query, case folded, in ``uri`` order; an empty query matches all."""
-    asked = _checked(requests).withColumn("question", F.lower("query"))
-    matches = substring_matches(asked.select("question").distinct(), labels)
+    asked = _ask(requests, F.lower("query"))
+    matches = substring_matches(asked.questions, labels, asked.few)
     return _pages(asked, matches.select("question", F.col("uri").alias("value"), "label"), [F.asc("value")])

@@ -369,7 +369,7 @@ def entity_substring_search(spark, sf_dir):
 
 @query
 def relation_substring_search(spark, sf_dir):
-    relations = dictionary.distinct_relations(sample.triples(spark, sf_dir))
+    relations = stage(dictionary.distinct_relations(sample.triples(spark, sf_dir)), "relations")
     labels = relations.select(F.col("rel").alias("uri"), F.col("rel").alias("label"))
     return search.substring_search(sample.search_requests(spark, sf_dir), labels)
 
