@@ -94,6 +94,10 @@ def _scan(embeddings: DataFrame, projected: DataFrame, k: int) -> DataFrame:
     return embeddings.select("partition", "index", "embedding").mapInArrow(score, HITS)
 
 
+def _numbers(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+
+
 def _grid(embeddings: DataFrame, projected: DataFrame, k: int, n_questions: int) -> DataFrame:
     rows = max(1, math.ceil(embeddings.count() / CELL_ENTITIES))
     columns = max(1, math.ceil(n_questions / CELL_QUESTIONS))
@@ -102,12 +106,12 @@ def _grid(embeddings: DataFrame, projected: DataFrame, k: int, n_questions: int)
         "index",
         "embedding",
         F.pmod(F.xxhash64("partition", "index"), F.lit(rows)).alias("cell_row"),
-        F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).cast("long").alias("cell_column"),
+        F.explode(_numbers(columns)).alias("cell_column"),
     )
     asked = projected.select(
         "question_id",
         "vector",
-        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).cast("long").alias("cell_row"),
+        F.explode(_numbers(rows)).alias("cell_row"),
         F.pmod(F.xxhash64("question_id"), F.lit(columns)).alias("cell_column"),
     )
 
