@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -45,34 +47,49 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 
 
 class Scorer:
-    """Keeps the best ``k`` entities of each (question, partition) over the batches it is shown."""
+    """Keeps the best k entities of each (question, partition) over the batches it is shown.
+
+    Questions are worked through in blocks of similar k, so one large k does not inflate the others.
+    """
+
+    def __init__(self, question_ids: np.ndarray, vectors: np.ndarray, ks: np.ndarray):
+        order = np.argsort(ks, kind="stable")
+        self.blocks = [
+            (question_ids[rows], vectors[rows], int(ks[rows].max()))
+            for rows in (order[start : start + QUESTION_BLOCK] for start in range(0, len(order), QUESTION_BLOCK))
+        ]
+        self.clear()
 
-    def __init__(self, question_ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.question_ids, self.vectors, self.k = question_ids, vectors, k
+    def clear(self) -> None:
         self.kept: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        self.size = 0
 
     def add(self, partitions: np.ndarray, indexes: np.ndarray, embeddings: np.ndarray) -> None:
         for partition in np.unique(partitions):
             rows = partitions == partition
-            block, ids = embeddings[rows], indexes[rows].astype(np.int32)
-            for start in range(0, len(self.vectors), QUESTION_BLOCK):
-                scores = (self.vectors[start : start + QUESTION_BLOCK] @ block.T).astype(np.float32)
+            entities, ids = embeddings[rows], indexes[rows].astype(np.int32)
+            for number, (_, vectors, k) in enumerate(self.blocks):
+                scores = (vectors @ entities.T).astype(np.float32)
                 all_ids = np.broadcast_to(ids, scores.shape)
-                scores, all_ids = best(scores, all_ids, self.k)
-                key = (int(partition), start)
+                scores, all_ids = best(scores, all_ids, k)
+                key = (int(partition), number)
                 if key in self.kept:
                     old_scores, old_ids = self.kept[key]
+                    self.size -= old_scores.size
                     scores = np.concatenate([old_scores, scores], axis=1)
                     all_ids = np.concatenate([old_ids, all_ids], axis=1)
-                    scores, all_ids = best(scores, all_ids, self.k)
+                    scores, all_ids = best(scores, all_ids, k)
                 self.kept[key] = (scores, np.array(all_ids))
+                self.size += scores.size
 
-    def batches(self):
-        for (partition, start), (scores, ids) in self.kept.items():
-            questions = np.repeat(self.question_ids[start : start + len(scores)], scores.shape[1])
+    def drain(self) -> Iterator[pa.RecordBatch]:
+        """Hand out what is kept and forget it; the caller ranks it again."""
+        kept = self.kept
+        self.clear()
+        for (partition, number), (scores, ids) in kept.items():
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(questions, pa.int64()),
+                    pa.array(np.repeat(self.blocks[number][0], scores.shape[1]), pa.int64()),
                     pa.array(np.full(scores.size, partition), pa.int32()),
                     pa.array(ids.ravel(), pa.int32()),
                     pa.array(scores.ravel(), pa.float32()),

@@ -4,9 +4,9 @@ A request's entity vector goes through the operator of its relation; the answer
 the largest inner product with the result. Every entity is scored, so answers are exact. Equal requests are answered
 once, and a request's vector is projected once.
 
-Two ways to bring questions and embeddings together, chosen by a check of the number of questions:
+Two ways to bring questions and embeddings together, chosen by a check of the number of questions and of their k:
 
-* up to ``broadcast_rows`` of them are broadcast as one matrix and the embeddings are scanned where they lie;
+* up to ``BROADCAST_ROWS`` of them are broadcast as one matrix and the embeddings are scanned where they lie;
 * beyond that both sides are spread over a grid of cells of bounded size, each cell scoring its share of the questions
   against its share of the embeddings.
 
@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +27,10 @@ from graphprep.functions.vectors import operator_side, project
 from graphprep.operators.lookup import hot_keys, salted_join, small_copy
 
 QUESTION = ["entity", "relation", "side", "k"]
-BROADCAST_ROWS = 10_000
-CELL_QUESTIONS = 10_000
+# Questions and wanted hits (the sum of k) that one task may hold; and the hits after which a task hands on early.
+BROADCAST_ROWS = CELL_QUESTIONS = 10_000
+BROADCAST_HITS = CELL_HITS = 1_000_000
+TASK_HITS = 5_000_000
 CELL_ENTITIES = 200_000
 
 
@@ -76,20 +77,22 @@ def projected_questions(located: DataFrame, embeddings: DataFrame, operators: Da
     return fetched.select("question_id", "k", vector.alias("vector"))
 
 
-def _scan(embeddings: DataFrame, projected: DataFrame, k: int) -> DataFrame:
-    block = projected.select("question_id", "vector").toArrow()
+def _scan(embeddings: DataFrame, projected: DataFrame) -> DataFrame:
+    block = projected.select("question_id", "vector", "k").toArrow()
     if block.num_rows == 0:
         return embeddings.sparkSession.createDataFrame([], HITS)
     shared = embeddings.sparkSession.sparkContext.broadcast(
-        (block["question_id"].to_numpy(), matrix(block["vector"]))
+        (block["question_id"].to_numpy(), matrix(block["vector"]), block["k"].to_numpy())
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*shared.value, k)
+        scorer = Scorer(*shared.value)
         for batch in batches:
             if batch.num_rows:
                 scorer.add(batch["partition"].to_numpy(), batch["index"].to_numpy(), matrix(batch["embedding"]))
-        yield from scorer.batches()
+            if scorer.size > TASK_HITS:
+                yield from scorer.drain()
+        yield from scorer.drain()
 
     return embeddings.select("partition", "index", "embedding").mapInArrow(score, HITS)
 
@@ -98,29 +101,43 @@ def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def _grid(embeddings: DataFrame, projected: DataFrame, k: int, n_questions: int) -> DataFrame:
-    rows = max(1, math.ceil(embeddings.count() / CELL_ENTITIES))
-    columns = max(1, math.ceil(n_questions / CELL_QUESTIONS))
-    placed = embeddings.select(
+def _grid(embeddings: DataFrame, projected: DataFrame, columns: int) -> DataFrame:
+    """Cells of one slice of one partition by one share of the questions.
+
+    A partition has as many slices as its size asks for, so a partition holding a third of all entities has a third of
+    the cells. The sizes are one row per partition.
+    """
+    layout, cells = [], 0
+    for row in embeddings.groupBy("partition").count().collect():
+        slices = math.ceil(row["count"] / CELL_ENTITIES)
+        layout.append((row["partition"], slices, cells))
+        cells += slices
+    spark = embeddings.sparkSession
+    if not cells:
+        return spark.createDataFrame([], HITS)
+    slices = spark.createDataFrame(layout, "partition int, slices int, first_cell long")
+    placed = embeddings.join(F.broadcast(slices), "partition").select(
         "partition",
         "index",
         "embedding",
-        F.pmod(F.xxhash64("partition", "index"), F.lit(rows)).alias("cell_row"),
+        (F.col("first_cell") + F.pmod(F.col("index"), F.col("slices"))).alias("cell_row"),
         F.explode(_numbers(columns)).alias("cell_column"),
     )
     asked = projected.select(
         "question_id",
         "vector",
-        F.explode(_numbers(rows)).alias("cell_row"),
+        "k",
+        F.explode(_numbers(cells)).alias("cell_row"),
         F.pmod(F.xxhash64("question_id"), F.lit(columns)).alias("cell_column"),
     )
 
     def score(entities: pa.Table, questions: pa.Table) -> pa.Table:
-        scorer = Scorer(questions["question_id"].to_numpy(), matrix(questions["vector"]), k)
-        if questions.num_rows:
-            for batch in entities.to_batches(max_chunksize=10_000):
-                scorer.add(batch["partition"].to_numpy(), batch["index"].to_numpy(), matrix(batch["embedding"]))
-        return pa.Table.from_batches(scorer.batches(), schema=HITS_ARROW)
+        if not questions.num_rows:
+            return HITS_ARROW.empty_table()
+        scorer = Scorer(questions["question_id"].to_numpy(), matrix(questions["vector"]), questions["k"].to_numpy())
+        for batch in entities.to_batches(max_chunksize=10_000):
+            scorer.add(batch["partition"].to_numpy(), batch["index"].to_numpy(), matrix(batch["embedding"]))
+        return pa.Table.from_batches(scorer.drain(), schema=HITS_ARROW)
 
     cell = ["cell_row", "cell_column"]
     return placed.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(score, HITS)
@@ -140,12 +157,13 @@ def nearest(
     questions: DataFrame, projected: DataFrame, embeddings: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> tuple[DataFrame, int]:
     """``(question_id, k, partition, index, dist)``, the k best of each partition; and the largest k."""
-    facts = questions.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).first()
+    facts = questions.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"), F.sum("k").alias("hits")).first()
     max_k = facts["k"] or 1
-    if facts["n"] <= broadcast_rows:
-        hits = _scan(embeddings, projected, max_k)
+    if facts["n"] <= broadcast_rows and (facts["hits"] or 0) <= BROADCAST_HITS:
+        hits = _scan(embeddings, projected)
     else:
-        hits = _grid(embeddings, projected, max_k, facts["n"])
+        columns = max(math.ceil(facts["n"] / CELL_QUESTIONS), math.ceil(facts["hits"] / CELL_HITS))
+        hits = _grid(embeddings, projected, columns)
     hits = hits.join(questions.select("question_id", "k"), "question_id")
     best = _top(hits, ["question_id", "partition"], "_place", max_k)
     return best.select("question_id", "k", "partition", "index", "dist"), max_k

@@ -90,9 +90,10 @@ def close(found, wanted):
     assert np.allclose([r[3] for r in found], [r[3] for r in wanted], rtol=1e-6)
 
 
-@pytest.fixture(params=["scan", "grid"])
+@pytest.fixture(params=["scan", "scan in pieces", "grid"])
 def way(request, monkeypatch):
-    if request.param == "scan":
+    if request.param != "grid":
+        monkeypatch.setattr(knn_module, "TASK_HITS", 5_000_000 if request.param == "scan" else 10)
         return {}
     monkeypatch.setattr(knn_module, "CELL_QUESTIONS", 20)
     monkeypatch.setattr(knn_module, "CELL_ENTITIES", 25)
@@ -191,17 +192,20 @@ def test_scorer_over_many_batches():
     rng = np.random.default_rng(1)
     questions, entities = rng.normal(size=(600, 4)), rng.normal(size=(500, 4))
     entities[::2] = entities[0]
-    scorer = blocks.Scorer(np.arange(600), questions, 7)
+    ks = np.where(np.arange(600) % 300 == 0, 40, 7)
+    scorer = blocks.Scorer(np.arange(600), questions, ks)
     for start in range(0, 500, 90):
         part = np.arange(start, min(start + 90, 500))
         scorer.add(part % 2, part, entities[part])
-    hits = pa.Table.from_batches(scorer.batches()).to_pandas()
-    assert len(hits) == 600 * 2 * 7
+    # Only the last block is as wide as the two large ones.
+    assert scorer.size == 2 * (512 * 7 + 88 * 40)
+    hits = pa.Table.from_batches(scorer.drain()).to_pandas()
+    assert scorer.size == 0
     scores = (questions @ entities.T).astype(np.float32)
     for q in (0, 255, 256, 599):
         for p in (0, 1):
-            wanted = sorted(range(p, 500, 2), key=lambda i: (-scores[q, i], i))[:7]
-            assert set(hits[(hits.question_id == q) & (hits.partition == p)]["index"]) == set(wanted)
+            wanted = sorted(range(p, 500, 2), key=lambda i: (-scores[q, i], i))[: ks[q]]
+            assert set(hits[(hits.question_id == q) & (hits.partition == p)]["index"]) >= set(wanted)
 
 
 def test_dimension_is_checked(spark):
