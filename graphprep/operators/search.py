@@ -4,8 +4,9 @@ Equal questions are answered once. Each question is looked up by the rarest of i
 checked against the whole question, so a term found in a third of all names costs nothing unless it is asked for alone.
 The lookup is an equi-join on the term; names are never paired with all questions.
 
-Pages are cut from ranks that every task first bounds by the deepest page asked for, and totals are counted by a
-map-side aggregate, so the matches of one question are never gathered in one task.
+The matches of one question are never gathered in one task: totals are counted by a map-side aggregate, ranks of
+questions asked for their first ``DEEP`` matches are bounded in every task before the shuffle, and the matches of
+deeper questions are ranked in ranges of bounded size.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ from pyspark.sql import functions as F
 
 from graphprep.functions.text import grams, tokens
 from graphprep.operators.lookup import SALTS, hot_keys, salted_join, small_copy
+from graphprep.workspace import stage
 
 GRAM = 3
 PAGE_BLOCK = 100
+DEEP = 1000
 
 
 def word_index(names: DataFrame) -> DataFrame:
@@ -36,7 +39,8 @@ class _Requests(NamedTuple):
 
     @property
     def questions(self) -> DataFrame:
-        return self.rows.select("question").distinct()
+        """Distinct questions with the last rank asked for."""
+        return self.rows.groupBy("question").agg(F.max("_end").alias("depth"))
 
 
 def _ask(requests: DataFrame, question: Column) -> _Requests:
@@ -50,22 +54,22 @@ def _ask(requests: DataFrame, question: Column) -> _Requests:
 
 
 def _candidates(questions: DataFrame, items: DataFrame, few: bool) -> DataFrame:
-    """``questions(question, terms)`` joined with ``items(.., terms)`` on each question's rarest term.
+    """``questions(question, depth, terms)`` joined with ``items(.., terms)`` on each question's rarest term.
 
     Every match of a question has all its terms, so the candidates cover all matches. With ``few`` questions the names
     are scanned where they lie; otherwise the join is shuffled, with hot terms spread.
     """
     item_columns = [c for c in items.columns if c != "terms"]
-    asked = questions.select("question", F.explode("terms").alias("term"))
+    asked = questions.select("question", "depth", F.explode("terms").alias("term"))
     terms = asked.select("term").distinct()
     postings = items.select(*item_columns, F.explode("terms").alias("term"))
     used = postings.select("term").join(F.broadcast(terms) if few else terms, "term", "left_semi")
     rarity = asked.join(used.groupBy("term").count(), "term", "left").fillna(0, ["count"])
     rarest = (
-        rarity.groupBy("question")
+        rarity.groupBy("question", "depth")
         .agg(F.min(F.struct("count", "term")).alias("rarest"))
         .where(F.col("rarest.count") > 0)
-        .select("question", F.col("rarest.term").alias("term"))
+        .select("question", "depth", F.col("rarest.term").alias("term"))
     )
     # Fetched once when it is as small as the requests: the matches are read twice, for the pages and for the totals.
     probes = small_copy(rarest) if few else None
@@ -81,21 +85,38 @@ def _candidates(questions: DataFrame, items: DataFrame, few: bool) -> DataFrame:
     return postings.withColumn("_salt", slice_of).join(spread, ["term", "_salt"]).drop("_salt")
 
 
+def _ranked(matches: DataFrame, order: list[Column], deepest: int) -> DataFrame:
+    """``matches(question, depth, ..)`` with ``rank``, at least up to each question's depth."""
+    by_question = Window.partitionBy("question").orderBy(*order)
+    shallow = matches if deepest <= DEEP else matches.where(F.col("depth") <= DEEP)
+    shallow = shallow.withColumn("rank", F.row_number().over(by_question)).where(F.col("rank") <= DEEP)
+    if deepest <= DEEP:
+        return shallow
+    # Ranges of (question, order) are found by sampling; they are written down so that both readers see the same ones.
+    spread = matches.where(F.col("depth") > DEEP).repartitionByRange("question", *order)
+    ranges = stage(spread.withColumn("_range", F.spark_partition_id()), "matches")
+    before = Window.partitionBy("question").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("question", "_range").count()
+    starts = starts.select("question", "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("question", "_range").orderBy(*order))
+    deep = ranges.withColumn("_place", place).join(starts, ["question", "_range"])
+    rank = (F.col("_start") + F.col("_place")).cast("int")
+    return shallow.unionByName(deep.withColumn("rank", rank).select(shallow.columns))
+
+
 def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFrame:
-    """The pages of ``matches(question, value, label)`` that the requests ask for.
+    """The pages of ``matches(question, depth, value, label)`` that the requests ask for.
 
     Requests meet the ranks in blocks, so a request is paired with its own page and not with all ranks above it.
     """
-    deepest = min(asked.rows.agg(F.max("_end")).first()[0] or 0, 2**31 - 1)
-    block = max(PAGE_BLOCK, deepest // 1000)
+    deepest = asked.rows.agg(F.max("_end")).first()[0] or 0
+    block = max(PAGE_BLOCK, min(deepest, 2**31) // 1000)
 
     def page(rank: Column) -> Column:
         return F.floor(rank / F.lit(block))
 
-    by_question = Window.partitionBy("question").orderBy(*order)
-    ranked = matches.withColumn("rank", F.row_number().over(by_question)).where(F.col("rank") <= F.lit(deepest))
     sizes = matches.groupBy("question").agg(F.count(F.lit(1)).alias("size"))
-    ranked = ranked.join(sizes, "question").select(
+    ranked = _ranked(matches, order, deepest).join(sizes, "question").select(
         F.concat_ws(" ", page(F.col("rank") - 1), "question").alias("_ranked_page"), "rank", "value", "label", "size"
     )
     pages = F.sequence(page(F.col("offset")), page(F.col("_end") - 1))
@@ -108,12 +129,12 @@ def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFra
 
 
 def word_matches(questions: DataFrame, names: DataFrame, few: bool = False) -> DataFrame:
-    """``questions(question: blank-joined tokens)`` to all names holding every token."""
+    """``questions(question: blank-joined tokens, depth)`` to all names holding every token."""
     words = tokens(F.col("name"))
     items = names.select("ent", "name", "count", F.array_distinct(words).alias("terms"), words.alias("words"))
-    found = _candidates(questions.select("question", F.split("question", " ", -1).alias("terms")), items, few)
+    found = _candidates(questions.withColumn("terms", F.split("question", " ", -1)), items, few)
     missing = F.array_except(F.split("question", " ", -1), F.col("words"))
-    return found.where(F.size(missing) == 0).select("question", "ent", "name", "count")
+    return found.where(F.size(missing) == 0).select("question", "depth", "ent", "name", "count")
 
 
 def word_search(requests: DataFrame, names: DataFrame) -> DataFrame:
@@ -123,6 +144,7 @@ def word_search(requests: DataFrame, names: DataFrame) -> DataFrame:
     matches = word_matches(asked.questions, names, asked.few)
     matches = matches.select(
         "question",
+        "depth",
         F.col("ent").alias("value"),
         F.concat_ws(" ", "name", F.col("count").cast("string"), "ent").alias("label"),
         "count",
@@ -131,7 +153,7 @@ def word_search(requests: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def substring_matches(questions: DataFrame, labels: DataFrame, few: bool = False) -> DataFrame:
-    """``questions(question: lower-cased text)`` to all ``labels(uri, label)`` holding it.
+    """``questions(question: lower-cased text, depth)`` to all ``labels(uri, label)`` holding it.
 
     The terms are the character trigrams of the question; shorter questions are their own only term.
     """
@@ -144,16 +166,16 @@ def substring_matches(questions: DataFrame, labels: DataFrame, few: bool = False
         return F.concat(*parts) if parts else F.array().cast("array<string>")
 
     asked_length = F.least(F.length("question"), F.lit(GRAM))
-    asked = questions.select("question", terms(F.col("question"), lambda n: asked_length == n).alias("terms"))
+    asked = questions.withColumn("terms", terms(F.col("question"), lambda n: asked_length == n))
     items = labels.select(
         "uri", "label", F.lower("label").alias("folded"), terms(F.lower("label"), lambda n: F.lit(True)).alias("terms")
     )
     found = _candidates(asked, items, few)
-    return found.where(F.contains("folded", "question")).select("question", "uri", "label")
+    return found.where(F.contains("folded", "question")).select("question", "depth", "uri", "label")
 
 
 def substring_search(requests: DataFrame, labels: DataFrame) -> DataFrame:
     """``labels(uri, label)`` whose label holds the query, case folded, in ``uri`` order; an empty query matches all."""
     asked = _ask(requests, F.lower("query"))
     matches = substring_matches(asked.questions, labels, asked.few)
-    return _pages(asked, matches.select("question", F.col("uri").alias("value"), "label"), [F.asc("value")])
+    return _pages(asked, matches.select("question", "depth", F.col("uri").alias("value"), "label"), [F.asc("value")])

@@ -44,6 +44,7 @@ def expected(requests, hits):
 
 @pytest.fixture(params=["few requests", "many requests"])
 def size(request, monkeypatch):
+    monkeypatch.setattr(search, "DEEP", 20)
     if request.param == "many requests":
         monkeypatch.setattr(lookup, "SMALL_ROWS", 3)
         monkeypatch.setattr(search, "hot_keys", lambda df, *keys: lookup.hot_keys(df, *keys, fraction=1.0, min_hits=20))
