@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphprep.operators.lookup import lookup_join, salted_join
+from graphprep.operators.lookup import lookup_join, unique_join
 
 
 def encode_triples(
@@ -25,8 +25,8 @@ def encode_triples(
         F.col("ent").alias("_right_ent"), F.col("index").alias("_obj"), F.col("partition").alias("part_right")
     )
     coded = lookup_join(triples, known_relations, "rel", "relation").drop("rel")
-    coded = salted_join(coded, left, "subj", "_left_ent", "inner", hot).drop("subj")
-    coded = salted_join(coded, right, "obj", "_right_ent", "inner", hot)
+    coded = unique_join(coded, left, "subj", "_left_ent", "inner", hot).drop("subj")
+    coded = unique_join(coded, right, "obj", "_right_ent", "inner", hot)
     return coded.select(
         F.col("_subj").alias("subj"), F.col("_obj").alias("obj"), F.col("_rel").alias("rel"), "part_left", "part_right"
     )
@@ -40,8 +40,8 @@ def dropped_triples(
     left = entities.select(F.col("ent").alias("_left_ent"), F.lit(True).alias("_subj_known"))
     right = entities.select(F.col("ent").alias("_right_ent"), F.lit(True).alias("_obj_known"))
     marked = lookup_join(triples, known_relations, "rel", "relation", "left")
-    marked = salted_join(marked, left, "subj", "_left_ent", "left", hot)
-    marked = salted_join(marked, right, "obj", "_right_ent", "left", hot)
+    marked = unique_join(marked, left, "subj", "_left_ent", "left", hot)
+    marked = unique_join(marked, right, "obj", "_right_ent", "left", hot)
     unknown = F.concat_ws(
         ",", *[F.when(F.col(f"_{part}_known").isNull(), F.lit(part)) for part in ("subj", "rel", "obj")]
     )

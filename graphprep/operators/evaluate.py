@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from graphprep.functions.hashing import digest, number
 from graphprep.functions.vectors import inner_product, project
-from graphprep.operators.lookup import hot_keys, lookup_join, salted_join
+from graphprep.operators.lookup import hot_keys, lookup_join, unique_join
 
 EDGE = ["subj", "obj", "rel", "part_left", "part_right"]
 SEED = 11
@@ -21,7 +21,7 @@ def _position(partition: str, index: str) -> Column:
 def _attach(df: DataFrame, embeddings: DataFrame, partition: str, index: str, name: str, hot=()) -> DataFrame:
     vectors = embeddings.select(_position("partition", "index").alias("_key"), F.col("embedding").alias(name))
     keyed = df.withColumn("_position", _position(partition, index))
-    return salted_join(keyed, vectors, "_position", "_key", "inner", hot).drop("_position")
+    return unique_join(keyed, vectors, "_position", "_key", "inner", hot).drop("_position")
 
 
 def hot_positions(edges: DataFrame, **options) -> list[int]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphprep.functions.text import is_english_label
-from graphprep.operators.lookup import lookup_join, salted_join
+from graphprep.operators.lookup import lookup_join, unique_join
 
 MIN_COUNT = 5
 
@@ -50,8 +50,8 @@ def filter_min_count(triples: DataFrame, min_count: int = MIN_COUNT, hot: Collec
     """
     entities = frequent_entities(triples, min_count).select(F.col("ent").alias("kept_ent"))
     kept = keep_relations(triples, frequent_relations(triples, min_count))
-    kept = salted_join(kept, entities, "subj", "kept_ent", "left_semi", hot)
-    return salted_join(kept, entities, "obj", "kept_ent", "left_semi", hot)
+    kept = unique_join(kept, entities, "subj", "kept_ent", "left_semi", hot)
+    return unique_join(kept, entities, "obj", "kept_ent", "left_semi", hot)
 
 
 def english_labels(triples: DataFrame, strict: bool = False) -> DataFrame:

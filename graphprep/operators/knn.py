@@ -222,5 +222,5 @@ def knn(
     asked = requests.withColumn("side", operator_side(F.col("direction")))
     asked = asked.select("query_id", _question_key().alias("_asked"))
     hot = hot_keys(asked, "_asked") if few is None else []
-    answered = salted_join(asked, answer, "_asked", "_answered", "inner", hot)
+    answered = salted_join(asked, answer, "_asked", "_answered", hot)
     return answered.select("query_id", "rank", "uri", F.col("dist").cast("double").alias("dist"), "name")

@@ -1,10 +1,15 @@
-"""Joins against a table of unique keys when a few keys of the big side may be very frequent.
+"""Joins against a lookup table when a few keys of the big side may be very frequent.
 
-Two ways, chosen by a check of the lookup table's size:
+``lookup_join`` checks the size of a table that is usually small: at most ``SMALL_ROWS`` rows are fetched (never more than
+one row above that) and broadcast, a larger table goes the way of ``unique_join``.
 
-* a table of at most ``SMALL_ROWS`` rows is fetched (never more than one row above that) and broadcast;
-* beyond that both sides are shuffled, and the rows of each hot key are spread over ``SALTS`` reducers. The lookup side
-  repeats only the rows of the hot keys, of which there are at most ``HOT_LIMIT``.
+``unique_join`` is for large tables of unique keys. The lookup rows of the hot keys, of which there are at most
+``HOT_LIMIT``, are broadcast; all other rows are shuffled by key as usual. The big side's hot rows stay in that shuffle,
+but under made-up keys that spread them evenly, since they need nothing from the other side any more. The lookup table is
+neither repeated nor re-keyed, so its shuffle can be shared by several joins.
+
+``salted_join`` is for tables with several rows per key: the hot keys' rows of both sides are spread over ``SALTS``
+reducers, the lookup side's once for each of them.
 
 Salts come from the stored row number ``_row`` when the table carries it (see ``workspace.stage``): equal rows then part
 company as well, and a retried task draws the same salt again. Otherwise they come from a hash of the row.
@@ -14,10 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from graphprep.workspace import ROW
+from graphprep.workspace import ROW, ROW_NUMBERS
 
 SALTS = 64
 HOT_LIMIT = 1000
@@ -46,30 +52,62 @@ def small_copy(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
+def _salt(df: DataFrame, salts: int) -> Column:
+    source = F.col(ROW) if ROW in df.columns else F.xxhash64(*df.columns)
+    return F.pmod(source, F.lit(salts)).cast("int")
+
+
 def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "inner",
-    hot: Collection = (),
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: Collection = (), salts: int = SALTS
 ) -> DataFrame:
-    """Join ``left`` with the unique keys of ``right``; ``right_key`` is dropped from the result."""
-    left_only = how in ("left_semi", "left_anti")
+    """Inner join with any number of ``right`` rows per key; ``right_key`` is dropped from the result."""
     if not hot:
-        joined = left.join(right, left[left_key] == right[right_key], how)
-        return joined if left_only else joined.drop(right[right_key])
+        return left.join(right, left[left_key] == right[right_key]).drop(right[right_key])
     hot = list(hot)
-    source = F.col(ROW) if ROW in left.columns else F.xxhash64(*left.columns)
-    salted_left = left.withColumn(
-        "_salt", F.when(F.col(left_key).isin(hot), F.pmod(source, F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    )
+    salt = F.when(F.col(left_key).isin(hot), _salt(left, salts)).otherwise(F.lit(0))
     last = F.when(F.col(right_key).isin(hot), F.lit(salts - 1)).otherwise(F.lit(0))
+    salted_left = left.withColumn("_salt", salt)
     salted_right = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), last)))
     same = (salted_left[left_key] == salted_right[right_key]) & (salted_left["_salt"] == salted_right["_right_salt"])
-    joined = salted_left.join(salted_right, same, how).drop("_salt")
-    return joined if left_only else joined.drop("_right_salt").drop(salted_right[right_key])
+    return salted_left.join(salted_right, same).drop("_salt", "_right_salt").drop(salted_right[right_key])
+
+
+def unique_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner", hot: Collection = ()
+) -> DataFrame:
+    """Join with the unique keys of ``right``; ``right_key`` is dropped from the result.
+
+    ``how`` is inner, left, left_semi or left_anti.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unknown join {how!r}")
+    keeps_left_only = how in ("left_semi", "left_anti")
+    if not hot:
+        joined = left.join(right, left[left_key] == right[right_key], how)
+        return joined if keeps_left_only else joined.drop(right[right_key])
+    hot = list(hot)
+    values = [] if keeps_left_only else [c for c in right.columns if c != right_key]
+    renamed = [right[c].alias(f"_hot_{c}") for c in values]
+    few = right.where(right[right_key].isin(hot)).select(right[right_key].alias("_hot_key"), *renamed)
+    is_hot = F.coalesce(left[left_key].isin(hot), F.lit(False))
+    # Neither a key that starts with NUL nor a negative number is asked of the lookup table for its own sake: whatever
+    # a hot row meets there is ignored below.
+    salt = _salt(left, ROW_NUMBERS)
+    if isinstance(left.schema[left_key].dataType, T.StringType):
+        made_up = F.concat(F.lit("\0"), salt.cast("string"))
+    else:
+        made_up = (F.lit(-1) - salt).cast(left.schema[left_key].dataType)
+    spread = left.withColumn("_is_hot", is_hot).withColumn(
+        "_spread_key", F.when(F.col("_is_hot"), made_up).otherwise(F.col(left_key))
+    )
+    spread = spread.join(F.broadcast(few), spread[left_key] == few["_hot_key"], "left")
+    found = right.select(right[right_key].alias("_cold_key"), *[right[c].alias(f"_cold_{c}") for c in values])
+    joined = spread.join(found, spread["_spread_key"] == found["_cold_key"], "left")
+    matched = F.when(F.col("_is_hot"), F.col("_hot_key").isNotNull()).otherwise(F.col("_cold_key").isNotNull())
+    if how != "left":
+        joined = joined.where(~matched if how == "left_anti" else matched)
+    chosen = [F.when(F.col("_is_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in values]
+    return joined.select(*left.columns, *chosen)
 
 
 def lookup_join(
@@ -80,9 +118,9 @@ def lookup_join(
     how: str = "inner",
     max_rows: int | None = None,
 ) -> DataFrame:
-    """As ``salted_join``, for a lookup table that is usually small: broadcast it if it is, else salt."""
+    """``unique_join`` with a table that is broadcast if a check finds it small."""
     copy = small_copy(right, max_rows)
     if copy is None:
-        return salted_join(left, right, left_key, right_key, how, hot_keys(left, left_key))
+        return unique_join(left, right, left_key, right_key, how, hot_keys(left, left_key))
     joined = left.join(F.broadcast(copy), left[left_key] == copy[right_key], how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(copy[right_key])

@@ -123,7 +123,7 @@ def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFra
     turned = asked.rows.where(F.col("_end") > F.col("offset")).withColumn("_block", F.explode(pages))
     turned = turned.select("query_id", "offset", "_end", F.concat_ws(" ", "_block", "question").alias("_page"))
     hot = [] if asked.few else hot_keys(turned, "_page")
-    found = salted_join(turned, ranked, "_page", "_ranked_page", "inner", hot)
+    found = salted_join(turned, ranked, "_page", "_ranked_page", hot)
     on_page = (F.col("rank") > F.col("offset")) & (F.col("rank") <= F.col("_end"))
     return found.where(on_page).select("query_id", "rank", "value", "label", "size")
 

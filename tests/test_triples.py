@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from graphprep.functions.text import RDFS_LABEL, extract_label
 from graphprep.operators import dictionary, encode, filters, names, splits
-from graphprep.operators.lookup import hot_keys, lookup_join, salted_join
+from graphprep.operators.lookup import hot_keys, lookup_join, salted_join, unique_join
 from graphprep.plans.jobs import import_triples
 from graphprep.sources.text import parse_triples
 from graphprep.workspace import stage
@@ -182,20 +182,34 @@ def test_hot_keys(skewed):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salting_does_not_change_a_join(spark, skewed, how):
-    known = spark.createDataFrame([("hub", 1), ("twin", 2), ("s1", 3), ("s2", 4)], "ent string, id int")
-    plain = salted_join(skewed, known, "subj", "ent", how)
-    salted = salted_join(skewed, known, "subj", "ent", how, ["hub", "twin", "absent"])
-    assert salted.columns == plain.columns
-    assert bag(salted) == bag(plain)
+def test_spreading_does_not_change_a_join(spark, skewed, how):
+    known = spark.createDataFrame([("hub", 1), ("twin", None), ("s1", 3), ("s2", None), ("\0" + "1", 9)], "ent string, id int")
+    plain = unique_join(skewed, known, "subj", "ent", how)
+    spread = unique_join(skewed, known, "subj", "ent", how, ["hub", "twin", "absent", "s3"])
+    assert spread.columns == plain.columns
+    assert bag(spread) == bag(plain)
 
 
-def test_salting_spreads_copies(spark, skewed):
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_null_and_numeric_keys(spark, how):
+    left = spark.createDataFrame([(None, 0), (1, 1), (1, 2), (2, 3), (3, 4)], "k long, v int")
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    assert bag(unique_join(left, right, "k", "id", how, [1, 3])) == bag(unique_join(left, right, "k", "id", how))
+
+
+def test_salting_does_not_change_a_join(spark, skewed):
+    known = spark.createDataFrame([("hub", 1), ("hub", 2), ("twin", 2), ("s1", 3)], "ent string, id int")
+    salted = salted_join(skewed, known, "subj", "ent", ["hub", "twin", "absent"])
+    assert bag(salted) == bag(salted_join(skewed, known, "subj", "ent"))
+
+
+@pytest.mark.parametrize("join", [salted_join, lambda *a: unique_join(*a[:4], "inner", a[4])])
+def test_copies_are_spread(spark, skewed, join):
     known = spark.createDataFrame([("twin", 2)], "ent string, id int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = salted_join(skewed.where("subj = 'twin'"), known, "subj", "ent", "inner", ["twin"])
+        joined = join(skewed.where("subj = 'twin'"), known, "subj", "ent", ["twin"])
         sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
