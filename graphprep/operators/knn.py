@@ -1,5 +1,7 @@
 """Nearest entities by inner product for a table of requests ``(query_id, entity, relation, k, direction)``.
 
+``query_id`` must be unique.
+
 A request's entity vector goes through the operator of its relation; the answer is the k entities whose vectors have
 the largest inner product with the result. Every entity is scored, so answers are exact. Equal requests are answered
 once, and a request's vector is projected once.
@@ -158,11 +160,11 @@ def nearest(
 ) -> tuple[DataFrame, int]:
     """``(question_id, k, partition, index, dist)``, the k best of each partition; and the largest k."""
     facts = questions.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"), F.sum("k").alias("hits")).first()
-    max_k = facts["k"] or 1
-    if facts["n"] <= broadcast_rows and (facts["hits"] or 0) <= BROADCAST_HITS:
+    max_k, wanted = facts["k"] or 1, facts["hits"] or 0
+    if facts["n"] <= broadcast_rows and wanted <= BROADCAST_HITS:
         hits = _scan(embeddings, projected)
     else:
-        columns = max(math.ceil(facts["n"] / CELL_QUESTIONS), math.ceil(facts["hits"] / CELL_HITS))
+        columns = max(1, math.ceil(facts["n"] / CELL_QUESTIONS), math.ceil(wanted / CELL_HITS))
         hits = _grid(embeddings, projected, columns)
     hits = hits.join(questions.select("question_id", "k"), "question_id")
     best = _top(hits, ["question_id", "partition"], "_place", max_k)

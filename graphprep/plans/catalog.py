@@ -17,7 +17,7 @@ from graphprep.plans.jobs import knn_one_index
 from graphprep.plans.sample import PARTITIONS
 from graphprep.sources import documents, tables
 from graphprep.sources.text import parse_triples as parse_text
-from graphprep.workspace import ROW, stage
+from graphprep.workspace import ROW, spread_thin, stage
 
 CHUNK = 1000
 NEGATIVES = 20
@@ -48,7 +48,7 @@ class Dataset(NamedTuple):
 
 
 def stored_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(sample.triples(spark, sf_dir), "raw", row_ids=True)
+    return stage(spread_thin(sample.triples(spark, sf_dir)), "raw", row_ids=True)
 
 
 def stored_raw_graph(spark: SparkSession, sf_dir: str) -> DataFrame:

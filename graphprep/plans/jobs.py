@@ -13,7 +13,7 @@ from graphprep.operators.knn import knn
 from graphprep.operators.lookup import hot_keys
 from graphprep.sources import documents, sinks, tables
 from graphprep.sources.text import read_triple_text
-from graphprep.workspace import stage
+from graphprep.workspace import spread_thin, stage
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ def import_triples(
     spark: SparkSession, path: str, min_count: int = filters.MIN_COUNT, mode: str = "failfast"
 ) -> DataFrame:
     """Raw text to filtered triples. The parsed text is written once: counting and filtering read it three times."""
-    raw = stage(read_triple_text(spark, path, mode), "raw", row_ids=True)
+    raw = stage(spread_thin(read_triple_text(spark, path, mode)), "raw", row_ids=True)
     return filters.filter_min_count(raw, min_count, hot_keys(raw, "subj", "obj"))
 
 

@@ -41,6 +41,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/graphprep/{name}-{uuid.uuid4().hex}"
 
 
+def spread_thin(scan: DataFrame) -> DataFrame:
+    """Shuffle the rows of a scan that has fewer tasks than the cluster has cores (one gzip file is one task)."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), row_ids: bool = False) -> DataFrame:
     """Write ``df`` once and read it back.
 

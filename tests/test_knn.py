@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from graphprep import schemas
 from graphprep.functions import blocks, vectors
-from graphprep.operators import evaluate, knn as knn_module
+from graphprep.operators import evaluate, lookup
+from graphprep.operators import knn as knn_module
 from graphprep.operators.knn import knn
 from graphprep.plans.jobs import knn_one_index
 from graphprep.sources.tables import check_embeddings
@@ -95,6 +96,8 @@ def way(request, monkeypatch):
     if request.param != "grid":
         monkeypatch.setattr(knn_module, "TASK_HITS", 5_000_000 if request.param == "scan" else 10)
         return {}
+    monkeypatch.setattr(lookup, "SMALL_ROWS", 2)
+    monkeypatch.setattr(knn_module, "hot_keys", lambda df, key: lookup.hot_keys(df, key, fraction=1.0, min_hits=20))
     monkeypatch.setattr(knn_module, "CELL_QUESTIONS", 20)
     monkeypatch.setattr(knn_module, "CELL_ENTITIES", 25)
     return {"broadcast_rows": 1}
@@ -148,6 +151,14 @@ def test_unknown_keys_are_empty_or_an_error(spark, world):
         knn(asked, *tables, on_missing="error")
 
 
+@pytest.mark.parametrize("broadcast_rows", [10, -1])
+def test_no_requests(spark, world, broadcast_rows):
+    asked = spark.createDataFrame([], schemas.KNN_REQUEST)
+    tables = (world.embeddings, world.operator_table, world.name_table, world.relation_table)
+    assert bag(knn(asked, *tables, broadcast_rows=broadcast_rows)) == []
+    assert bag(knn(spark.createDataFrame([(1, "/e/1", "/r/0", 2, "left")], schemas.KNN_REQUEST), world.embeddings.limit(0), *tables[1:], broadcast_rows=broadcast_rows)) == []
+
+
 def test_k_must_be_positive(spark, world):
     asked = spark.createDataFrame([(1, "/e/1", "/r/0", 0, "left")], schemas.KNN_REQUEST)
     with pytest.raises(Exception, match="k must be positive"):

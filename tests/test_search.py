@@ -93,3 +93,19 @@ def test_pages_cut_before_the_shuffle(spark):
     asked, table = frames(spark, *names_and_requests())
     plan = search.word_search(asked.where("limit < 10"), table)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_nothing_to_search(spark):
+    asked, table = frames(spark, [("a", "/1", 1)], [(1, "a", 5, 0)])
+    labels = table.selectExpr("ent as uri", "name as label")
+    for requests, names in ((asked.limit(0), table), (asked, table.limit(0))):
+        assert bag(search.word_search(requests, names)) == []
+    for requests, names in ((asked.limit(0), labels), (asked, labels.limit(0))):
+        assert bag(search.substring_search(requests, names)) == []
+
+
+def test_names_may_be_null(spark):
+    asked, table = frames(spark, [("a", "/1", 1), (None, "/2", 1)], [(1, "a", 5, 0), (2, "", 5, 0)])
+    assert bag(search.word_search(asked, table), "query_id", "value") == [(1, "/1")]
+    found = search.substring_search(asked, table.selectExpr("ent as uri", "name as label"))
+    assert bag(found, "query_id", "value") == [(1, "/1"), (2, "/1")]
