@@ -52,29 +52,41 @@ def _broadcast_if_small(df: DataFrame) -> DataFrame:
     return df if copy is None else F.broadcast(copy)
 
 
-def locate(questions: DataFrame, entity_names: DataFrame, relation_names: DataFrame) -> DataFrame:
-    """Add ``partition, index`` of the entity and ``rel`` of the relation; questions about unknown keys drop out."""
+def locate(
+    questions: DataFrame, entity_names: DataFrame, relation_names: DataFrame, few: bool = False
+) -> DataFrame:
+    """Add ``partition, index`` of the entity and ``rel`` of the relation; questions about unknown keys drop out.
+
+    ``few`` questions, their number being checked, are taken to the names; the names are not shuffled then.
+    """
     entities = entity_names.select(F.col("ent").alias("entity"), "partition", "index")
     relations = relation_names.select(F.col("ent").alias("relation"), F.col("index").alias("rel"))
-    return questions.join(relations, "relation").join(entities, "entity")
+    asked = questions.join(relations, "relation")
+    return entities.join(F.broadcast(asked) if few else asked, "entity")
 
 
 def unknown_requests(requests: DataFrame, entity_names: DataFrame, relation_names: DataFrame) -> DataFrame:
     """The requests that name an unknown entity or relation."""
     entities = entity_names.select(F.col("ent").alias("entity"), F.lit(True).alias("_entity"))
     relations = relation_names.select(F.col("ent").alias("relation"), F.lit(True).alias("_relation"))
+    # Only the names asked about take part in the outer join.
+    entities = entities.join(requests.select("entity").distinct(), "entity", "left_semi")
     marked = requests.join(relations, "relation", "left").join(entities, "entity", "left")
     return marked.where(F.col("_entity").isNull() | F.col("_relation").isNull()).select(requests.columns)
 
 
-def projected_questions(located: DataFrame, embeddings: DataFrame, operators: DataFrame) -> DataFrame:
+def projected_questions(
+    located: DataFrame, embeddings: DataFrame, operators: DataFrame, few: bool = False
+) -> DataFrame:
     """``(question_id, k, vector)`` with the entity's vector after the relation operator.
 
-    The vectors are fetched once per entity asked about, then handed to its questions.
+    The vectors are fetched once per entity asked about, then handed to its questions. For ``few`` questions the
+    embeddings are scanned and not shuffled.
     """
     asked = located.select("partition", "index").distinct()
-    vectors = embeddings.join(asked, ["partition", "index"])
-    fetched = located.join(vectors, ["partition", "index"]).join(_broadcast_if_small(operators), ["rel", "side"])
+    vectors = embeddings.join(F.broadcast(asked) if few else asked, ["partition", "index"])
+    fetched = vectors.join(F.broadcast(located) if few else located, ["partition", "index"])
+    fetched = fetched.join(_broadcast_if_small(operators), ["rel", "side"])
     vector = project(F.col("embedding"), F.col("kind"), F.col("real"), F.col("imag"), F.col("translation"))
     return fetched.select("question_id", "k", vector.alias("vector"))
 
@@ -157,8 +169,8 @@ def _top(hits: DataFrame, groups: list[str], rank: str, max_k: int) -> DataFrame
 
 def nearest(
     questions: DataFrame, projected: DataFrame, embeddings: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> tuple[DataFrame, int]:
-    """``(question_id, k, partition, index, dist)``, the k best of each partition; and the largest k."""
+) -> tuple[DataFrame, int, int]:
+    """``(question_id, k, partition, index, dist)``, the k best of each partition; the largest k; and the sum of all."""
     facts = questions.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"), F.sum("k").alias("hits")).first()
     max_k, wanted = facts["k"] or 1, facts["hits"] or 0
     if facts["n"] <= broadcast_rows and wanted <= BROADCAST_HITS:
@@ -168,7 +180,7 @@ def nearest(
         hits = _grid(embeddings, projected, columns)
     hits = hits.join(questions.select("question_id", "k"), "question_id")
     best = _top(hits, ["question_id", "partition"], "_place", max_k)
-    return best.select("question_id", "k", "partition", "index", "dist"), max_k
+    return best.select("question_id", "k", "partition", "index", "dist"), max_k, wanted
 
 
 def knn(
@@ -206,23 +218,33 @@ def knn(
         unknown = unknown_requests(requests, lookup, relation_names).first()
         if unknown is not None:
             raise KeyError(f"unknown entity or relation: {unknown['entity']!r}, {unknown['relation']!r}")
-    few = small_copy(requests)
-    requests = requests if few is None else few
+    copy = small_copy(requests)
+    few = copy is not None
+    requests = copy if few else requests
     questions = questions_of(requests)
-    projected = projected_questions(locate(questions, lookup, relation_names), embeddings, operators)
+    located = locate(questions, lookup, relation_names, few)
+    if few:
+        # Not more rows than requests, as the keys are unique; read twice below.
+        fetched = small_copy(located)
+        located = located if fetched is None else fetched
+    projected = projected_questions(located, embeddings, operators, few)
     scanned = embeddings
     if partitioned and named_only == "before":
         scanned = embeddings.join(entity_names.select("partition", "index"), ["partition", "index"], "left_semi")
-    best, max_k = nearest(questions, projected, scanned, broadcast_rows)
+    best, max_k, wanted = nearest(questions, projected, scanned, broadcast_rows)
     labels = entity_names.select("partition", "index", F.col("ent").alias("uri"), F.coalesce("name", F.lit("")).alias("name"))
+    hits = best if partitioned else _top(best, ["question_id"], "rank", max_k)
+    if few and wanted <= BROADCAST_HITS:
+        # At most the sum of all k for each partition: few enough hits are taken to the names.
+        partitions = embeddings.select("partition").distinct().count() if partitioned else 1
+        hits = F.broadcast(hits) if partitions * wanted <= BROADCAST_HITS else hits
+    answer = labels.join(hits, ["partition", "index"])
     if partitioned:
         # Named hits first, then the cut to k over all partitions.
-        answer = _top(best.join(labels, ["partition", "index"]), ["question_id"], "rank", max_k)
-    else:
-        answer = _top(best, ["question_id"], "rank", max_k).join(labels, ["partition", "index"])
+        answer = _top(answer, ["question_id"], "rank", max_k)
     answer = answer.join(questions.select("question_id", _question_key().alias("_answered")), "question_id")
     asked = requests.withColumn("side", operator_side(F.col("direction")))
     asked = asked.select("query_id", _question_key().alias("_asked"))
-    hot = hot_keys(asked, "_asked") if few is None else []
+    hot = [] if few else hot_keys(asked, "_asked")
     answered = salted_join(asked, answer, "_asked", "_answered", hot)
     return answered.select("query_id", "rank", "uri", F.col("dist").cast("double").alias("dist"), "name")
