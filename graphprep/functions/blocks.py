@@ -8,9 +8,15 @@ import numpy as np
 import pyarrow as pa
 
 QUESTION_BLOCK = 256
-HITS = "question_id long, partition int, index int, dist float"
+HITS = "question_id long, k int, partition int, index int, dist float"
 HITS_ARROW = pa.schema(
-    [("question_id", pa.int64()), ("partition", pa.int32()), ("index", pa.int32()), ("dist", pa.float32())]
+    [
+        ("question_id", pa.int64()),
+        ("k", pa.int32()),
+        ("partition", pa.int32()),
+        ("index", pa.int32()),
+        ("dist", pa.float32()),
+    ]
 )
 
 
@@ -55,7 +61,7 @@ class Scorer:
     def __init__(self, question_ids: np.ndarray, vectors: np.ndarray, ks: np.ndarray):
         order = np.argsort(ks, kind="stable")
         self.blocks = [
-            (question_ids[rows], vectors[rows], int(ks[rows].max()))
+            (question_ids[rows], ks[rows], vectors[rows])
             for rows in (order[start : start + QUESTION_BLOCK] for start in range(0, len(order), QUESTION_BLOCK))
         ]
         self.clear()
@@ -68,7 +74,8 @@ class Scorer:
         for partition in np.unique(partitions):
             rows = partitions == partition
             entities, ids = embeddings[rows], indexes[rows].astype(np.int32)
-            for number, (_, vectors, k) in enumerate(self.blocks):
+            for number, (_, ks, vectors) in enumerate(self.blocks):
+                k = int(ks.max())
                 scores = (vectors @ entities.T).astype(np.float32)
                 all_ids = np.broadcast_to(ids, scores.shape)
                 scores, all_ids = best(scores, all_ids, k)
@@ -87,9 +94,11 @@ class Scorer:
         kept = self.kept
         self.clear()
         for (partition, number), (scores, ids) in kept.items():
+            question_ids, ks, _ = self.blocks[number]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(self.blocks[number][0], scores.shape[1]), pa.int64()),
+                    pa.array(np.repeat(question_ids, scores.shape[1]), pa.int64()),
+                    pa.array(np.repeat(ks, scores.shape[1]), pa.int32()),
                     pa.array(np.full(scores.size, partition), pa.int32()),
                     pa.array(ids.ravel(), pa.int32()),
                     pa.array(scores.ravel(), pa.float32()),

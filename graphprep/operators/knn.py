@@ -178,7 +178,6 @@ def nearest(
     else:
         columns = max(1, math.ceil(facts["n"] / CELL_QUESTIONS), math.ceil(wanted / CELL_HITS))
         hits = _grid(embeddings, projected, columns)
-    hits = hits.join(questions.select("question_id", "k"), "question_id")
     best = _top(hits, ["question_id", "partition"], "_place", max_k)
     return best.select("question_id", "k", "partition", "index", "dist"), max_k, wanted
 
