@@ -20,7 +20,7 @@ RULES = (
     Rule("allow", "com", "/fr/"),
     Rule("block", "com", "/de/"),
 )
-#: A page is junk with so many runs of asterisks, and a host is listed if half of its pages are.
+#: A page is junk with so many runs of asterisks; its host and path are then listed.
 JUNK_RUNS = 5
 OLD_SHARDS, SHARDS = 16, 24
 
@@ -66,7 +66,8 @@ def op5_secret_scan(spark, sf_dir):
     spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,key:string,live:boolean>>"))
     named = lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("all", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter("all", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{kind}") for i, kind in enumerate(secret_scan.KINDS[:3])]
+    of_kind = lambda i: F.size(F.filter("all", lambda s: s["kind"] == i)).cast("bigint")
+    counts = [of_kind(i).alias(f"n_{kind}") for i, kind in enumerate(secret_scan.KINDS[:3])]
     live = F.size(F.filter("all", lambda s: s["live"])).cast("bigint")
     return rows.select("doc", spans.alias("all")).select(
         F.col("doc")["doc_id"].alias("doc_id"),
@@ -91,12 +92,11 @@ def op7_source_mixing(spark, sf_dir):
 
 @query
 def op8_url_cascade(spark, sf_dir):
-    """The list is the hosts at least half of whose pages are junk."""
+    """The list is what is found at hosts and paths of junk pages."""
     pages = table(spark, sf_dir, "pages")
     runs = (F.length("html") - F.length(F.replace("html", F.lit("***"), F.lit("")))) / 3
-    junk = F.coalesce(runs >= JUNK_RUNS, F.lit(False)).cast("int")
-    hosts = pages.select(url_cascade.url_host(F.col("url")).alias("key"), junk.alias("junk"))
-    listed = stage(hosts.groupBy("key").agg(F.avg("junk").alias("share")).where("share >= 0.5").select("key"), "listed-hosts")
+    key = F.concat(url_cascade.url_host(F.col("url")), url_cascade.url_path(F.col("url")))
+    listed = stage(pages.where(runs >= JUNK_RUNS).select(key.alias("key")).distinct(), "listed-keys")
     return url_cascade.judge_urls(pages, RULES, listed)
 
 

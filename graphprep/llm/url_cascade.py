@@ -1,13 +1,13 @@
 """URL filters by a cascade of Bloom filters.
 
-The keys of the corpus (here the hosts of all pages) are known, and some of them are listed. Level 0 is a Bloom filter of
+The keys of the corpus (host and path of all pages) are known, and some of them are listed. Level 0 is a Bloom filter of
 the listed keys; level 1 holds the other keys that pass level 0, level 2 the listed ones that pass level 1, and so on
 until nothing passes wrongly. Every key of the corpus is then answered exactly, by asking one level after the other, and
 the answer needs no join with the list.
 
 Keys are dealt into shards by hash and each shard has a cascade of its own, so a level is built by grouping bits by
 shard and word and no filter grows beyond ``SHARD_BITS``. If all cascades together are within ``BROADCAST_BYTES`` they
-are sent to all tasks; else the urls go to the shards, hot hosts spread over copies of their shard's cascade.
+are sent to all tasks; else the urls go to the shards, hot keys spread over copies of their shard's cascade.
 
 Explicit rules come first: a rule names a host and the beginning of a path, holds for the host's subdomains too, and the
 longest fitting one decides.
@@ -202,12 +202,13 @@ def judge_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame) -> DataFrame:
-    """``page_id, host, path, rule, verdict, listed`` for every row of ``page_id, url``; ``listed`` has distinct ``key``."""
-    rows = pages.select("page_id", url_host(F.col("url")).alias("key"), url_path(F.col("url")).alias("path"))
+    """``page_id, host, path, rule, verdict, listed`` for every row of ``page_id, url``; ``listed`` has keys as ``key``."""
+    rows = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
+    rows = rows.withColumn("key", F.concat("host", "path"))
     universe = rows.select("key").distinct()
     on_list = listed.select(F.col("key").alias("_listed")).distinct()
     keys = universe.join(on_list, universe["key"] == on_list["_listed"], "left").select("key", F.col("_listed").isNotNull().alias("listed"))
     judged = judge_keys(rows, keys)
-    ruled = judged.withColumn("_rule", best_rule(F.col("key"), F.col("path"), rules))
+    ruled = judged.withColumn("_rule", best_rule(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("listed"), "block").otherwise("allow")
-    return ruled.select("page_id", F.col("key").alias("host"), "path", F.col("_rule")["rule"].alias("rule"), F.coalesce(F.col("_rule")["verdict"], own).alias("verdict"), "listed")
+    return ruled.select("page_id", "host", "path", F.col("_rule")["rule"].alias("rule"), F.coalesce(F.col("_rule")["verdict"], own).alias("verdict"), "listed")
