@@ -5,7 +5,6 @@ A word is a maximal run of characters other than ASCII white space (``[^\\x20\\x
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -32,18 +31,6 @@ def word_count(text: Column) -> Column:
     return F.when(F.size(pieces) == 1, 1 - F.when(F.get(pieces, F.lit(0)) == "", 1).otherwise(0)).otherwise(F.size(pieces) - ends).cast("bigint")
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered; forgets everything at ``limit`` words, so its size is bounded."""
-
-    limit = 500_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -51,17 +38,44 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(text: str, hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
-    """Distinct 64-bit hashes of the runs of ``size`` words; a shorter text is one run, one without words has none."""
-    words = words_of(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(words) - size + 1)
-    total = np.full(n, min(size, len(words)), np.uint64)
-    for i in range(min(size, len(words))):
-        total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + values[i : i + n])
-    return np.unique(total)
+class Shingles:
+    """64-bit hashes of the runs of ``size`` words of a text, one for each place.
+
+    Words are joined by one space, and a run's hash is a polynomial of its bytes, taken from running sums over a
+    segment of the text: the powers grow with the longest segment, not with the text.
+    """
+
+    base = 0x9E3779B97F4A7C15
+    segment = 65_536
+
+    def __init__(self, size: int = SHINGLE) -> None:
+        self.size = size
+        self._grow(1 << 16)
+
+    def _grow(self, n: int) -> None:
+        inverse = pow(self.base, -1, 2**64)
+        self.powers = np.multiply.accumulate(np.full(n, self.base, np.uint64))
+        self.inverses = np.multiply.accumulate(np.full(n, inverse, np.uint64))
+
+    def __call__(self, text: str) -> np.ndarray:
+        joined = b" ".join(text.encode().split())
+        if not joined:
+            return np.empty(0, np.uint64)
+        data = np.frombuffer(joined, np.uint8)
+        spaces = np.flatnonzero(data == 32)
+        starts, ends = np.append(0, spaces + 1), np.append(spaces, len(data))
+        n = max(1, len(starts) - self.size + 1)
+        starts, ends = starts[:n], ends[-n:]
+        found = np.empty(n, np.uint64)
+        for at in range(0, n, self.segment):
+            start, end = starts[at : at + self.segment], ends[at : at + self.segment]
+            part = data[start[0] : end[-1]]
+            if len(part) > len(self.powers):
+                self._grow(2 * len(part))
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * self.powers[: len(part)], out=sums[1:])
+            found[at : at + self.segment] = (sums[end - start[0]] - sums[start - start[0]]) * self.inverses[start - start[0]]
+        return mixed(found)
 
 
 def shingle_set(text: str, size: int = SHINGLE) -> set[tuple[bytes, ...]]:
@@ -69,7 +83,9 @@ def shingle_set(text: str, size: int = SHINGLE) -> set[tuple[bytes, ...]]:
     words = words_of(text)
     if not words:
         return set()
-    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+    if len(words) < size:
+        return {tuple(words)}
+    return set(zip(*(words[i:] for i in range(size))))
 
 
 def wrapped(docs: DataFrame, *derived: Column) -> DataFrame:

@@ -25,12 +25,11 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphprep.llm.common import WordHashes, columns_of, extended, shingle_hashes, shingle_set
+from graphprep.llm.common import Shingles, columns_of, extended, shingle_set
 from graphprep.operators.lookup import unique_join
 from graphprep.workspace import stage
 
@@ -40,22 +39,24 @@ THRESHOLD = 0.8
 TOLERANCE = 1e-6
 STEP = 16
 CELL = 1024
+PAIRS = 65_536  # compared at once in a task
 HOT_SHARE = 1000  # a class with more than a thousandth of the rows is hot
 
 
+@lru_cache
 def _factors(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    drawn = np.random.default_rng(seed).integers(0, 2**64, size=(2, n), dtype=np.uint64)
-    return drawn[0] | np.uint64(1), drawn[1]
+    drawn = np.random.default_rng(seed).integers(0, 2**32, size=(2, n, 1), dtype=np.uint32)
+    return drawn[0] | np.uint32(1), drawn[1]
 
 
 def minhash(shingles: np.ndarray, values: int = BANDS * ROWS) -> np.ndarray:
-    """The least of each of ``values`` hashes (their upper 32 bits) over the shingles, in slices of bounded size."""
+    """The least of each of ``values`` 32-bit hashes over the shingles, in slices of bounded size."""
     a, b = _factors(values)
-    least = np.full(values, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 2048):
-        part = shingles[i : i + 2048, None] * a + b
-        np.minimum(least, part.min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.full(values, np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(short), 512):
+        np.minimum(least, (short[i : i + 512] * a + b).min(axis=1), out=least)
+    return least
 
 
 @lru_cache
@@ -80,12 +81,12 @@ def signatures(docs: DataFrame) -> DataFrame:
     schema = extended(rows.drop("text"), "shingles bigint, signature binary")
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = Shingles()
         for batch in batches:
             (texts,) = columns_of(batch, "text")
             sizes, found = [], []
             for text in texts:
-                own = shingle_hashes(text or "", hashes)
+                own = hashes(text or "")
                 sizes.append(len(own))
                 found.append(minhash(own).tobytes() if len(own) else None)
             columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())]
@@ -114,80 +115,136 @@ def candidate_cells(classes: DataFrame, cell: int = CELL) -> DataFrame:
     return pairs.select(name.alias("cell"), "band", (F.col("own") > F.col("other")).alias("second"), (F.col("own") == F.col("other")).alias("alone"), "rep")
 
 
-def compared(signature: np.ndarray, first: np.ndarray, second: np.ndarray, alone: bool, band: int, least: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of row numbers that outlast all steps; each pair in the first band both share.
-
-    One row of ``first`` at a time against the others, so what is held stays linear in a cell's rows.
-    """
-    keys = np.ascontiguousarray(signature).view(f"V{4 * ROWS}") if band else None
-    for position, i in enumerate(first):
-        others = first[position + 1 :] if alone else second
-        # A bucket is named by a hash, so equal names are held against the values themselves.
-        others = others[(signature[others, band * ROWS : (band + 1) * ROWS] == signature[i, band * ROWS : (band + 1) * ROWS]).all(axis=1)]
-        if band and len(others):
-            others = others[~(keys[others, :band] == keys[i, :band]).any(axis=1)]
-        equal = np.zeros(len(others), np.int64)
-        for at, fewest in zip(range(0, signature.shape[1], STEP), least):
-            if not len(others):
-                break
-            equal = equal + (signature[others, at : at + STEP] == signature[i, at : at + STEP]).sum(axis=1)
-            kept = equal >= fewest
-            others, equal = others[kept], equal[kept]
-        if len(others):
-            yield i, others
-
-
-def _prune(threshold: float, tolerance: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def prune(rows: pd.DataFrame) -> pd.DataFrame:
+def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole cells from batches sorted by ``cell``; the last, perhaps unfinished one waits for the next batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = batch.column(batch.schema.get_field_index("cell")).to_numpy()
+        last = int(np.searchsorted(cell, cell[-1]))
+        if last or (held and held[-1].column(held[-1].schema.get_field_index("cell"))[-1].as_py() != cell[-1]):
+            table = pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+            if table.num_rows:
+                yield table.combine_chunks()
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def pairs_of(cell: np.ndarray, second: np.ndarray, alone: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of all pairs within each cell, across its two blocks if it has two, in chunks of about ``PAIRS``."""
+    starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    ends = np.append(starts[1:], len(cell))
+    left, right, size = [], [], 0
+    for start, end in zip(starts.tolist(), ends.tolist()):
+        if alone[start]:
+            mine, theirs = np.arange(start, end), None
+        else:
+            mine, theirs = start + np.flatnonzero(~second[start:end]), start + np.flatnonzero(second[start:end])
+        for place, i in enumerate(mine.tolist()):
+            others = mine[place + 1 :] if theirs is None else theirs
+            if len(others):
+                left.append(np.full(len(others), i))
+                right.append(others)
+                size += len(others)
+            if size >= PAIRS:
+                yield np.concatenate(left), np.concatenate(right)
+                left, right, size = [], [], 0
+    if left:
+        yield np.concatenate(left), np.concatenate(right)
+
+
+def outlasting(signature: np.ndarray, band: np.ndarray, left: np.ndarray, right: np.ndarray, least: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that agree in their cell's band, in none before it, and are kept by every step."""
+    keys = signature.reshape(len(signature), BANDS, ROWS)
+    here = band[left]
+    kept = (keys[left, here] == keys[right, here]).all(axis=1)  # a bucket is named by a hash, this is the bucket itself
+    left, right, here = left[kept], right[kept], here[kept]
+    for b in range(BANDS - 1):
+        kept = (here <= b) | (keys[left, b] != keys[right, b]).any(axis=1)
+        left, right, here = left[kept], right[kept], here[kept]
+    equal = np.zeros(len(left), np.int64)
+    for at, fewest in zip(range(0, signature.shape[1], STEP), least):
+        equal = equal + (signature[left, at : at + STEP] == signature[right, at : at + STEP]).sum(axis=1)
+        kept = equal >= fewest
+        left, right, equal = left[kept], right[kept], equal[kept]
+    return left, right
+
+
+def _prune(threshold: float, tolerance: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = least_matches(BANDS * ROWS, threshold, tolerance, STEP)
-        signature = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), BANDS * ROWS)
-        second = rows["second"].to_numpy()
-        alone = bool(rows["alone"].iloc[0])
-        reps = rows["rep"].to_numpy()
-        partners: dict[int, np.ndarray] = {}
-        for i, others in compared(signature, np.flatnonzero(~second), np.flatnonzero(second), alone, int(rows["band"].iloc[0]), least):
-            partners[i] = reps[others]
-            for j in others:
-                partners.setdefault(int(j), np.empty(0, np.int64))
-        kept = sorted(partners)
-        return pd.DataFrame({"cell": np.repeat(rows["cell"].iloc[0], len(kept)), "rep": reps[kept], "partners": pd.Series([partners[i] for i in kept], dtype=object)})
+        for table in whole_cells(batches):
+            cell, band, rep = (table.column(c).to_numpy() for c in ("cell", "band", "rep"))
+            second, alone = (table.column(c).to_numpy(zero_copy_only=False) for c in ("second", "alone"))
+            packed = b"".join(table.column("signature").to_pylist())
+            signature = np.frombuffer(packed, np.uint32).reshape(len(cell), BANDS * ROWS)
+            found = [outlasting(signature, band, *pairs, least) for pairs in pairs_of(cell, second, alone)]
+            if not found:
+                continue
+            left, right = (np.concatenate(side) for side in zip(*found))
+            # One row for each class that has a pair: the partners that come after it in the cell's order.
+            order = np.argsort(left, kind="stable")
+            left, right = left[order], right[order]
+            rows = np.unique(np.concatenate([left, right]))
+            edges = np.searchsorted(left, np.append(rows, len(cell)))
+            partners = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(rep[right], pa.int64()))
+            for at in range(0, len(rows), 10_000):
+                part = slice(at, at + 10_000)
+                columns = [pa.array(cell[rows[part]]), pa.array(rep[rows[part]]), partners[part]]
+                yield pa.RecordBatch.from_arrays(columns, names=["cell", "rep", "partners"])
 
     return prune
 
 
-def _verify(threshold: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = {rep: shingle_set(zlib.decompress(text).decode()) for rep, text in zip(rows["rep"], rows["text"])}
-        weight = dict(zip(rows["rep"], rows["copies"]))
-        root = {rep: rep for rep in sets}
-        links: dict[int, list[int]] = {rep: [0, 0] for rep in sets}
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        for rep, partners in zip(rows["rep"], rows["partners"]):
-            own = sets[rep]
-            for other in partners:
-                theirs = sets[other]
-                if min(len(own), len(theirs)) < threshold * max(len(own), len(theirs)):
-                    continue
-                common = len(own & theirs)
-                if common >= threshold * (len(own) + len(theirs) - common):
-                    for a, b in ((rep, other), (other, rep)):
-                        links[a][0] += weight[b]
-                        links[a][1] += 1
-                    x, y = top(rep), top(other)
-                    root[max(x, y)] = min(x, y)
-        found = [rep for rep in sets if links[rep][1]]
-        return pd.DataFrame(
-            {"rep": found, "root": [top(rep) for rep in found], "documents": [links[r][0] for r in found], "texts": [links[r][1] for r in found]}
-        ).astype({"rep": "int64", "root": "int64", "documents": "int64", "texts": "int64"})
+def _verify(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_cells(batches):
+            cell = table.column("cell").to_numpy()
+            starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])).tolist()
+            out: dict[str, list[int]] = {"rep": [], "root": [], "documents": [], "texts": []}
+            for start, end in zip(starts, [*starts[1:], len(cell)]):
+                part = table.slice(start, end - start)
+                for row in links_of(*(part.column(c).to_pylist() for c in ("rep", "partners", "copies", "text")), threshold):
+                    for name, value in zip(out, row):
+                        out[name].append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out.values()], names=list(out))
 
     return verify
 
 
+def links_of(reps: list[int], partners: list[list[int]], copies: list[int], texts: list[bytes], threshold: float) -> Iterator[tuple[int, int, int, int]]:
+    """``(rep, root, documents, texts)`` for the classes of one cell that have a link there."""
+    sets = {rep: shingle_set(zlib.decompress(text).decode()) for rep, text in zip(reps, texts)}
+    weight = dict(zip(reps, copies))
+    root = {rep: rep for rep in reps}
+    links = {rep: [0, 0] for rep in reps}
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for rep, others in zip(reps, partners):
+        own = sets[rep]
+        for other in others:
+            theirs = sets[other]
+            if min(len(own), len(theirs)) < threshold * max(len(own), len(theirs)):
+                continue
+            common = len(own & theirs)
+            if common >= threshold * (len(own) + len(theirs) - common):
+                for a, b in ((rep, other), (other, rep)):
+                    links[a][0] += weight[b]
+                    links[a][1] += 1
+                x, y = top(rep), top(other)
+                root[max(x, y)] = min(x, y)
+    for rep in reps:
+        if links[rep][1]:
+            yield rep, top(rep), *links[rep]
+
+
 def connected(edges: DataFrame, name: str = "jaccard-components") -> DataFrame:
     """``rep, root``: every node of ``rep, root`` edges with the least node it is connected to.
 
@@ -224,7 +281,8 @@ def link_documents(docs: DataFrame, threshold: float = THRESHOLD, tolerance: flo
     cells = stage(candidate_cells(classes.select("rep", "signature")), "jaccard-cells")
     values = classes.select(F.col("rep").alias("_rep"), "signature")
     signed = cells.join(values, cells["rep"] == values["_rep"]).drop("_rep")
-    pruned = signed.groupBy("cell").applyInPandas(_prune(threshold, tolerance), "cell bigint, rep bigint, partners array<bigint>")
+    sorted_ = signed.repartition("cell").sortWithinPartitions("cell")
+    pruned = sorted_.mapInArrow(_prune(threshold, tolerance), "cell bigint, rep bigint, partners array<bigint>")
     left = stage(pruned, "jaccard-candidates")
     found = stage(_verified(docs, left, classes, threshold), "jaccard-links")
     labels = connected(found)
@@ -266,7 +324,8 @@ def _verified(docs: DataFrame, left: DataFrame, classes: DataFrame, threshold: f
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), small], names=["rep", "copies", "text"])
 
     sent = left.join(packed.mapInArrow(squeeze, schema), "rep")
-    return sent.groupBy("cell").applyInPandas(_verify(threshold), "rep bigint, root bigint, documents bigint, texts bigint")
+    sorted_ = sent.repartition("cell").sortWithinPartitions("cell")
+    return sorted_.mapInArrow(_verify(threshold), "rep bigint, root bigint, documents bigint, texts bigint")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
