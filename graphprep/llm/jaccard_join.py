@@ -312,7 +312,8 @@ def _verified(docs: DataFrame, left: DataFrame, classes: DataFrame, threshold: f
     wanted = left.select("rep").distinct().join(classes.select("rep", "text_key", "first_id", "copies"), "rep")
     wanted = stage(wanted.select("rep", "copies", F.col("text_key").alias("_key"), F.col("first_id").alias("_id")), "jaccard-wanted")
     texts = docs.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
-    met = texts.join(wanted, (texts["text_key"] == wanted["_key"]) & texts["doc_id"].eqNullSafe(wanted["_id"]))
+    # The wanted classes grow with the corpus, so they are never broadcast, not even where they happen to be few.
+    met = texts.join(wanted.hint("merge"), (texts["text_key"] == wanted["_key"]) & texts["doc_id"].eqNullSafe(wanted["_id"]))
     once = met.groupBy("rep", "copies").agg(F.first("text").alias("text"))
     packed = stage(once.select("rep", "copies", "text"), "jaccard-texts")
     schema = "rep bigint, copies bigint, text binary"
