@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphprep.functions.hashing import digest, number
@@ -11,6 +11,7 @@ from graphprep.operators.lookup import hot_keys, lookup_join, unique_join
 
 EDGE = ["subj", "obj", "rel", "part_left", "part_right"]
 SEED = 11
+SLICE = 1 << 20
 
 
 def _position(partition: str, index: str) -> Column:
@@ -18,10 +19,43 @@ def _position(partition: str, index: str) -> Column:
     return F.shiftleft(F.col(partition).cast("long"), 32) + F.col(index)
 
 
-def _attach(df: DataFrame, embeddings: DataFrame, partition: str, index: str, name: str, hot=()) -> DataFrame:
+def _attach(df: DataFrame, embeddings: DataFrame, partition: str, index: str, name: str, hot=(), on_missing: str = "error") -> DataFrame:
+    """Adds an entity's vector. One that has none is an error, or (``drop``) its row is left out."""
     vectors = embeddings.select(_position("partition", "index").alias("_key"), F.col("embedding").alias(name))
     keyed = df.withColumn("_position", _position(partition, index))
-    return unique_join(keyed, vectors, "_position", "_key", "inner", hot).drop("_position")
+    if on_missing == "drop":
+        return unique_join(keyed, vectors, "_position", "_key", "inner", hot).drop("_position")
+    if on_missing != "error":
+        raise ValueError(f"unknown on_missing {on_missing!r}")
+    found = unique_join(keyed, vectors, "_position", "_key", "left", hot).drop("_position")
+    error = F.raise_error(F.concat(F.lit("no embedding for partition "), F.col(partition), F.lit(", index "), F.col(index)))
+    return found.withColumn(name, F.when(F.col(name).isNull(), error).otherwise(F.col(name)))
+
+
+def missing_vectors(edges: DataFrame, embeddings: DataFrame, hot=()) -> DataFrame:
+    """One row ``edges, left, right, either``: edges in all and those whose left, right or any end has no embedding."""
+    known = embeddings.select(_position("partition", "index").alias("_key"), F.lit(1).alias("_known"))
+    rows = edges.select(_position("part_left", "subj").alias("_left"), _position("part_right", "obj").alias("_right"))
+    rows = unique_join(rows, known, "_left", "_key", "left", hot).withColumnRenamed("_known", "_has_left")
+    rows = unique_join(rows, known, "_right", "_key", "left", hot)
+    left, right = F.col("_has_left").isNull(), F.col("_known").isNull()
+    return rows.agg(
+        F.count(F.lit(1)).alias("edges"), F.count_if(left).alias("left"), F.count_if(right).alias("right"), F.count_if(left | right).alias("either")
+    )
+
+
+def densely_numbered(entities: DataFrame) -> DataFrame:
+    """``partition, ordinal, index``: the entities that exist, numbered from 0 in each partition by index.
+
+    Numbered in slices of indexes, so no task sorts more than ``SLICE`` of them.
+    """
+    placed = entities.select("partition", "index", F.floor(F.col("index") / SLICE).alias("_slice"))
+    before = Window.partitionBy("partition").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("partition", "_slice").count()
+    starts = starts.select("partition", "_slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("partition", "_slice").orderBy("index"))
+    numbered = placed.withColumn("_place", place).join(starts, ["partition", "_slice"])
+    return numbered.select("partition", (F.col("_start") + F.col("_place") - 1).cast("int").alias("ordinal"), "index")
 
 
 def hot_positions(edges: DataFrame, **options) -> list[int]:
@@ -32,22 +66,28 @@ def hot_positions(edges: DataFrame, **options) -> list[int]:
     return hot_keys(keyed, "left", "right", **options)
 
 
-def projected_edges(edges: DataFrame, embeddings: DataFrame, operators: DataFrame, side: str, hot=()) -> DataFrame:
+def projected_edges(
+    edges: DataFrame, embeddings: DataFrame, operators: DataFrame, side: str, hot=(), on_missing: str = "error"
+) -> DataFrame:
     """Edges with ``vector``: the left end through the left operator, or the right end through the right one."""
     partition, index = ("part_left", "subj") if side == "lhs" else ("part_right", "obj")
     chosen = operators.where(F.col("side") == side).withColumnRenamed("rel", "_op_rel").drop("side")
-    fetched = lookup_join(_attach(edges, embeddings, partition, index, "_source", hot), chosen, "rel", "_op_rel")
+    fetched = lookup_join(_attach(edges, embeddings, partition, index, "_source", hot, on_missing), chosen, "rel", "_op_rel")
     vector = project(F.col("_source"), F.col("kind"), F.col("real"), F.col("imag"), F.col("translation"))
     return fetched.withColumn("vector", vector).drop("_source", "kind", "real", "imag", "translation")
 
 
 def score_triples(
-    edges: DataFrame, embeddings: DataFrame, operators: DataFrame, side: str = "lhs", hot=()
+    edges: DataFrame, embeddings: DataFrame, operators: DataFrame, side: str = "lhs", hot=(), on_missing: str = "error"
 ) -> DataFrame:
-    """Edges with ``score``: the projected end times the other end."""
+    """Edges with ``score``: the projected end times the other end.
+
+    An edge with an end that has no embedding is an error; with ``on_missing="drop"`` it is left out (and counted by
+    ``missing_vectors``).
+    """
     partition, index = ("part_right", "obj") if side == "lhs" else ("part_left", "subj")
-    projected = projected_edges(edges, embeddings, operators, side, hot)
-    scored = _attach(projected, embeddings, partition, index, "_target", hot)
+    projected = projected_edges(edges, embeddings, operators, side, hot, on_missing)
+    scored = _attach(projected, embeddings, partition, index, "_target", hot, on_missing)
     return scored.withColumn("score", inner_product(F.col("vector"), F.col("_target"))).drop("vector", "_target")
 
 
@@ -57,9 +97,13 @@ def negative_samples(
     """``n`` uniform draws from all ``entities(partition, index)`` per edge, as ``draw, cand_part, cand_index``.
 
     ``side`` is the end that is replaced. A draw is a hash of the edge, the draw's number and the seed, read as a global
-    position and then split into partition and index by the partitions' sizes (one row per partition).
+    position and then split into partition and index by the partitions' sizes (one row per partition). Indexes must be
+    dense, as those of a dictionary are: gaps are an error (see ``densely_numbered``).
     """
-    sizes = entities.groupBy("partition").count().agg(
+    counted = entities.groupBy("partition").agg(F.count(F.lit(1)).alias("count"), F.max("index").alias("last"))
+    gap = F.raise_error(F.concat(F.lit("the indexes of partition "), F.col("partition"), F.lit(" have gaps")))
+    dense = F.when(F.col("last") == F.col("count") - 1, F.col("count")).otherwise(gap.cast("bigint"))
+    sizes = counted.select("partition", dense.alias("count")).agg(
         F.array_sort(F.collect_list(F.struct("partition", "count"))).alias("sizes"), F.sum("count").alias("total")
     )
     starts = F.aggregate(
@@ -89,14 +133,23 @@ def rank_edges(
     side: str = "lhs",
     seed: int = SEED,
     hot=(),
+    on_missing: str = "error",
 ) -> DataFrame:
-    """Distinct edges with ``copies``, ``score`` and ``rank``: 1 + the candidates that score higher than the true end."""
+    """Distinct edges with ``copies``, ``score`` and ``rank``: 1 + the candidates that score higher than the true end.
+
+    All ``n`` candidates have an embedding. With ``on_missing="drop"`` the embeddings may have gaps: candidates are drawn
+    from those that exist, and edges without one are left out (and counted by ``missing_vectors``).
+    """
     distinct = edges.groupBy(*EDGE).agg(F.count(F.lit(1)).alias("copies"))
     replaced = "rhs" if side == "lhs" else "lhs"
     partition, index = ("part_right", "obj") if side == "lhs" else ("part_left", "subj")
-    projected = projected_edges(distinct, embeddings, operators, side, hot)
-    true = _attach(projected, embeddings, partition, index, "_target", hot)
+    projected = projected_edges(distinct, embeddings, operators, side, hot, on_missing)
+    true = _attach(projected, embeddings, partition, index, "_target", hot, on_missing)
     true = true.withColumn("score", inner_product(F.col("vector"), F.col("_target"))).drop("_target")
+    if on_missing == "drop":
+        numbers = densely_numbered(embeddings)
+        place = embeddings.join(numbers, ["partition", "index"])
+        embeddings = place.select("partition", F.col("ordinal").alias("index"), "embedding")
     drawn = negative_samples(true, embeddings, n, replaced, seed)
     compared = _attach(drawn, embeddings, "cand_part", "cand_index", "_candidate")
     better = (inner_product(F.col("vector"), F.col("_candidate")) > F.col("score")).cast("long")

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from graphprep.functions.blocks import HITS, HITS_ARROW, Scorer, matrix
 from graphprep.functions.vectors import operator_side, project
-from graphprep.operators.lookup import hot_keys, salted_join, small_copy
+from graphprep.operators.lookup import hot_keys, salted_join, small_copy, unique_join
+from graphprep.workspace import stage
 
 QUESTION = ["entity", "relation", "side", "k"]
 # Questions and wanted hits (the sum of k) that one task may hold; and the hits after which a task hands on early.
@@ -226,6 +227,7 @@ def knn(
         # Not more rows than requests, as the keys are unique; read twice below.
         fetched = small_copy(located)
         located = located if fetched is None else fetched
+        few = fetched is not None
     projected = projected_questions(located, embeddings, operators, few)
     scanned = embeddings
     if partitioned and named_only == "before":
@@ -233,11 +235,16 @@ def knn(
     best, max_k, wanted = nearest(questions, projected, scanned, broadcast_rows)
     labels = entity_names.select("partition", "index", F.col("ent").alias("uri"), F.coalesce("name", F.lit("")).alias("name"))
     hits = best if partitioned else _top(best, ["question_id"], "rank", max_k)
-    if few and wanted <= BROADCAST_HITS:
-        # At most the sum of all k for each partition: few enough hits are taken to the names.
-        partitions = embeddings.select("partition").distinct().count() if partitioned else 1
-        hits = F.broadcast(hits) if partitions * wanted <= BROADCAST_HITS else hits
-    answer = labels.join(hits, ["partition", "index"])
+    # At most the sum of all k for each partition: few enough hits are taken to the names.
+    partitions = embeddings.select("partition").distinct().count() if partitioned and few else 1
+    if few and partitions * wanted <= BROADCAST_HITS:
+        answer = labels.join(F.broadcast(hits), ["partition", "index"])
+    else:
+        # A hub is a hit of very many questions; stored, since finding hits is the expensive part.
+        place = F.shiftleft(F.col("partition").cast("long"), 32) + F.col("index")
+        hits = stage(hits.withColumn("_place", place), "hits")
+        named = labels.select(place.alias("_named"), "uri", "name")
+        answer = unique_join(hits, named, "_place", "_named", hot=hot_keys(hits, "_place")).drop("_place")
     if partitioned:
         # Named hits first, then the cut to k over all partitions.
         answer = _top(answer, ["question_id"], "rank", max_k)

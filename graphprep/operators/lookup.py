@@ -28,6 +28,7 @@ from graphprep.workspace import ROW, ROW_NUMBERS
 SALTS = 64
 HOT_LIMIT = 1000
 SMALL_ROWS = 50_000
+SMALL_BYTES = 32 << 20  # as JSON text
 
 
 def hot_keys(df: DataFrame, *keys: str, fraction: float = 0.01, min_hits: int = 100) -> list[str]:
@@ -44,8 +45,14 @@ def hot_keys(df: DataFrame, *keys: str, fraction: float = 0.01, min_hits: int =
 
 
 def small_copy(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """A driver-held copy of ``df`` if it has at most ``max_rows`` (by default ``SMALL_ROWS``) rows, else None."""
+    """A driver-held copy of ``df`` if it has at most ``max_rows`` (by default ``SMALL_ROWS``) rows and ``SMALL_BYTES``, else None."""
     max_rows = SMALL_ROWS if max_rows is None else max_rows
+    # Counted and measured where it lies: rows can be long.
+    some = df.limit(max_rows + 1)
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[some[c] for c in some.columns]), {"ignoreNullFields": "false"})).cast("bigint"))
+    n, bytes_ = some.agg(F.count(F.lit(1)), size).first()
+    if n > max_rows or (bytes_ or 0) > SMALL_BYTES:
+        return None
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return None

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graphprep.functions.text import extract_label
 from graphprep.operators.filters import english_labels, triples_per_relation
+from graphprep.operators.lookup import lookup_join
 
 COLUMNS = ["name", "ent", "count", "index", "partition"]
 
@@ -67,7 +68,10 @@ def label_entity_names(triples: DataFrame, entities: DataFrame, strict: bool = F
 def label_relation_names(triples: DataFrame, relations: DataFrame, strict: bool = False) -> DataFrame:
     frequency = triples_per_relation(triples).withColumnRenamed("rel", "ent")
     known = relations.select("index", F.col("relation").alias("ent"))
-    named = subject_names(triples, strict).join(known, "ent").join(frequency, "ent")
+    # The relations first: labels of other subjects are neither grouped nor shuffled.
+    labelled = english_labels(triples, strict)
+    labelled = lookup_join(labelled, known.select(F.col("ent").alias("_relation")), "subj", "_relation", "left_semi")
+    named = subject_names(labelled, strict).join(known, "ent").join(frequency, "ent")
     return named.withColumn("partition", F.lit(0)).select(COLUMNS)
 
 

@@ -63,7 +63,7 @@ def _candidates(questions: DataFrame, items: DataFrame, few: bool) -> DataFrame:
     asked = questions.select("question", "depth", F.explode("terms").alias("term"))
     terms = asked.select("term").distinct()
     postings = items.select(*item_columns, F.explode("terms").alias("term"))
-    used = postings.select("term").join(F.broadcast(terms) if few else terms, "term", "left_semi")
+    used = postings.select("term").join(terms, "term", "left_semi")
     rarity = asked.join(used.groupBy("term").count(), "term", "left").fillna(0, ["count"])
     rarest = (
         rarity.groupBy("question", "depth")
@@ -107,21 +107,26 @@ def _ranked(matches: DataFrame, order: list[Column], deepest: int) -> DataFrame:
 def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFrame:
     """The pages of ``matches(question, depth, value, label)`` that the requests ask for.
 
-    Requests meet the ranks in blocks, so a request is paired with its own page and not with all ranks above it.
+    Requests meet the ranks in blocks as wide as their own page, rounded up to ``PAGE_BLOCK`` times a power of two: a
+    request reaches two blocks at most, whatever other requests ask for. A rank is given once for each width that is
+    asked of its question.
     """
     deepest = asked.rows.agg(F.max("_end")).first()[0] or 0
-    block = max(PAGE_BLOCK, min(deepest, 2**31) // 1000)
+    width = F.greatest(F.lit(0), F.ceil(F.log2((F.col("_end") - F.col("offset")) / PAGE_BLOCK))).cast("int")
 
     def page(rank: Column) -> Column:
-        return F.floor(rank / F.lit(block))
+        return F.floor(rank / (F.pow(F.lit(2), F.col("_width")) * PAGE_BLOCK))
 
+    wanted = asked.rows.where(F.col("_end") > F.col("offset")).withColumn("_width", width)
+    widths = wanted.select(F.col("question").alias("_question"), "_width").distinct()
     sizes = matches.groupBy("question").agg(F.count(F.lit(1)).alias("size"))
-    ranked = _ranked(matches, order, deepest).join(sizes, "question").select(
-        F.concat_ws(" ", page(F.col("rank") - 1), "question").alias("_ranked_page"), "rank", "value", "label", "size"
+    ranked = _ranked(matches, order, deepest).join(sizes, "question")
+    ranked = ranked.join(widths, ranked["question"] == widths["_question"]).select(
+        F.concat_ws(" ", "_width", page(F.col("rank") - 1), "question").alias("_ranked_page"), "rank", "value", "label", "size"
     )
     pages = F.sequence(page(F.col("offset")), page(F.col("_end") - 1))
-    turned = asked.rows.where(F.col("_end") > F.col("offset")).withColumn("_block", F.explode(pages))
-    turned = turned.select("query_id", "offset", "_end", F.concat_ws(" ", "_block", "question").alias("_page"))
+    turned = wanted.withColumn("_block", F.explode(pages))
+    turned = turned.select("query_id", "offset", "_end", F.concat_ws(" ", "_width", "_block", "question").alias("_page"))
     hot = [] if asked.few else hot_keys(turned, "_page")
     found = salted_join(turned, ranked, "_page", "_ranked_page", hot)
     on_page = (F.col("rank") > F.col("offset")) & (F.col("rank") <= F.col("_end"))

@@ -12,15 +12,15 @@ from graphprep.functions import text, vectors
 from graphprep.operators import buckets, dictionary, encode, evaluate, filters, names, search, splits
 from graphprep.operators.knn import knn
 from graphprep.operators.lookup import hot_keys
-from graphprep.plans import sample
+from graphprep.plans import jobs, sample
 from graphprep.plans.jobs import knn_one_index
 from graphprep.plans.sample import PARTITIONS
-from graphprep.sources import documents, tables
+from graphprep.sources import documents, sinks, tables
 from graphprep.sources.text import parse_triples as parse_text
-from graphprep.workspace import ROW, spread_thin, stage
+from graphprep.workspace import ROW, scratch_path, spread_thin, stage
 
 CHUNK = 1000
-NEGATIVES = 20
+NEGATIVES = 500
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,6 +136,36 @@ def label_map_json(spark, sf_dir):
     return documents.label_map(named.groupBy(chunk).agg(F.to_json(entries).alias("value")).select("value"))
 
 
+@query
+def dict_json_repeated(spark, sf_dir):
+    """A list that names each region once for each of its nations: the last place counts."""
+    nation = sample.table(spark, sf_dir, "nation")
+    entry = F.struct("n_nationkey", F.concat(F.lit("/region/"), "n_regionkey").alias("uri"))
+    names_ = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["uri"])
+    document = nation.agg(F.to_json(F.struct(F.struct(names_.alias("all")).alias("entities"))).alias("value"))
+    return documents.ids_by_uri(documents.entity_ids(document))
+
+
+@query
+def label_map_repeated(spark, sf_dir):
+    """Label maps of a thousand parts each that name each brand many times: the last label counts."""
+    parts = sample.table(spark, sf_dir, "part")
+    entry = F.struct("p_partkey", F.concat_ws(":", F.to_json(F.array("p_brand")).substr(F.lit(2), F.length("p_brand") + 2), F.to_json(F.array("p_name")).substr(F.lit(2), F.length("p_name") + 2)).alias("text"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"]), ",")
+    chunk = F.lpad(F.floor(F.col("p_partkey") / CHUNK).cast("string"), 12, "0")
+    maps = parts.groupBy(chunk.alias("document")).agg(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
+    return documents.label_map(maps)
+
+
+@query
+def dict_json_files(spark, sf_dir):
+    """Names written as JSON rows and read back."""
+    path = scratch_path(spark, "lists")
+    entities = dictionary.entity_dictionary(sample.triples(spark, sf_dir), 1)
+    buckets.name_list(entities, "ent", CHUNK).select("first", "names").write.json(path)
+    return documents.ids_by_uri(documents.read_lists(spark, path))
+
+
 # Counting and filtering
 
 
@@ -200,7 +230,12 @@ def split_hash(spark, sf_dir):
 
 @query
 def split_random(spark, sf_dir):
-    return splits.split_triples(sample.triples(spark, sf_dir), method="random")
+    """Copies of each triple over all splits, and whether the splits' sizes are what such draws give."""
+    drawn = stage(splits.split_triples(sample.triples(spark, sf_dir), method="random"), "random")
+    sizes = {r["split"]: r["count"] for r in drawn.groupBy("split").count().collect()}
+    n = sum(sizes.values())
+    near = [abs(sizes.get(s, 0) - w * n) <= 5 * (w * (1 - w) * n) ** 0.5 for s, w in splits.WEIGHTS.items()]
+    return drawn.groupBy("subj", "rel", "obj").agg(F.count("*").alias("copies")).withColumn("within", F.lit(all(near)))
 
 
 @query
@@ -232,7 +267,83 @@ def dropped_triples(spark, sf_dir):
 
 @query
 def bucket_scan(spark, sf_dir):
-    return buckets.bucket_scan(dataset(spark, sf_dir).coded, 0, 1)
+    """One bucket of the stored table: the other directories are not read."""
+    coded = tables.read_coded(spark, created(spark, sf_dir).split("train"))
+    return buckets.bucket_scan(coded, 0, 1)
+
+
+# The stored layout
+
+
+def created(spark: SparkSession, sf_dir: str) -> jobs.Layout:
+    return jobs.create_dataset(filtered(spark, sf_dir).drop(ROW), PARTITIONS, scratch_path(spark, "dataset"))
+
+
+@query
+def import_text(spark, sf_dir):
+    """Tab-separated files, half of whose lines are cut short, to filtered triples."""
+    path = scratch_path(spark, "text")
+    sample.text_lines(spark, sf_dir).write.text(path)
+    return jobs.import_triples(spark, path, mode="dropmalformed").drop(ROW)
+
+
+@query
+def dataset_roundtrip(spark, sf_dir):
+    """The three stored splits, decoded by the stored dictionaries."""
+    layout = created(spark, sf_dir)
+    entities = tables.read_entities(spark, layout.entities)
+    relations = tables.read_relations(spark, layout.relations)
+    left = entities.select(F.col("ent").alias("subj"), F.col("index").alias("l"), F.col("partition").alias("part_left"))
+    right = entities.select(F.col("ent").alias("obj"), F.col("index").alias("r"), F.col("partition").alias("part_right"))
+    between = relations.select(F.col("relation").alias("rel"), F.col("index").alias("b"))
+
+    def decoded(split: str) -> DataFrame:
+        coded = tables.read_coded(spark, layout.split(split)).toDF("l", "r", "b", "part_left", "part_right")
+        found = coded.join(left, ["l", "part_left"]).join(right, ["r", "part_right"]).join(between, "b")
+        return found.select(F.lit(split).alias("split"), "subj", "rel", "obj")
+
+    return decoded("train").unionByName(decoded("valid")).unionByName(decoded("test"))
+
+
+@query
+def entity_partition_scan(spark, sf_dir):
+    return tables.read_entities(spark, created(spark, sf_dir).entities, partition=2)
+
+
+@query
+def stored_names(spark, sf_dir):
+    layout = created(spark, sf_dir)
+    jobs.generate_names(spark, layout.root)
+    of = lambda path, kind: tables.read_names(spark, path).withColumn("kind", F.lit(kind))
+    return of(layout.entity_names, "entity").unionByName(of(layout.relation_names, "relation"))
+
+
+def _exported(spark: SparkSession, sf_dir: str, metadata: bool) -> tuple[str, str]:
+    layout = created(spark, sf_dir)
+    out, lists = scratch_path(spark, "export"), scratch_path(spark, "export-lists")
+    given = (layout.entities, layout.relations, lists) if metadata else (layout.entities, layout.relations)
+    jobs.export_dataset(spark, layout.split("train"), PARTITIONS, out, *given)
+    return out, lists
+
+
+@query
+def stored_export(spark, sf_dir):
+    """Exported edges with what the manifest says of their bucket and the names in the exported lists."""
+    out, lists = _exported(spark, sf_dir, True)
+    edges = spark.read.parquet(f"{out}/edges")
+    manifest = spark.read.schema("part_left int, part_right int, count bigint, format_version int").json(f"{out}/manifest")
+    listed = documents.listed_names(spark.read.schema("partition int, first int, names array<string>").json(f"{lists}/entity_names_all"))
+    heads = listed.select(F.col("partition").alias("part_left"), F.col("index").alias("lhs"), F.col("name").alias("head"))
+    return edges.join(heads, ["part_left", "lhs"]).join(manifest, ["part_left", "part_right"])
+
+
+@query
+def export_without_metadata(spark, sf_dir):
+    """Edges by bucket, and whether lists were written, which were not asked for."""
+    out, lists = _exported(spark, sf_dir, False)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(lists)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.parquet(f"{out}/edges").groupBy("part_left", "part_right").count().withColumn("lists", F.lit(there))
 
 
 @query
@@ -374,6 +485,16 @@ def relation_substring_search(spark, sf_dir):
     return search.substring_search(sample.search_requests(spark, sf_dir), labels)
 
 
+@query
+def relation_word_search(spark, sf_dir):
+    """Each relation asked by its own name."""
+    path = scratch_path(spark, "relation-names")
+    named = relation_names(spark, sf_dir)
+    sinks.write_names(named, path, files=1)
+    asked = F.col("index").cast("bigint").alias("query_id"), F.upper("name").alias("query"), F.lit(5).alias("limit"), F.lit(0).alias("offset")
+    return jobs.search_relations(tables.read_names(spark, path).select(*asked), path)
+
+
 # Vectors
 
 
@@ -438,6 +559,17 @@ def knn_named_before(spark, sf_dir):
     return _partitioned(spark, sf_dir, sample.knn_requests(spark, sf_dir), named_only="before")
 
 
+@query
+def knn_translation(spark, sf_dir):
+    """The neighbour job over stored tables with translation operators."""
+    paths = {name: scratch_path(spark, name) for name in ("embeddings", "operators", "names", "relations")}
+    tables_ = (sample.embeddings, sample.operators, sample.vector_names, sample.vector_relations)
+    for path, rows in zip(paths.values(), tables_):
+        rows(spark, sf_dir).write.parquet(path)
+    found = jobs.knn_partitioned(sample.knn_requests(spark, sf_dir), *paths.values(), kind=vectors.TRANSLATION)
+    return found.withColumn("dist", rounded("dist"))
+
+
 @query
 def knn_unknown_keys(spark, sf_dir):
     return _partitioned(spark, sf_dir, sample.document_requests(spark, sf_dir))
@@ -487,6 +619,25 @@ def score_triples_right(spark, sf_dir):
     return scored.withColumn("score", rounded("score"))
 
 
+@query
+def score_translation(spark, sf_dir):
+    edges = sample.vector_edges(spark, sf_dir)
+    moves = sample.operators(spark, sf_dir).where(F.col("kind") == vectors.TRANSLATION)
+    scored = evaluate.score_triples(edges, sample.embeddings(spark, sf_dir), moves, hot=evaluate.hot_positions(edges))
+    return scored.withColumn("score", rounded("score"))
+
+
+@query
+def rank_missing(spark, sf_dir):
+    """A third of the embeddings taken away: edges without a vector, and how many are ranked."""
+    edges = sample.vector_edges(spark, sf_dir)
+    gaps = sample.embeddings(spark, sf_dir).where((F.col("index") + F.col("partition")) % 3 != 1)
+    hot = evaluate.hot_positions(edges)
+    ranks = evaluate.rank_edges(edges, gaps, sample.complex_operators(spark, sf_dir), n=20, hot=hot, on_missing="drop")
+    ranked = ranks.agg(F.sum("copies").alias("ranked"), F.max("rank").between(1, 21).alias("in_range"))
+    return evaluate.missing_vectors(edges, gaps, hot).crossJoin(ranked)
+
+
 @query
 def negative_samples(spark, sf_dir):
     return evaluate.negative_samples(

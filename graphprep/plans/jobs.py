@@ -161,14 +161,15 @@ def knn_partitioned(
     operators_path: str,
     entity_names_path: str,
     relation_names_path: str,
+    kind: str = COMPLEX,
     **options,
 ) -> DataFrame:
-    """Neighbours over partitioned embeddings; unnamed entities are left out."""
+    """Neighbours over partitioned embeddings; unnamed entities are left out. ``kind`` is that of the operators."""
     spark = requests.sparkSession
     return knn(
         requests,
         tables.read_embeddings(spark, embeddings_path),
-        tables.read_operators(spark, operators_path, COMPLEX),
+        tables.read_operators(spark, operators_path, kind),
         names.unique_names(tables.read_names(spark, entity_names_path)),
         names.unique_names(tables.read_names(spark, relation_names_path)),
         **options,
@@ -176,18 +177,34 @@ def knn_partitioned(
 
 
 def knn_single(
-    requests: DataFrame, embeddings_path: str, operators_path: str, dictionary_path: str, labels_path: str, **options
+    requests: DataFrame,
+    embeddings_path: str,
+    operators_path: str,
+    dictionary_path: str,
+    labels_path: str,
+    relations_path: str | None = None,
+    kind: str = COMPLEX,
+    **options,
 ) -> DataFrame:
-    """Neighbours over one index whose uris come from a JSON dictionary and whose names from a JSON label map."""
+    """Neighbours over one index whose uris come from a JSON dictionary and whose names from a JSON label map.
+
+    With ``relations_path`` the three are JSON rows instead of documents, for graphs of any size: ``first, names`` for
+    the entities under ``dictionary_path`` and for the relations, ``uri, label`` for the labels.
+    """
     spark = requests.sparkSession
-    listed = documents.read_documents(spark, dictionary_path)
-    labels = documents.label_map(documents.read_documents(spark, labels_path))
+    if relations_path is None:
+        listed = documents.read_documents(spark, dictionary_path).select("value")
+        entities, relations = documents.entity_ids(listed), documents.relation_ids(listed)
+        labels = documents.label_map(documents.read_documents(spark, labels_path))
+    else:
+        entities, relations = documents.read_lists(spark, dictionary_path), documents.read_lists(spark, relations_path)
+        labels = documents.read_label_rows(spark, labels_path)
     return knn_one_index(
         requests,
         tables.read_embeddings(spark, embeddings_path),
-        tables.read_operators(spark, operators_path, COMPLEX),
-        documents.entity_ids(listed),
-        documents.relation_ids(listed),
+        tables.read_operators(spark, operators_path, kind),
+        entities,
+        relations,
         labels,
         **options,
     )
@@ -232,9 +249,10 @@ def search_entities(requests: DataFrame, names_path: str) -> DataFrame:
 search_relations = search_entities
 
 
-def search_entity_labels(requests: DataFrame, labels_path: str) -> DataFrame:
-    """Paged substring search over a JSON label map."""
-    labels = documents.label_map(documents.read_documents(requests.sparkSession, labels_path))
+def search_entity_labels(requests: DataFrame, labels_path: str, rows: bool = False) -> DataFrame:
+    """Paged substring search over a JSON label map, or over JSON rows ``uri, label``."""
+    spark = requests.sparkSession
+    labels = documents.read_label_rows(spark, labels_path) if rows else documents.label_map(documents.read_documents(spark, labels_path))
     return search.substring_search(requests, labels)
 
 

@@ -178,6 +178,14 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         select query_id, q.vec_id as asker, k, v.vec_id, p, i, cast(list_dot_product(y, x) as float) as dist from q, v
         """,
     ),
+    "tscored": (
+        ["v", "first"],
+        """
+        select a.vec_id * 2 + (s = -1)::int as query_id, a.vec_id as asker, a.label + 3 as k, b.vec_id, b.p, b.i,
+               cast(list_dot_product(list_transform(range(1, 65), lambda j: a.x[j] + s * o[j]), b.x) as float) as dist
+        from v a join first on first.label = a.label, (values (1), (-1)) sides(s), v b
+        """,
+    ),
     "e": (
         ["v", "first"],
         """
@@ -196,7 +204,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         ["e"],
         """
         select *, md5(concat_ws(chr(9), 11, 'rhs', subj, obj, rel, part_left, part_right, draw)) as h
-        from e, range(1, 21) d(draw)
+        from e, range(1, 501) d(draw)
         """,
     ),
     "neg": (
@@ -250,9 +258,9 @@ def _substring(labels: str, *views: str) -> str:
     )
 
 
-def _knn(named: str, before: bool = False) -> str:
+def _knn(named: str, before: bool = False, pairs: str = "scored") -> str:
     """``named`` joins the scored pairs with the names that hits must have, on ``n.vec_id``."""
-    scored = f"(select s.* from scored s {named})" if before else "scored"
+    scored = f"(select s.* from {pairs} s {named})" if before else pairs
     return _sql(
         f"""
         select query_id, "rank", uri, round(dist::double, 6) as dist, name from (
@@ -262,7 +270,7 @@ def _knn(named: str, before: bool = False) -> str:
             {named} join vn a on a.vec_id = asker where place <= k)
         where "rank" <= k
         """,
-        "scored",
+        pairs,
         "vn",
     )
 
@@ -311,6 +319,52 @@ ORACLE: dict[str, str] = {
            from (select *, ('0x' || substr(md5(concat_ws(chr(9), subj, rel, obj)), 1, 8))::bigint % 10000 b from g)""",
         "g",
     ),
+    "split_random": _sql("select subj, rel, obj, count(*) as copies, true as within from g group by all", "g"),
+    "import_text": _sql("select * from f", "f"),
+    "dataset_roundtrip": _sql(
+        """select split, subj, rel, obj from sp where split = 'train' or (subj in (select ent from ents)
+               and obj in (select ent from ents) and rel in (select relation from rels))""",
+        "sp",
+        "ents",
+        "rels",
+    ),
+    "entity_partition_scan": _sql('select * from ents where "partition" = 2', "ents"),
+    "stored_names": _sql("select *, 'entity' as kind from en union all select *, 'relation' from rn", "en", "rn"),
+    "stored_export": _sql(
+        """select subj as lhs, obj as rhs, rel, part_left, part_right, ent as head, 1 as format_version,
+               count(*) over (partition by part_left, part_right) as "count"
+           from coded join ents on "index" = subj and "partition" = part_left""",
+        "coded",
+    ),
+    "export_without_metadata": _sql(
+        'select part_left, part_right, count(*) as "count", false as lists from coded group by all', "coded"
+    ),
+    "dict_json_repeated": "select concat('/region/', n_regionkey) as uri, max(n_nationkey)::int as id from nation group by all",
+    "label_map_repeated": "select p_brand as uri, arg_max(p_name, p_partkey) as label from part group by all",
+    "dict_json_files": _sql(
+        """select ent as uri, (row_number() over (order by substr(md5(ent), 9), ent) - 1)::int as id
+           from (select subj as ent from g union select obj from g)""",
+        "g",
+    ),
+    "relation_word_search": _sql(
+        """select a."index"::bigint as query_id, (row_number() over (partition by a."index" order by b."count" desc, b.ent))::int
+               as "rank", b.ent as value, concat(b.name, ' ', b."count", ' ', b.ent) as label, 1::bigint as size
+           from rn a join rn b on lower(a.name) = lower(b.name)""",
+        "rn",
+    ),
+    "knn_translation": _knn(_NAMED, pairs="tscored"),
+    "score_translation": _sql(
+        """select e.subj, e.obj, e.rel, e.part_left, e.part_right,
+               round(list_dot_product(list_transform(range(1, 65), lambda j: a.x[j] + o[j]), t.x), 6) as score
+           from e join v a on a.vec_id = e.vec_id join first on first.label = e.rel join v t on t.vec_id = e.first""",
+        "e",
+    ),
+    "rank_missing": _sql(
+        """select count(*) as edges, count(*) filter (l) as "left", count(*) filter (r) as "right", count(*) filter (l or r) as either,
+               (count(*) - count(*) filter (l or r))::bigint as ranked, true as in_range
+           from (select (part_left + subj) % 3 = 1 as l, (part_right + obj) % 3 = 1 as r from e)""",
+        "e",
+    ),
     "entity_dictionary": _sql("select * from ents", "ents"),
     "relation_dictionary": _sql("select * from rels", "rels"),
     "encode_triples": _sql("select * from coded", "coded"),

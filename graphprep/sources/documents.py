@@ -1,7 +1,8 @@
 """JSON dictionaries and label maps.
 
-A document is one row ``value``. An optional column ``first`` gives the id of a document's first entry, so that a list
-too long for one document can come in several (see ``buckets.name_list``).
+A document is one row ``value``; a malformed one is an error. An optional column ``first`` gives the id of a document's
+first entry, so that a list too long for one document can come in several; without it there may be one document only.
+Long lists are better stored as JSON rows ``first, names`` (see ``buckets.name_list``), which any number of tasks reads.
 """
 
 from __future__ import annotations
@@ -13,23 +14,46 @@ DICTIONARY = "entities struct<all: array<string>>, relations array<string>"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True)
+    """``document, value``: one row per file, named by it."""
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("document"), "value")
+
+
+def read_lists(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, uri)`` from JSON rows ``{first, names}``."""
+    rows = spark.read.schema("first bigint, names array<string>").option("mode", "FAILFAST").json(path)
+    listed = rows.select("first", F.posexplode("names").alias("pos", "uri"))
+    return listed.select((F.col("first") + F.col("pos")).cast("int").alias("id"), "uri")
+
+
+def read_label_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``(uri, label)`` from JSON rows of these two fields, one row per uri."""
+    return spark.read.schema("uri string, label string").option("mode", "FAILFAST").json(path)
+
+
+def _parsed(kind: str) -> Column:
+    return F.from_json("value", kind, {"mode": "FAILFAST"})
 
 
 def _ids(documents: DataFrame, names: Column) -> DataFrame:
-    first = F.col("first") if "first" in documents.columns else F.lit(0)
+    if "first" in documents.columns:
+        first = F.col("first")
+    elif documents.select("value").limit(2).count() > 1:
+        raise ValueError("several documents need a column 'first' with the id of each one's first entry")
+    else:
+        first = F.lit(0)
+    names = F.coalesce(names, F.raise_error(F.lit("the document has no such list")).cast("array<string>"))
     listed = documents.select(first.alias("first"), F.posexplode(names).alias("pos", "uri"))
     return listed.select((F.col("first") + F.col("pos")).cast("int").alias("id"), "uri")
 
 
 def entity_ids(documents: DataFrame) -> DataFrame:
     """``(id, uri)`` from ``{"entities": {"all": [...]}}``; the place in the list is the id."""
-    return _ids(documents, F.from_json("value", DICTIONARY)["entities"]["all"])
+    return _ids(documents, _parsed(DICTIONARY)["entities"]["all"])
 
 
 def relation_ids(documents: DataFrame) -> DataFrame:
     """``(id, uri)`` from ``{"relations": [...]}``."""
-    return _ids(documents, F.from_json("value", DICTIONARY)["relations"])
+    return _ids(documents, _parsed(DICTIONARY)["relations"])
 
 
 def ids_by_uri(ids: DataFrame) -> DataFrame:
@@ -38,8 +62,12 @@ def ids_by_uri(ids: DataFrame) -> DataFrame:
 
 
 def label_map(documents: DataFrame) -> DataFrame:
-    """``(uri, label)`` from ``{uri: label}``."""
-    return documents.select(F.explode(F.from_json("value", "map<string, string>")).alias("uri", "label"))
+    """``(uri, label)`` from ``{uri: label}``, one row per uri: the last one by ``document`` (if given) and position."""
+    order = F.col("document").cast("string") if "document" in documents.columns else F.lit("")
+    entries = F.map_entries(_parsed("map<string, string>"))
+    placed = documents.select(order.alias("document"), F.posexplode(entries).alias("pos", "entry"))
+    last = F.max(F.struct("document", "pos", F.col("entry")["value"].alias("label")))
+    return placed.groupBy(F.col("entry")["key"].alias("uri")).agg(last.alias("last")).select("uri", F.col("last")["label"].alias("label"))
 
 
 def listed_names(lists: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ def triples_from_rows(spark: SparkSession, rows: Iterable[tuple[str, str, str]])
 
 
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.TRIPLE).parquet(path)
+    return schemas.conform(spark.read.parquet(path), schemas.TRIPLE)
 
 
 def read_entities(spark: SparkSession, path: str, partition: int | None = None) -> DataFrame:

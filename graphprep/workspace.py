@@ -7,6 +7,7 @@ the reader gets real file sizes for its broadcast decisions.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 ROW = "_row"
 ROW_NUMBERS = 4096
 _own_root: str | None = None
+_written: list[str] = []
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -33,12 +35,28 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder (in a new temporary one where none is set, as in tests)."""
+    """A fresh path in the cluster's shared folder.
+
+    That is ``spark.checkpoint.dir``, else what ``SparkContext.setCheckpointDir`` was given. With neither, a local session
+    (as in tests) gets a temporary folder, and a cluster an error: its executors do not share one.
+    """
     global _own_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = _own_root = _own_root or tempfile.mkdtemp(prefix="graphprep-")
-    return f"{root.rstrip('/')}/graphprep/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/graphprep/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process; results that were not stored can no longer be computed."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread_thin(scan: DataFrame) -> DataFrame:
