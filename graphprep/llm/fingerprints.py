@@ -96,21 +96,26 @@ def from_text(text: Column) -> Column:
     return F.when(F.length(text) > 0, parts).otherwise(F.array().cast("array<bigint>"))
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """``doc_id, key, next_id, next_key, before_id, before_key, borrowed`` for each distinct (doc_id, text).
+#: What tells documents apart: two plain columns for doc_id, so that null ones meet by equality, and the text's hash.
+IDENTITY = ("blank", "number", "key")
 
-    The order is doc_id (null first), then the text's hash, and goes round. ``borrowed`` is how many characters the
+
+def neighbours(rows: DataFrame) -> DataFrame:
+    """The identity of each distinct document, of the one before it (``before_...``), and ``borrowed``.
+
+    The order is doc_id (null last), then the text's hash, and goes round. ``borrowed`` is how many characters the
     document before takes from this one. Repeated rows are one document here. No text is moved.
     """
-    distinct = docs.select("doc_id", "key", F.length("text").alias("n_chars")).distinct()
-    placed = stage(cumulate(stage(distinct, "print-ids"), [], ["doc_id", "key"], {"place": F.lit(1)}, "print-places"), "print-order")
+    distinct = rows.select(*IDENTITY, F.length("text").alias("n_chars")).distinct()
+    placed = stage(cumulate(stage(distinct, "print-ids"), [], IDENTITY, {"place": F.lit(1)}, "print-places"), "print-order")
     total = placed.count()
-    moved = placed.select(F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place"), F.col("doc_id").alias("before_id"), F.col("key").alias("before_key"), (F.floor(F.col("n_chars") / 4)).alias("borrowed"))
-    return placed.join(moved, "place").select("doc_id", "key", "before_id", "before_key", F.col("borrowed").cast("int").alias("borrowed"))
+    after = F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place")
+    moved = placed.select(after, *[F.col(c).alias(f"before_{c}") for c in IDENTITY], F.floor(F.col("n_chars") / 4).cast("int").alias("borrowed"))
+    return placed.join(moved, "place").drop("place", "n_chars")
 
 
 def compare_edits(docs: DataFrame, k: int = K) -> DataFrame:
-    """Fingerprints of every document, its edited text, and their likeness, for ``doc_id, text``.
+    """Fingerprints of every document, its edited text, and their likeness, for ``doc_id`` (bigint) and ``text``.
 
     The edited text has its last quarter of characters replaced by the beginning of the next document. The text is cut
     in three parts: what is kept, its own end and the borrowed end, each end with the last words kept, so that every
@@ -119,17 +124,18 @@ def compare_edits(docs: DataFrame, k: int = K) -> DataFrame:
     Texts are shuffled once, by document; to the document before goes the borrowed beginning and the sketch only.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).select("doc_id", "text", F.xxhash64("text").alias("key"))
+    rows = docs.select(F.col("doc_id").isNull().alias("blank"), F.coalesce("doc_id", F.lit(0)).alias("number"), text.alias("text"))
+    rows = rows.select("blank", "number", F.xxhash64("text").alias("key"), "text")
     order = stage(neighbours(rows), "print-neighbours")
-    order = order.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "before_id", "before_key", "borrowed")
-    known = rows["doc_id"].eqNullSafe(order["_id"]) & (rows["key"] == order["_key"])
-    lent = with_sketch(rows.join(order, known), "text", "next_s", k).groupBy("before_id", "before_key")
+    before = [f"before_{c}" for c in IDENTITY]
+    lent = with_sketch(rows.join(order, list(IDENTITY)), "text", "next_s", k).groupBy(*before)
     lent = lent.agg(F.first(F.substring("text", F.lit(1), F.col("borrowed"))).alias("borrowed_text"), F.first("next_s").alias("next_s"))
-    mine = rows.join(lent, rows["doc_id"].eqNullSafe(lent["before_id"]) & (rows["key"] == lent["before_key"]))
+    # Grouped and joined by the same columns, so what is lent is shuffled once.
+    mine = rows.join(lent, [rows[c] == lent[b] for c, b in zip(IDENTITY, before)])
     n_chars = F.length("text")
     cut = n_chars - F.floor(n_chars / 4).cast("int")
     parts = mine.select(
-        "doc_id",
+        F.when(~F.col("blank"), F.col("number")).alias("doc_id"),
         n_chars.cast("bigint").alias("n_chars"),
         F.substring("text", F.lit(1), cut).alias("kept"),
         F.substring("text", cut + 1, n_chars).alias("own"),
