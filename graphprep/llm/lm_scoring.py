@@ -74,7 +74,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """``doc_id, text, target``; one row of labels per document meets it."""
     good = labels.where((F.col(label) == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.select("doc_id", "text")
-    return rows.join(good, rows["doc_id"] == good["_id"], "left").select("doc_id", "text", F.col("_id").isNotNull().alias("target"))
+    # Labels grow with the corpus, so they are never broadcast, not even where they happen to be few.
+    return rows.join(good.hint("merge"), rows["doc_id"] == good["_id"], "left").select("doc_id", "text", F.col("_id").isNotNull().alias("target"))
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
