@@ -4,16 +4,20 @@ A target model (documents labelled good) and a background model (all documents)
 smoothing. A document's score is the mean over its words of the loss under the target model minus the loss under the
 background model, so the lower, the more like the target.
 
-The vocabulary has the words that make up at least ``WORD_SHARE`` of the corpus, twice at least, and one entry for all
-others. Bigrams are counted over that vocabulary, all of them; those that make up at least ``BIGRAM_SHARE`` of the corpus
-get a probability of their own, others are left to the smoothing:
+The vocabulary has all words that occur twice, and one entry for all others. All bigrams over it that occur twice get a
+probability of their own, others are left to the smoothing; neither count depends on the size of the corpus:
 
     P(w | v) = L c(v, w) / c(v) + (1 - L b(v)) P(w),   P(w) = (c(w) + A) / (N + A V)
 
 with ``b(v)`` the share of v's followers that have a probability of their own, so P sums to one. The first word of a text
-has P(w). Counting covers every word of every text and its shuffle grows with the corpus. Since a model's entries each
-hold a millionth of the corpus or more, there are at most a million of each kind at any size, which is what makes it
-safe to send the models to the tasks: texts are not shuffled, and no word or bigram, however frequent, meets in one task.
+has P(w).
+
+Both models are tables that grow with the corpus. A text's loss is a sum over its words, ``-log P(w)`` and, but for the
+last, ``-log(1 - L b(v))``, and over its bigrams with a probability of their own, of what that changes. Entries that make
+up ``HOT_SHARE`` of the corpus, so a fixed number at most, are sent to the tasks; every other word and bigram of a text is
+looked up by a join, and the losses are summed by document. A word that occurs once has one place, so the bigrams with the
+entry for all others are counted from the neighbours that are noted with such words, and are looked up by the bigram of
+the text. Words and bigrams are told apart by 64-bit hashes.
 
 Defined results: a null text and one without words have no losses (null) and no words; a document is a target document
 if any of its label rows says so; a null doc_id has no label; repeated rows count and are scored row by row; without
@@ -22,52 +26,43 @@ target documents the target model is the smoothing's uniform one; an empty table
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphprep.llm.common import columns_of, extended, words_of
+from graphprep.llm.common import columns_of, mixed, words_of
 from graphprep.workspace import stage
 
-WORD_SHARE = 1e-6
-BIGRAM_SHARE = 1e-6
 LEAST_COUNT = 2
+HOT_SHARE = 1e-5  # what is sent to the tasks instead of looked up; no part of the results
 WEIGHT = 0.7  # L
 ADDED = 0.5  # A
-SHIFT = 21  # a word's number has 20 bits at most
 CHUNK = 1_000_000  # words counted together in a task
+OTHER, WORD = 0, 1  # hashes of no word: all words outside the vocabulary; in place of the word before, a word by itself
 
 
-class Models(NamedTuple):
-    """Both models. Number 0 stands for all words outside the vocabulary; rows are background, target."""
-
-    words: dict[bytes, int]
-    single: np.ndarray  # (2, V) P(w)
-    follow: np.ndarray  # (2, V) 1 - L b(v)
-    codes: np.ndarray  # sorted bigrams with a probability of their own
-    own: np.ndarray  # (2, bigrams) L c(v, w) / c(v)
-
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """Sum of the losses of one text's words under both models."""
-        p = self.single[:, ids]
-        if len(ids) > 1:
-            codes = (ids[:-1] << SHIFT) | ids[1:]
-            p[:, 1:] *= self.follow[:, ids[:-1]]
-            if len(self.codes):
-                at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-                hit = self.codes[at] == codes
-                p[:, 1:] += np.where(hit, self.own[:, at], 0.0)
-        return -np.log(p).sum(axis=1)
+class Hashes:
+    """64-bit hashes of words; those seen last are remembered."""
 
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
 
-def ids_of(words: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
-    get = numbers.get
-    return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+    def __call__(self, text: str | None) -> np.ndarray:
+        words = words_of(text or "")
+        known = self.known
+        for w in set(words).difference(known):
+            h = int.from_bytes(blake2b(w, digest_size=8).digest(), "little", signed=True)
+            known[w] = h if h not in (OTHER, WORD) else h + 2
+        found = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        if len(known) > CHUNK:
+            self.known = {}
+        return found
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
@@ -78,112 +73,216 @@ def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return rows.join(good.hint("merge"), rows["doc_id"] == good["_id"], "left").select("doc_id", "text", F.col("_id").isNotNull().alias("target"))
 
 
-def _word_counts(rows: DataFrame) -> DataFrame:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[Counter, Counter] = (Counter(), Counter())
-
-        def out() -> pa.RecordBatch:
-            words = list(held[0])
-            columns = [pa.array(words, pa.binary()), pa.array([held[0][w] for w in words], pa.int64()), pa.array([held[1][w] for w in words], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["word", "n", "t"])
-
-        for batch in batches:
-            for text, target in zip(*columns_of(batch, "text", "target")):
-                words = words_of(text or "")
-                held[0].update(words)
-                if target:
-                    held[1].update(words)
-                if len(held[0]) >= CHUNK:
-                    yield out()
-                    held = (Counter(), Counter())
-        if held[0]:
-            yield out()
-
-    made = rows.select("text", "target").mapInArrow(count, "word binary, n bigint, t bigint")
-    return made.groupBy("word").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-def _bigram_counts(rows: DataFrame, numbers) -> DataFrame:
-    """``code, n, t`` of all bigrams over the vocabulary."""
+def _counts(rows: DataFrame) -> DataFrame:
+    """``a, b, n, t, before, after``: bigrams, and with ``a = WORD`` words; a word that occurs once has its neighbours."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = numbers.value
-        held: list[np.ndarray] = []
+        hashes = Hashes()
+        held: list[tuple[np.ndarray, bool]] = []
         size = 0
 
+        def grouped(keys: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            _, first, place, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+            return first, n, np.bincount(place, target, minlength=len(n)).astype(np.int64)
+
         def out() -> pa.RecordBatch:
-            # The lowest bit says whether the text is a target.
-            codes, n = np.unique(np.concatenate(held), return_counts=True)
-            target = codes & 1
-            columns = [pa.array(codes >> 1), pa.array(n, pa.int64()), pa.array(n * target, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["code", "n", "t"])
+            ids = np.concatenate([h for h, _ in held])
+            target = np.repeat([t for _, t in held], [len(h) for h, _ in held])
+            ends = np.cumsum([len(h) for h, _ in held]) - 1
+            last, first = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+            last[ends], first[0], first[ends[:-1] + 1] = True, True, True
+            at, n, t = grouped(ids, target)
+            no_before, no_after = (n > 1) | first[at], (n > 1) | last[at]
+            pairs = np.flatnonzero(~last)
+            a, b = ids[pairs], ids[np.minimum(pairs + 1, len(ids) - 1)]
+            at2, n2, t2 = grouped(pair_keys(a, b), target[pairs])
+            none = np.zeros(len(at2), np.int64)
+            neighbours = [
+                pa.array(np.append(ids[at - 1], none), mask=np.append(no_before, none == 0)),
+                pa.array(np.append(ids[np.minimum(at + 1, len(ids) - 1)], none), mask=np.append(no_after, none == 0)),
+            ]
+            numbers = [np.append(np.full(len(at), WORD), a[at2]), np.append(ids[at], b[at2]), np.append(n, n2), np.append(t, t2)]
+            return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in numbers], *neighbours], names=["a", "b", "n", "t", "before", "after"])
 
         for batch in batches:
             for text, target in zip(*columns_of(batch, "text", "target")):
-                ids = ids_of(words_of(text or ""), known)
-                if len(ids) > 1:
-                    held.append((((ids[:-1] << SHIFT) | ids[1:]) << 1) | int(target))
-                    size += len(ids) - 1
+                ids = hashes(text)
+                if len(ids):
+                    held.append((ids, target))
+                    size += len(ids)
                 if size >= CHUNK:
                     yield out()
                     held, size = [], 0
         if held:
             yield out()
 
-    made = rows.select("text", "target").mapInArrow(count, "code bigint, n bigint, t bigint")
-    return made.groupBy("code").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    made = rows.select("text", "target").mapInArrow(count, "a bigint, b bigint, n bigint, t bigint, before bigint, after bigint")
+    sums = [F.sum(c).alias(c) for c in ("n", "t")]
+    return made.groupBy("a", "b").agg(*sums, F.min("before").alias("before"), F.min("after").alias("after"))
+
+
+def _met(table: DataFrame, model: DataFrame, on: list[str], hot: Column) -> DataFrame:
+    """Inner join with a model by its unique key. Its few ``hot`` entries are sent to the tasks, so no key's rows meet in one."""
+    frequent = F.broadcast(model.where(hot).drop("_n"))
+    rare = model.where(~hot).drop("_n").hint("merge")
+    others = table.join(F.broadcast(model.where(hot).select(*on)), on, "left_anti")
+    return table.join(frequent, on).unionByName(others.join(rare, on))
 
 
-def _above(share: float, total: int) -> int:
-    return max(LEAST_COUNT, int(np.ceil(share * total)))
+class Models(NamedTuple):
+    """Hot entries, sorted by hash, and the table of all others. ``other`` and the columns of arrays are the background's and the target's."""
+
+    words: np.ndarray
+    single: np.ndarray  # (2, words) -log P(w)
+    follow: np.ndarray  # (2, words) -log(1 - L b(v))
+    other: np.ndarray  # (2, 2) both of them for the entry for all others
+    pairs: np.ndarray  # sorted by first and second word, mixed
+    change: np.ndarray  # (2, pairs)
+    rest: DataFrame  # key, n_single, t_single, n_follow, t_follow: added to what is summed with ``other``
+
+
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mixed(a.view(np.uint64)) + b.view(np.uint64)
 
 
 def fit(rows: DataFrame, weight: float = WEIGHT, added: float = ADDED) -> Models:
-    """Both models from ``text, target``. What is fetched is at most ``1 / WORD_SHARE`` words and ``1 / BIGRAM_SHARE`` bigrams."""
-    counts = stage(_word_counts(rows), "lm-words")
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
-    vocabulary = counts.where(F.col("n") >= _above(WORD_SHARE, totals["n"])).orderBy("word").toArrow()
-    words = {w: i for i, w in enumerate(vocabulary.column("word").to_pylist(), 1)}
-    known = np.stack([vocabulary.column(c).to_numpy() for c in ("n", "t")]).reshape(2, -1).astype(np.float64)
-    all_ = np.array([[totals["n"]], [totals["t"]]], np.float64)
-    counted = np.concatenate([all_ - known.sum(axis=1, keepdims=True), known], axis=1)
-    single = (counted + added) / (all_ + added * counted.shape[1])
-    context = rows.sparkSession.sparkContext
-    bigrams = stage(_bigram_counts(rows, context.broadcast(words)), "lm-bigrams")
-    pairs = bigrams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    kept = bigrams.where(F.col("n") >= _above(BIGRAM_SHARE, pairs)).orderBy("code").toArrow()
-    codes = kept.column("code").to_numpy()
-    before = codes >> SHIFT
-    own, follow = np.zeros((2, len(codes))), np.ones_like(counted)
-    for row, c in enumerate(("n", "t")):
-        n = kept.column(c).to_numpy().astype(np.float64)
-        share = np.divide(n, counted[row, before], out=np.zeros(len(codes)), where=counted[row, before] > 0)
-        own[row] = weight * share
-        follow[row] -= weight * np.bincount(before, share, minlength=counted.shape[1])
-    return Models(words, single, follow, codes, own)
+    """Both models from ``text, target``."""
+    col, lit = F.col, F.lit
+    counts = stage(_counts(rows).where((col("n") >= LEAST_COUNT) | (col("a") == WORD)), "lm-counts")
+    rows.sparkSession.sparkContext._jvm.System.gc()  # what has been shuffled is not needed any more
+    words = counts.where(col("a") == WORD)
+    rare = words.where(col("n") < LEAST_COUNT)
+    known = words.where(col("n") >= LEAST_COUNT).select(col("b").alias("w"), "n", "t")
+    total = words.agg(*[F.coalesce(F.sum(x), lit(0)) for x in ("n", "t")]).first()
+    outside = rare.agg(*[F.coalesce(F.sum(x), lit(0)) for x in ("n", "t")]).first()
+    size = known.count() + 1
+    hot = max(LEAST_COUNT, int(np.ceil(HOT_SHARE * total[0])))
+    frequent = col("_n") >= hot
+
+    # Bigrams of the texts that hold a word outside the vocabulary: each occurs once.
+    sides = [
+        rare.where(col("after").isNotNull()).select(col("b").alias("a"), col("after").alias("b"), "t", lit(1).alias("l"), lit(0).alias("r")),
+        rare.where(col("before").isNotNull()).select(col("before").alias("a"), "b", "t", lit(0).alias("l"), lit(1).alias("r")),
+    ]
+    single = sides[0].unionByName(sides[1]).groupBy("a", "b").agg(*[F.max(c).alias(c) for c in ("t", "l", "r")])
+    single = stage(
+        single.select(
+            col("a").alias("v"), col("b").alias("w"), "t", F.when(col("l") == 1, OTHER).otherwise(col("a")).alias("a"), F.when(col("r") == 1, OTHER).otherwise(col("b")).alias("b")
+        ),
+        "lm-single",
+    )
+    with_other = single.groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("t").alias("t")).where(col("n") >= LEAST_COUNT)
+    kept = stage(counts.where(col("a") != WORD).select("a", "b", "n", "t").unionByName(with_other), "lm-kept")
+
+    followed = kept.groupBy(col("a").alias("w")).agg(F.sum("n").alias("own_n"), F.sum("t").alias("own_t"))
+    entries = known.unionByName(rows.sparkSession.createDataFrame([(OTHER, outside[0], outside[1])], "w bigint, n bigint, t bigint"))
+    share = lambda x, y: F.when(col(y) > 0, lit(weight) * F.coalesce(col(x), lit(0)) / col(y)).otherwise(0.0)
+    vocabulary = stage(
+        entries.join(followed.hint("merge"), "w", "left").select(
+            "w",
+            "n",
+            "t",
+            *[((col(c) + lit(added)) / lit(float(total[i] + added * size))).alias(f"{c}_p") for i, c in enumerate("nt")],
+            *[(lit(1.0) - share(f"own_{c}", c)).alias(f"{c}_f") for c in "nt"],
+        ),
+        "lm-vocabulary",
+    )
+    firsts = vocabulary.select(col("w").alias("a"), col("n").alias("_n"), col("n").alias("n_a"), col("t").alias("t_a"), "n_f", "t_f")
+    seconds = vocabulary.select(col("w").alias("b"), col("n").alias("_n"), "n_p", "t_p")
+    both = _met(_met(kept, firsts, ["a"], frequent), seconds, ["b"], frequent)
+    smooth = {c: col(f"{c}_p") * col(f"{c}_f") for c in "nt"}
+    change = [(F.log(smooth[c]) - F.log(smooth[c] + share(c, f"{c}_a"))).alias(f"{c}_single") for c in "nt"]
+    bigrams = stage(both.select("a", "b", col("n").alias("_n"), *change), "lm-bigrams")
+
+    losses = vocabulary.select("w", "n", *[(-F.log(f"{c}_p")).alias(f"{c}_single") for c in "nt"], *[(-F.log(f"{c}_f")).alias(f"{c}_follow") for c in "nt"])
+    names = [f"{c}_{x}" for x in ("single", "follow") for c in "nt"]
+    other = losses.where(col("w") == OTHER).select(*names).first()
+    of_other = dict(zip(names, other))
+    key = F.xxhash64("a", "b").alias("key")
+    inside = (col("a") != OTHER) & (col("b") != OTHER)
+    zero = [lit(0.0).alias(f"{c}_follow") for c in "nt"]
+    texts_own = _met(single, bigrams, ["a", "b"], frequent).select(F.xxhash64("v", "w").alias("key"), *names[:2], *zero)
+    rest = bigrams.where(inside & ~frequent).select(key, *names[:2], *zero).unionByName(texts_own)
+    cold = losses.where((col("w") != OTHER) & (col("n") < hot))
+    rest = rest.unionByName(cold.select(F.xxhash64(lit(WORD).cast("bigint"), "w").alias("key"), *[(col(c) - lit(of_other[c])).alias(c) for c in names]))
+
+    top = losses.where((col("w") != OTHER) & (col("n") >= hot)).orderBy("w").toArrow()
+    numbers = np.array([top.column(c).to_numpy() for c in names]).reshape(4, -1)
+    pairs = bigrams.where(inside & frequent).toArrow()
+    keys = pair_keys(*[np.ascontiguousarray(pairs.column(c).to_numpy()).astype(np.int64) for c in "ab"])
+    order = np.argsort(keys)
+    changes = np.array([pairs.column(c).to_numpy() for c in names[:2]]).reshape(2, -1)[:, order]
+    return Models(top.column("w").to_numpy().astype(np.int64), numbers[:2], numbers[2:], np.array(other).reshape(2, 2), keys[order], changes, stage(rest, "lm-rest"))
+
+
+def _found(sorted_: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values are in a sorted array, and whether they are."""
+    if not len(sorted_):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
+    return at, sorted_[at] == values
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """``doc_id, n_words, target_loss, background_loss, difference`` for every row of ``doc_id, text``; losses in nats per word."""
-    rows = _labelled(docs, labels, label)
-    models = docs.sparkSession.sparkContext.broadcast(fit(rows))
-    texts = docs.select("doc_id", "text")
-    schema = extended(texts.drop("text"), "n_words bigint, target_loss double, background_loss double, difference double")
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = models.value
+    models = fit(_labelled(docs, labels, label))
+    rest = models.rest
+    hot = docs.sparkSession.sparkContext.broadcast(models[:-1])
+    doc_id = docs.schema["doc_id"].dataType.simpleString()
+
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, with what is known of its losses, and one for each word and bigram to look up."""
+        words, single, follow, other, pairs, change = hot.value
+        hashes = Hashes()
+        base = TaskContext.get().partitionId() << 40
         for batch in batches:
-            (found,) = columns_of(batch, "text")
-            sizes, losses = [], []
-            for text in found:
-                ids = ids_of(words_of(text or ""), known.words)
-                sizes.append(len(ids))
-                if len(ids):
-                    background, target = (known.losses(ids) / len(ids)).tolist()
-                    losses.append((target, background, target - background))
-                else:
-                    losses.append((None, None, None))
-            columns = [pa.array([x[i] for x in losses], pa.float64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), *columns], names=schema.names)
-
-    return texts.mapInArrow(scored, schema)
+            (texts,) = columns_of(batch, "text")
+            for at in range(0, len(texts), 256):
+                found = [hashes(t) for t in texts[at : at + 256]]
+                sizes = np.array([len(h) for h in found], np.int64)
+                ids = np.concatenate(found)
+                row = np.repeat(np.arange(len(found)), sizes)
+                going_on = np.append(row[1:] == row[:-1], False)[: len(ids)]
+                place, known = _found(words, ids)
+                a, b = ids[:-1][going_on[:-1]], ids[1:][going_on[:-1]]
+                place2, known2 = _found(pairs, pair_keys(a, b))
+                row2 = row[:-1][going_on[:-1]]
+                sums = []
+                for m in range(2):
+                    loss = np.where(known, single[m, place] if len(words) else 0.0, other[0, m])
+                    loss += np.where(going_on, np.where(known, follow[m, place] if len(words) else 0.0, other[1, m]), 0.0)
+                    total = np.bincount(row, loss, minlength=len(found))
+                    if len(pairs):
+                        total += np.bincount(row2, np.where(known2, change[m, place2], 0.0), minlength=len(found))
+                    sums.append(total)
+                n, w, p = len(found), ~known, ~known2
+                more = int(w.sum() + p.sum())
+                none = np.append(np.zeros(n, bool), np.ones(more, bool))
+                pad = lambda x, kind: pa.array(np.append(x, np.zeros(more, x.dtype)), kind, mask=none)
+                own = batch.column(0).slice(at, n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(base + np.concatenate([np.arange(n), row[w], row2[p]])),
+                        pa.concat_arrays([own, pa.nulls(more, own.type)]),
+                        pad(sizes, pa.int64()),
+                        pad(sums[0], pa.float64()),
+                        pad(sums[1], pa.float64()),
+                        pa.array(np.concatenate([base + np.arange(n), np.full(w.sum(), WORD), a[p]])),
+                        pa.array(np.concatenate([np.full(n, OTHER), ids[w], b[p]])),
+                        pa.array(np.concatenate([np.zeros(n), going_on[w], np.zeros(p.sum())]).astype(bool)),
+                    ],
+                    names=["id", "doc_id", "size", "n_sum", "t_sum", "a", "b", "goes_on"],
+                )
+                base += n
+
+    made = docs.select("doc_id", "text").mapInArrow(looked_up, f"id bigint, doc_id {doc_id}, size bigint, n_sum double, t_sum double, a bigint, b bigint, goes_on boolean")
+    made = made.select("id", "doc_id", "size", "n_sum", "t_sum", "goes_on", F.xxhash64("a", "b").alias("key"))
+    joined = made.join(rest.hint("merge"), "key", "left")
+
+    def loss(c: str) -> Column:
+        found = F.coalesce(F.col(f"{c}_single"), F.lit(0.0)) + F.when(F.col("goes_on"), F.coalesce(F.col(f"{c}_follow"), F.lit(0.0))).otherwise(0.0)
+        return F.sum(F.when(F.col("size").isNotNull(), F.col(f"{c}_sum")).otherwise(found))
+
+    summed = joined.groupBy("id").agg(F.max("doc_id").alias("doc_id"), F.max("size").alias("n_words"), loss("n").alias("n_loss"), loss("t").alias("t_loss"))
+    mean = {c: F.when(F.col("n_words") > 0, F.col(f"{c}_loss") / F.col("n_words")) for c in "nt"}
+    return summed.select("doc_id", "n_words", mean["t"].alias("target_loss"), mean["n"].alias("background_loss"), (mean["t"] - mean["n"]).alias("difference"))

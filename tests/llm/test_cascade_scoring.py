@@ -117,3 +117,31 @@ def test_odd_documents_are_scored(spark, odd, empty):
     assert lm_scoring.score(odd, labels).count() == odd.count()
     assert lm_scoring.score(empty, labels).count() == 0
     assert lm_scoring.score(odd.where(F.col("text") == ""), labels).first()["difference"] is None
+
+
+def test_entries_are_kept_from_two_at_every_size(spark, docs_of):
+    """Of 2.4 million words, a bigram that occurs twice has a probability of its own, and its loss is that of the formula."""
+    texts = [" ".join(["filler"] * 600_000)] * 4 + ["left right", "left right", "once left"]
+    labels = spark.createDataFrame([(4, 1), (5, 1)], "doc_id bigint, quality int")
+    found = {r["doc_id"]: r for r in lm_scoring.score(docs_of(texts), labels).collect()}
+    n = 2_400_000 + 6
+    size = 4  # filler, left, right, all others
+    p = lambda c, total: (c + 0.5) / (total + 0.5 * size)
+    background = -(math.log(p(3, n)) + math.log(0.7 * 2 / 3 + (1 - 0.7 * 2 / 3) * p(2, n))) / 2
+    target = -(math.log(p(2, 4)) + math.log(0.7 + 0.3 * p(2, 4))) / 2
+    assert len(found) == len(texts)
+    assert found[4]["background_loss"] == pytest.approx(background)
+    assert found[4]["target_loss"] == pytest.approx(target)
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.02, 1.0])
+def test_looked_up_and_sent_entries_score_alike(spark, docs_of, monkeypatch, hot):
+    random.seed(8)
+    texts = [" ".join(random.choice(["a", "b", "c", f"x{random.randrange(60)}", f"once{i}_{j}"]) for j in range(random.randrange(1, 30))) for i in range(40)]
+    monkeypatch.setattr(lm_scoring, "HOT_SHARE", hot)
+    monkeypatch.setattr(lm_scoring, "CHUNK", 70)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    rows = {r["doc_id"]: r for r in lm_scoring.score(docs_of(texts), labels).collect()}
+    for i, (background, target) in enumerate(brute_scores(texts, [i % 2 for i in range(40)])):
+        assert rows[i]["background_loss"] == pytest.approx(background)
+        assert rows[i]["target_loss"] == pytest.approx(target)
