@@ -15,8 +15,3 @@ def triples(spark):
     from graphprep.sources.tables import triples_from_rows
 
     return lambda *rows: triples_from_rows(spark, [tuple(row.split()) if isinstance(row, str) else row for row in rows])
-
-
-def bag(df, *columns):
-    """The rows of a DataFrame as a sorted list of tuples."""
-    return sorted((tuple(row) for row in df.select(*(columns or df.columns)).collect()), key=repr)

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import bag
+from rows import bag
 from pyspark.sql import functions as F
 
 from graphprep import schemas

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import bag
+from rows import bag
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

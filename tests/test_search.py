@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import bag
+from rows import bag
 
 from graphprep.operators import lookup, search
 

@@ -4,7 +4,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
-from conftest import bag
+from rows import bag
 from pyspark.sql import functions as F
 
 from graphprep import workspace

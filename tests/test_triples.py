@@ -1,7 +1,7 @@
 """Parsing, filtering, dictionaries, splits and encoding on literal rows."""
 
 import pytest
-from conftest import bag
+from rows import bag
 from pyspark.sql import functions as F
 
 from graphprep.functions.text import RDFS_LABEL, extract_label
