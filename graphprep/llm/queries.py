@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphprep.llm import fingerprints, host_rules, jaccard_join, license_scan, lm_scoring, mixing, packing, resharding, secret_scan, url_cascade
+from graphprep.llm import fingerprints, host_rules, jaccard_join, license_scan, lm_scoring, mixing, packing, resharding, secret_scan, token_counts, url_cascade
 from graphprep.llm.url_cascade import Rule
 from graphprep.workspace import stage
 
@@ -115,3 +115,8 @@ def op10_flow_resharding(spark, sf_dir):
     rows = docs.select("doc_id", resharding.text_size(F.col("text")).alias("size"), crc.alias("text_crc32"), old.alias("old"), F.monotonically_increasing_id().alias("id"))
     placed = resharding.assign(stage(rows, "shard-rows"), SHARDS, ["doc_id", "text_crc32"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"))
+
+
+@query
+def op13_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
