@@ -40,8 +40,8 @@ LIMIT = 512
 CHUNK = 256
 #: Characters that are scanned at once.
 BLOCK = 1 << 20
-#: Compiled transitions and remembered pieces of one worker.
-REMEMBERED = 3_000_000
+#: Compiled transitions, compared pairs of tokens and remembered pieces of one worker; beyond, all are forgotten.
+REMEMBERED = 2_000_000
 
 # The pattern's contractions. A quote counts as their beginning only at the beginning of a piece.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -305,7 +305,7 @@ class Merger:
 
     def __call__(self, piece: bytes) -> int:
         """Tokens of a piece."""
-        if len(self.steps) + len(self.pieces) > self.remembered:
+        if len(self.steps) + len(self.pairs) + len(self.pieces) > self.remembered:
             self.forget()
         state = total = 0
         step = self.steps.get
