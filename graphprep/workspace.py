@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW = "_row"
 ROW_NUMBERS = 4096
@@ -80,4 +81,6 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), row_ids:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    # Read by the known schema: no file has to be opened for it, and a partitioned table may be empty.
+    inner = [f for f in table.schema.fields if f.name not in partition_by]
+    return spark.read.schema(T.StructType([*inner, *[table.schema[c] for c in partition_by]])).parquet(path)
