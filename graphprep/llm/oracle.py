@@ -143,3 +143,23 @@ fits as (select page_id, host, path, first(h || p order by length(h || p) desc,
 select u.page_id, u.host, u.path, rule, coalesce(verdict, case when l.k is not null then 'block' else 'allow' end) verdict, l.k is not null listed
 from u left join fits f on f.page_id is not distinct from u.page_id and f.host = u.host and f.path = u.path left join listed l on l.k = u.host || u.path
 """
+
+ORACLE["op12_phrase_collocations"] = r"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) piece from d),
+w as (select lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda x: x <> '') ws from pieces),
+starts as (select lang, ws, unnest(range(1, len(ws) + 1)) i from w),
+grams as (select lang, k, array_to_string(ws[i:i + k - 1], ' ') phrase from starts, range(1, 6) sizes(k) where i + k - 1 <= len(ws)),
+totals as (select lang, count(*) n from grams where k = 1 group by lang),
+f as (select lang, phrase, any_value(k) k, count(*) a from grams group by lang, phrase having count(*) >= 100),
+c as (select *, string_split(phrase, ' ') ws from f where k > 1),
+cuts as (select lang, phrase, a, cut, array_to_string(ws[:cut], ' ') lhs, array_to_string(ws[cut + 1:], ' ') rhs
+  from (select *, unnest(range(1, k)) cut from c)),
+scored as (select cuts.lang, cuts.phrase, cuts.a, cut, x.a l, y.a r, n, ((1000::hugeint * cuts.a * n) // (x.a::hugeint * y.a))::bigint score
+  from cuts join f x on x.lang = cuts.lang and x.phrase = lhs join f y on y.lang = cuts.lang and y.phrase = rhs join totals on totals.lang = cuts.lang),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inside as (select lang, array_to_string(ws[i:i + size - 1], ' ') phrase, max(a) around
+  from (select *, unnest(range(1, k - size + 2)) i from (select *, unnest(range(2, k)) size from c where k > 2)) group by all),
+kept as (select weakest.* from weakest left join inside using (lang, phrase) where around is null or 100 * around < 100 * a)
+select * from (select lang, row_number() over (partition by lang order by score desc, a desc, phrase) rank, phrase, a, l, r, n, score from kept) where rank <= 2000
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphprep.llm import conversation_repair, fingerprints, host_rules, jaccard_join, license_scan, lm_scoring, mixing, packing, resharding, secret_scan, token_counts, url_cascade
+from graphprep.llm import collocations, conversation_repair, fingerprints, host_rules, jaccard_join, license_scan, lm_scoring, mixing, packing, resharding, secret_scan, token_counts, url_cascade
 from graphprep.llm.url_cascade import Rule
 from graphprep.workspace import stage
 
@@ -122,6 +122,11 @@ def op11_conversation_repair(spark, sf_dir):
     return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
