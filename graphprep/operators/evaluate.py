@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphprep.functions.hashing import digest, number
 from graphprep.functions.vectors import inner_product, project
+from graphprep.operators import slices
 from graphprep.operators.lookup import hot_keys, lookup_join, unique_join
+from graphprep.workspace import stage
 
 EDGE = ["subj", "obj", "rel", "part_left", "part_right"]
 SEED = 11
-SLICE = 1 << 20
+#: Bytes of projected vectors that one task deals out to slices at once.
+DEAL_BYTES = 32 << 20
+#: Candidates scored at once in a cell.
+PAIRS = 8192
 
 
 def _position(partition: str, index: str) -> Column:
@@ -44,20 +55,6 @@ def missing_vectors(edges: DataFrame, embeddings: DataFrame, hot=()) -> DataFram
     )
 
 
-def densely_numbered(entities: DataFrame) -> DataFrame:
-    """``partition, ordinal, index``: the entities that exist, numbered from 0 in each partition by index.
-
-    Numbered in slices of indexes, so no task sorts more than ``SLICE`` of them.
-    """
-    placed = entities.select("partition", "index", F.floor(F.col("index") / SLICE).alias("_slice"))
-    before = Window.partitionBy("partition").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("partition", "_slice").count()
-    starts = starts.select("partition", "_slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("partition", "_slice").orderBy("index"))
-    numbered = placed.withColumn("_place", place).join(starts, ["partition", "_slice"])
-    return numbered.select("partition", (F.col("_start") + F.col("_place") - 1).cast("int").alias("ordinal"), "index")
-
-
 def hot_positions(edges: DataFrame, **options) -> list[int]:
     """Frequent entities of ``edges`` as values of the position key."""
     keyed = edges.select(
@@ -91,15 +88,31 @@ def score_triples(
     return scored.withColumn("score", inner_product(F.col("vector"), F.col("_target"))).drop("vector", "_target")
 
 
+def _draw(side: str, seed: int, total: Column, number_: Column) -> Column:
+    """A draw from ``total`` entities, as a hash of the edge, the draw's number and the seed."""
+    key = digest(F.lit(str(seed)), F.lit(side), *[F.col(c).cast("string") for c in EDGE], number_.cast("string"))
+    return F.pmod(number(key, 15), total)
+
+
 def negative_samples(
-    edges: DataFrame, entities: DataFrame, n: int = 500, side: str = "rhs", seed: int = SEED
+    edges: DataFrame, entities: DataFrame, n: int = 500, side: str = "rhs", seed: int = SEED, on_missing: str = "error"
 ) -> DataFrame:
     """``n`` uniform draws from all ``entities(partition, index)`` per edge, as ``draw, cand_part, cand_index``.
 
-    ``side`` is the end that is replaced. A draw is a hash of the edge, the draw's number and the seed, read as a global
-    position and then split into partition and index by the partitions' sizes (one row per partition). Indexes must be
-    dense, as those of a dictionary are: gaps are an error (see ``densely_numbered``).
+    ``side`` is the end that is replaced. A draw is a hash read as an ordinal over the entities, by partition and index.
+    Indexes must be dense, as those of a dictionary are, then an ordinal is split into partition and index by the partitions'
+    sizes (one row per partition). Gaps are an error; with ``on_missing="drop"`` ordinals count only the entities that exist,
+    and are looked up in bitmaps of the slices (see ``slices``).
     """
+    drawn = edges.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    if on_missing == "drop":
+        found = slices.slice_map(entities, slices.BITMAP_ROWS)
+        if not found.total:
+            raise ValueError("there are no entities to draw from")
+        ordinals = drawn.withColumn("_ordinal", _draw(side, seed, F.lit(found.total), F.col("draw")))
+        return slices.existing(ordinals, entities, "_ordinal", slices=found)
+    if on_missing != "error":
+        raise ValueError(f"unknown on_missing {on_missing!r}")
     counted = entities.groupBy("partition").agg(F.count(F.lit(1)).alias("count"), F.max("index").alias("last"))
     gap = F.raise_error(F.concat(F.lit("the indexes of partition "), F.col("partition"), F.lit(" have gaps")))
     dense = F.when(F.col("last") == F.col("count") - 1, F.col("count")).otherwise(gap.cast("bigint"))
@@ -112,9 +125,8 @@ def negative_samples(
         lambda done, s: F.concat(done, F.array(F.element_at(done, -1) + s["count"])),
     )
     layout = sizes.select(F.struct("sizes", starts.alias("starts"), "total").alias("layout"))
-    drawn = edges.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("_layout", layout.scalar())
-    key = digest(F.lit(str(seed)), F.lit(side), *[F.col(c).cast("string") for c in EDGE], F.col("draw").cast("string"))
-    placed = drawn.withColumn("_global", F.pmod(number(key, 15), F.col("_layout.total")))
+    drawn = drawn.withColumn("_layout", layout.scalar())
+    placed = drawn.withColumn("_global", _draw(side, seed, F.col("_layout.total"), F.col("draw")))
     slot = F.size(F.filter(F.col("_layout.starts"), lambda start: start <= F.col("_global")))
     placed = placed.withColumn("_slot", slot)
     return placed.select(
@@ -125,6 +137,95 @@ def negative_samples(
     )
 
 
+def dealt_to_slices(edges: DataFrame, found: slices.SliceMap, dimension: int) -> DataFrame:
+    """``edges(.., vector, draws)`` to ``slice, .., vector, places``: a row for each slice that an edge has draws in.
+
+    However many candidates an edge draws from a slice, its vector goes there once; with it go their places in the slice.
+    """
+    kept = [c for c in edges.columns if c != "draws"]
+    schema = T.StructType([T.StructField("slice", T.IntegerType()), *[edges.schema[c] for c in kept], T.StructField("places", T.ArrayType(T.IntegerType()))])
+    names = schema.names
+    shared = edges.sparkSession.sparkContext.broadcast(found)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices_ = shared.value
+        n_slices = len(slices_.numbers)
+        for batch in batches:
+            draws = batch.column(batch.schema.get_field_index("draws"))
+            per_edge = len(draws.flatten()) // max(1, batch.num_rows)
+            step = max(1, DEAL_BYTES // (8 * max(1, dimension) * max(1, min(n_slices, per_edge))))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                drawn = part.column(part.schema.get_field_index("draws"))
+                rows = np.repeat(np.arange(part.num_rows), np.diff(drawn.offsets.to_numpy()))
+                slice_, place = slices_.find(drawn.flatten().to_numpy())
+                order = np.argsort(rows * n_slices + slice_, kind="stable")
+                key = (rows * n_slices + slice_)[order]
+                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                takes = pa.array(key[first] // n_slices)
+                columns = [part.column(part.schema.get_field_index(c)).take(takes) for c in kept]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place[order], pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(key[first] % n_slices, pa.int32()), *columns, lists], names=names)
+
+    return edges.mapInArrow(deal, schema)
+
+
+def _better(vectors: np.ndarray, asked: np.ndarray, scores: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For each edge, how many of its candidates score higher than its true end.
+
+    Coordinates are added up one after the other, in the order ``functions.vectors.inner_product`` adds them, so an edge's true
+    end, drawn as a candidate, has exactly its own score.
+    """
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    found = np.zeros(len(sizes), np.int64)
+    for at in range(0, len(rows), PAIRS):
+        row = rows[at : at + PAIRS]
+        left = np.ascontiguousarray(vectors[places[at : at + PAIRS]].T, np.float64)
+        right = np.ascontiguousarray(asked[row].T)
+        total = np.zeros(len(row))
+        for a, b in zip(right, left):
+            total += a * b
+        found += np.bincount(row, total > scores[row], len(sizes)).astype(np.int64)
+    return found
+
+
+def _floats(column: pa.Array) -> np.ndarray:
+    """A list column of equally long vectors as a matrix, in their own precision."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    if column.null_count or len(set(np.diff(column.offsets.to_numpy()))) > 1:
+        raise ValueError("all vectors must have the same dimension")
+    return flat.reshape(len(column), -1)
+
+
+def _score_cells(names: list[str]):
+    """Cells one after the other: first the vectors of a slice in the order of their indexes, then its edges, as a stream."""
+    kept = names[:-1]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, parts, vectors = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = batch.schema.get_field_index
+            keys = np.stack([batch.column(at(c)).to_numpy() for c in ("slice", "block", "kind")])
+            cuts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))).tolist() + [batch.num_rows]
+            for start, stop in zip(cuts[:-1], cuts[1:]):
+                run = batch.slice(start, stop - start)
+                if cell != (key := tuple(keys[:2, start])):
+                    cell, parts, vectors = key, [], None
+                if keys[2, start] == 0:
+                    parts.append(_floats(run.column(at("embedding"))))
+                    continue
+                if vectors is None:
+                    vectors, parts = np.concatenate(parts), []
+                lists = run.column(at("places"))
+                sizes = np.diff(lists.offsets.to_numpy())
+                found = _better(vectors, _floats(run.column(at("vector"))), run.column(at("score")).to_numpy(), sizes, lists.flatten().to_numpy())
+                yield pa.RecordBatch.from_arrays([*[run.column(at(c)) for c in kept], pa.array(found)], names=names)
+
+    return score
+
+
 def rank_edges(
     edges: DataFrame,
     embeddings: DataFrame,
@@ -134,11 +235,16 @@ def rank_edges(
     seed: int = SEED,
     hot=(),
     on_missing: str = "error",
+    slice_bytes: int = slices.SLICE_BYTES,
 ) -> DataFrame:
     """Distinct edges with ``copies``, ``score`` and ``rank``: 1 + the candidates that score higher than the true end.
 
     All ``n`` candidates have an embedding. With ``on_missing="drop"`` the embeddings may have gaps: candidates are drawn
     from those that exist, and edges without one are left out (and counted by ``missing_vectors``).
+
+    Candidates are not joined one by one. The entities are cut into slices of at most ``slice_bytes`` of vectors; an edge's
+    vector is sent to each slice it has draws in, with their places, and scored there against the slice held as one matrix.
+    Vectors of entities are moved once (or a few times, when there are fewer slices than tasks), never per candidate.
     """
     distinct = edges.groupBy(*EDGE).agg(F.count(F.lit(1)).alias("copies"))
     replaced = "rhs" if side == "lhs" else "lhs"
@@ -146,14 +252,31 @@ def rank_edges(
     projected = projected_edges(distinct, embeddings, operators, side, hot, on_missing)
     true = _attach(projected, embeddings, partition, index, "_target", hot, on_missing)
     true = true.withColumn("score", inner_product(F.col("vector"), F.col("_target"))).drop("_target")
-    if on_missing == "drop":
-        numbers = densely_numbered(embeddings)
-        place = embeddings.join(numbers, ["partition", "index"])
-        embeddings = place.select("partition", F.col("ordinal").alias("index"), "embedding")
-    drawn = negative_samples(true, embeddings, n, replaced, seed)
-    compared = _attach(drawn, embeddings, "cand_part", "cand_index", "_candidate")
-    better = (inner_product(F.col("vector"), F.col("_candidate")) > F.col("score")).cast("long")
-    return compared.groupBy(*EDGE, "copies", "score").agg((F.sum(better) + 1).alias("rank"))
+    true = stage(true.select(*EDGE, "copies", "score", "vector"), "ranked-edges")
+    some = embeddings.select(F.size("embedding")).first()
+    dimension = some[0] if some else 0
+    found = slices.slice_map(embeddings, slices.slice_rows(dimension, slice_bytes), dense=on_missing == "error")
+    n_edges = true.count()
+    if not n_edges:
+        return true.select(*EDGE, "copies", "score", F.lit(1).cast("bigint").alias("rank"))
+    draws = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: _draw(replaced, seed, F.lit(found.total), i))
+    dealt = dealt_to_slices(true.withColumn("draws", draws), found, dimension)
+
+    spark = embeddings.sparkSession
+    n_slices = len(found.numbers)
+    # Fewer slices than tasks: an edge's rows go to one of several copies of a slice.
+    blocks = max(1, min(math.ceil(spark.sparkContext.defaultParallelism / n_slices), math.ceil(n_edges / 1000)))
+    block = F.pmod(F.xxhash64(*EDGE), F.lit(blocks)).cast("int")
+    asked = dealt.select("slice", block.alias("block"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("index"), F.lit(None).cast("array<float>").alias("embedding"), *EDGE, "copies", "score", "vector", "places")
+    numbered = embeddings.select("partition", "index", "embedding", slices.number_of(found.rows).alias("number"))
+    placed = numbered.join(F.broadcast(found.table(spark)), ["partition", "number"])
+    nothing = [F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in (*EDGE, "copies", "score", "vector", "places")]
+    copies = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    held = placed.select("slice", copies.alias("block"), F.lit(0).alias("kind"), "index", F.col("embedding").cast("array<float>").alias("embedding"), *nothing)
+    cells = held.unionByName(asked).repartition("slice", "block").sortWithinPartitions("slice", "block", "kind", "index")
+    schema = T.StructType([*[asked.schema[c] for c in (*EDGE, "copies", "score")], T.StructField("better", T.LongType())])
+    compared = cells.mapInArrow(_score_cells(schema.names), schema)
+    return compared.groupBy(*EDGE, "copies", "score").agg((F.sum("better") + 1).alias("rank"))
 
 
 def rank_summary(ranks: DataFrame, *hits_at: int) -> DataFrame:

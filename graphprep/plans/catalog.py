@@ -627,15 +627,38 @@ def score_translation(spark, sf_dir):
     return scored.withColumn("score", rounded("score"))
 
 
+def _with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the embeddings taken away."""
+    return sample.embeddings(spark, sf_dir).where((F.col("index") + F.col("partition")) % 3 != 1)
+
+
+@query
+def missing_vectors(spark, sf_dir):
+    edges = sample.vector_edges(spark, sf_dir)
+    return evaluate.missing_vectors(edges, _with_gaps(spark, sf_dir), evaluate.hot_positions(edges))
+
+
 @query
 def rank_missing(spark, sf_dir):
-    """A third of the embeddings taken away: edges without a vector, and how many are ranked."""
+    """Ranks of the edges whose ends both have an embedding, against candidates that have one."""
     edges = sample.vector_edges(spark, sf_dir)
-    gaps = sample.embeddings(spark, sf_dir).where((F.col("index") + F.col("partition")) % 3 != 1)
-    hot = evaluate.hot_positions(edges)
-    ranks = evaluate.rank_edges(edges, gaps, sample.complex_operators(spark, sf_dir), n=20, hot=hot, on_missing="drop")
-    ranked = ranks.agg(F.sum("copies").alias("ranked"), F.max("rank").between(1, 21).alias("in_range"))
-    return evaluate.missing_vectors(edges, gaps, hot).crossJoin(ranked)
+    found = evaluate.rank_edges(
+        edges,
+        _with_gaps(spark, sf_dir),
+        sample.complex_operators(spark, sf_dir),
+        n=NEGATIVES,
+        hot=evaluate.hot_positions(edges),
+        on_missing="drop",
+    )
+    return found.withColumn("score", rounded("score"))
+
+
+@query
+def negative_samples_gaps(spark, sf_dir):
+    """Draws from the entities that have an embedding."""
+    return evaluate.negative_samples(
+        sample.vector_edges(spark, sf_dir), _with_gaps(spark, sf_dir), n=NEGATIVES, side="rhs", on_missing="drop"
+    )
 
 
 @query

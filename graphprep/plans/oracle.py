@@ -216,6 +216,14 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         join sizes on n >= start and n < start + c
         """,
     ),
+    "gneg": (
+        ["drawn", "v"],
+        """
+        select drawn.*, p as cand_part, i as cand_index from drawn
+        join (select p, i, row_number() over (order by p, i) - 1 as n, count(*) over () as total from v where (i + p) % 3 <> 1) there
+        on there.n = ('0x' || substr(h, 1, 15))::bigint % total
+        """,
+    ),
     "ranks": (
         ["neg", "proj", "v"],
         """
@@ -359,12 +367,25 @@ ORACLE: dict[str, str] = {
            from e join v a on a.vec_id = e.vec_id join first on first.label = e.rel join v t on t.vec_id = e.first""",
         "e",
     ),
-    "rank_missing": _sql(
-        """select count(*) as edges, count(*) filter (l) as "left", count(*) filter (r) as "right", count(*) filter (l or r) as either,
-               (count(*) - count(*) filter (l or r))::bigint as ranked, true as in_range
+    "missing_vectors": _sql(
+        """select count(*) as edges, count(*) filter (l) as "left", count(*) filter (r) as "right", count(*) filter (l or r) as either
            from (select (part_left + subj) % 3 = 1 as l, (part_right + obj) % 3 = 1 as r from e)""",
         "e",
     ),
+    "rank_missing": _sql(
+        """select gneg.subj, gneg.obj, rel, part_left, part_right, 1::bigint as copies, round(any_value(list_dot_product(y, a.x)), 6) as score,
+               (1 + count(*) filter (where list_dot_product(y, b.x) > list_dot_product(y, a.x)))::bigint as "rank"
+           from gneg join proj on proj.vec_id = gneg.vec_id and side = 'lhs' join v a on a.vec_id = first
+           join v b on b.p = cand_part and b.i = cand_index
+           where (part_left + gneg.subj) % 3 <> 1 and (part_right + gneg.obj) % 3 <> 1
+           group by gneg.subj, gneg.obj, rel, part_left, part_right""",
+        "gneg",
+        "proj",
+        "v",
+    ),
+    "negative_samples_gaps": _sql(
+        "select subj, obj, rel, part_left, part_right, draw::int as draw, cand_part, cand_index from gneg", "gneg"
+    ),
     "entity_dictionary": _sql("select * from ents", "ents"),
     "relation_dictionary": _sql("select * from rels", "rels"),
     "encode_triples": _sql("select * from coded", "coded"),

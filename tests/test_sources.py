@@ -114,4 +114,3 @@ def test_gaps_in_embeddings_are_not_passed_over(spark):
     assert bag(evaluate.missing_vectors(edges, vectors)) == [(2, 0, 1, 1)]
     ranks = evaluate.rank_edges(edges, vectors, moves, n=50, on_missing="drop")
     assert bag(ranks, "obj", "copies") == [(2, 1)]
-    assert bag(evaluate.densely_numbered(vectors)) == [(0, 0, 0), (0, 1, 2)]
