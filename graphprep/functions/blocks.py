@@ -8,6 +8,9 @@ import numpy as np
 import pyarrow as pa
 
 QUESTION_BLOCK = 256
+ENTITY_BLOCK = 4096
+#: Twice the relative rounding error of a score in single precision, and more than that of sums in double.
+ROUNDING = 1e-6
 HITS = "question_id long, k int, partition int, index int, dist float"
 HITS_ARROW = pa.schema(
     [
@@ -52,42 +55,74 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return scores, ids
 
 
+def norms(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+
+
 class Scorer:
     """Keeps the best k entities of each (question, partition) over the batches it is shown.
 
-    Questions are worked through in blocks of similar k, so one large k does not inflate the others.
+    Questions are worked through in blocks of similar k, so one large k does not inflate the others. Entities are worked
+    through by falling norm: a product is at most the product of the norms, so once that is below the k-th best score of every
+    question of a block, the rest of the batch is passed over. ``floors`` gives, for a partition, scores already known to be
+    reached by k entities for each question. ``scored`` and ``skipped`` count (question block, entity) pairs.
     """
 
-    def __init__(self, question_ids: np.ndarray, vectors: np.ndarray, ks: np.ndarray):
+    def __init__(self, question_ids: np.ndarray, vectors: np.ndarray, ks: np.ndarray, floors: dict[int, np.ndarray] | None = None):
         order = np.argsort(ks, kind="stable")
         self.blocks = [
             (question_ids[rows], ks[rows], vectors[rows])
             for rows in (order[start : start + QUESTION_BLOCK] for start in range(0, len(order), QUESTION_BLOCK))
         ]
+        self.norms = [norms(vectors) for _, _, vectors in self.blocks]
+        cuts = range(QUESTION_BLOCK, len(order), QUESTION_BLOCK)
+        self.floors = {partition: np.split(known[order], cuts) for partition, known in (floors or {}).items()}
+        self.scored = self.skipped = 0
         self.clear()
 
     def clear(self) -> None:
         self.kept: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         self.size = 0
 
+    def least_norm(self, partition: int, number: int, k: int) -> float:
+        """Entities with a smaller norm than this have no place among the best k of any question of a block."""
+        reached = np.full(len(self.norms[number]), -np.inf)
+        if partition in self.floors:
+            reached = np.maximum(reached, self.floors[partition][number])
+        kept = self.kept.get((partition, number))
+        if kept is not None and kept[0].shape[1] >= k:
+            reached = np.maximum(reached, kept[0].min(axis=1))
+        asked = self.norms[number]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            # Scores are rounded to single precision: what might be rounded up to the k-th best is not passed over.
+            least = np.where((asked > 0) & (reached > 0), reached / asked * (1 - ROUNDING), -np.inf)
+        return float(least.min()) if len(least) else np.inf
+
     def add(self, partitions: np.ndarray, indexes: np.ndarray, embeddings: np.ndarray) -> None:
+        lengths = norms(embeddings)
         for partition in np.unique(partitions):
-            rows = partitions == partition
-            entities, ids = embeddings[rows], indexes[rows].astype(np.int32)
+            rows = np.flatnonzero(partitions == partition)
+            rows = rows[np.argsort(-lengths[rows], kind="stable")]
             for number, (_, ks, vectors) in enumerate(self.blocks):
-                k = int(ks.max())
-                scores = (vectors @ entities.T).astype(np.float32)
-                all_ids = np.broadcast_to(ids, scores.shape)
-                scores, all_ids = best(scores, all_ids, k)
-                key = (int(partition), number)
-                if key in self.kept:
-                    old_scores, old_ids = self.kept[key]
-                    self.size -= old_scores.size
-                    scores = np.concatenate([old_scores, scores], axis=1)
-                    all_ids = np.concatenate([old_ids, all_ids], axis=1)
-                    scores, all_ids = best(scores, all_ids, k)
-                self.kept[key] = (scores, np.array(all_ids))
-                self.size += scores.size
+                k, key = int(ks.max()), (int(partition), number)
+                for start in range(0, len(rows), ENTITY_BLOCK):
+                    part = rows[start : start + ENTITY_BLOCK]
+                    least = self.least_norm(*key, k)
+                    if lengths[part[0]] < least:
+                        self.skipped += len(rows) - start
+                        break
+                    part = part[: np.searchsorted(-lengths[part], -least, side="right")]
+                    self.scored += len(part)
+                    self.skipped += min(ENTITY_BLOCK, len(rows) - start) - len(part)
+                    scores = (vectors @ embeddings[part].T).astype(np.float32)
+                    scores, ids = best(scores, np.broadcast_to(indexes[part].astype(np.int32), scores.shape), k)
+                    if key in self.kept:
+                        old_scores, old_ids = self.kept[key]
+                        self.size -= old_scores.size
+                        scores = np.concatenate([old_scores, scores], axis=1)
+                        scores, ids = best(scores, np.concatenate([old_ids, ids], axis=1), k)
+                    self.kept[key] = (scores, np.array(ids))
+                    self.size += scores.size
 
     def drain(self) -> Iterator[pa.RecordBatch]:
         """Hand out what is kept and forget it; the caller ranks it again."""

@@ -8,33 +8,46 @@ once, and a request's vector is projected once.
 
 Two ways to bring questions and embeddings together, chosen by a check of the number of questions and of their k:
 
-* up to ``BROADCAST_ROWS`` of them are broadcast as one matrix and the embeddings are scanned where they lie;
-* beyond that both sides are spread over a grid of cells of bounded size, each cell scoring its share of the questions
-  against its share of the embeddings.
-
-Either way a task hands on only its best k per question and partition, never the scores.
+* up to ``BROADCAST_ROWS`` of them (and ``BROADCAST_BYTES`` of vectors) are broadcast as one matrix and the embeddings are
+  scanned where they lie;
+* beyond that both sides are spread over a grid of cells of at most ``CELL_BYTES``, each cell scoring its share of the questions
+  against its share of the embeddings. Each side is sent to as many cells as the other has shares, so half of a cell is given
+  to either, or what the questions leave if they need less.
+
+Either way a task hands on only its best k per question and partition, never the scores. A product is at most the product of
+the norms, so a task passes over what is too short to be among the best (see ``blocks.Scorer``). For embeddings stored by norm
+(``sinks.write_by_norm``) the longest ones are scored first, and of the others only those long enough for some question are
+read: the condition on the norm reaches the scan, and whole row groups are passed over.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphprep.functions.blocks import HITS, HITS_ARROW, Scorer, matrix
+from graphprep.functions.blocks import HITS, HITS_ARROW, ROUNDING, Scorer, matrix, norms
 from graphprep.functions.vectors import operator_side, project
 from graphprep.operators.lookup import hot_keys, salted_join, small_copy, unique_join
+from graphprep.sources.tables import ByNorm
 from graphprep.workspace import stage
 
 QUESTION = ["entity", "relation", "side", "k"]
-# Questions and wanted hits (the sum of k) that one task may hold; and the hits after which a task hands on early.
-BROADCAST_ROWS = CELL_QUESTIONS = 10_000
+# Questions, bytes of their vectors and wanted hits (the sum of k) that one task may hold; and the hits after which a task
+# hands on early.
+BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 64 << 20
 BROADCAST_HITS = CELL_HITS = 1_000_000
 TASK_HITS = 5_000_000
-CELL_ENTITIES = 200_000
+CELL_BYTES = 256 << 20
+#: Known scores, of questions times partitions, that the driver takes to pass over short embeddings.
+FLOORS = 1_000_000
+
 
 
 def questions_of(requests: DataFrame) -> DataFrame:
@@ -92,13 +105,23 @@ def projected_questions(
     return fetched.select("question_id", "k", vector.alias("vector"))
 
 
-def _scan(embeddings: DataFrame, projected: DataFrame) -> DataFrame:
+class _Asked(NamedTuple):
+    """Few questions, as the tasks get them."""
+
+    ids: np.ndarray
+    vectors: np.ndarray
+    ks: np.ndarray
+
+
+def _asked(projected: DataFrame) -> _Asked:
     block = projected.select("question_id", "vector", "k").toArrow()
-    if block.num_rows == 0:
+    return _Asked(block["question_id"].to_numpy(), matrix(block["vector"]), block["k"].to_numpy())
+
+
+def _scan(embeddings: DataFrame, asked: _Asked, floors: dict[int, np.ndarray] | None = None) -> DataFrame:
+    if not len(asked.ids):
         return embeddings.sparkSession.createDataFrame([], HITS)
-    shared = embeddings.sparkSession.sparkContext.broadcast(
-        (block["question_id"].to_numpy(), matrix(block["vector"]), block["k"].to_numpy())
-    )
+    shared = embeddings.sparkSession.sparkContext.broadcast((*asked, floors))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*shared.value)
@@ -112,11 +135,54 @@ def _scan(embeddings: DataFrame, projected: DataFrame) -> DataFrame:
     return embeddings.select("partition", "index", "embedding").mapInArrow(score, HITS)
 
 
+def long_enough(asked: _Asked, floors: dict[int, np.ndarray]) -> Column:
+    """Whether an embedding's ``norm`` might place it among the best of any question, given the scores already reached."""
+    lengths = norms(asked.vectors)
+    condition = ~F.col("partition").isin(list(floors))
+    for partition, known in floors.items():
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where((lengths > 0) & (known > 0), known / lengths * (1 - ROUNDING), 0.0).min(initial=np.inf)
+        condition = condition | ((F.col("partition") == partition) & (F.col("norm") >= float(least)))
+    return condition
+
+
+def _scan_by_norm(embeddings: ByNorm, asked: _Asked, max_k: int) -> DataFrame:
+    """The longest embeddings first; then those of the rest that are long enough for what has been reached."""
+    first = stage(_top(_scan(embeddings.head, asked), ["question_id", "partition"], "_place", max_k).drop("_place"), "long-hits")
+    reached = first.groupBy("question_id", "partition").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("dist"), F.first("k").alias("k"))
+    reached = reached.where("n >= k").select("question_id", "partition", "dist")
+    # With too many questions and partitions nothing is passed over; the answers are the same.
+    rows = reached.limit(FLOORS + 1).toArrow()
+    floors: dict[int, np.ndarray] = {}
+    if 0 < rows.num_rows <= FLOORS:
+        order = np.argsort(asked.ids)
+        place = order[np.searchsorted(asked.ids, rows["question_id"].to_numpy(), sorter=order)]
+        partitions, dist = rows["partition"].to_numpy(), rows["dist"].to_numpy()
+        for partition in np.unique(partitions):
+            own = partitions == partition
+            floors[int(partition)] = np.full(len(asked.ids), -np.inf)
+            floors[int(partition)][place[own]] = dist[own]
+    rest = embeddings.rest.where(long_enough(asked, floors)) if len(floors) <= 256 else embeddings.rest
+    return first.unionByName(_scan(rest, asked, floors))
+
+
 def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def _grid(embeddings: DataFrame, projected: DataFrame, columns: int) -> DataFrame:
+def cell_shares(questions: int, hits: int, dimension: int, cell_bytes: int) -> tuple[int, int]:
+    """``(shares of the questions, entities of a cell)`` so that both sides of a cell take at most ``cell_bytes`` as doubles.
+
+    With V entities, Q questions and cells for a and b of them, V * Q / b + Q * V / a rows are sent: least for a = b, unless
+    all questions need less than that.
+    """
+    row = 8 * max(1, dimension)
+    half = max(1, cell_bytes // 2 // row)
+    shares = max(1, math.ceil(questions / half), math.ceil(hits / CELL_HITS))
+    return shares, max(1, cell_bytes // row - math.ceil(questions / shares))
+
+
+def _grid(embeddings: DataFrame, projected: DataFrame, columns: int, cell_entities: int) -> DataFrame:
     """Cells of one slice of one partition by one share of the questions.
 
     A partition has as many slices as its size asks for, so a partition holding a third of all entities has a third of
@@ -124,7 +190,7 @@ def _grid(embeddings: DataFrame, projected: DataFrame, columns: int) -> DataFram
     """
     layout, cells = [], 0
     for row in embeddings.groupBy("partition").count().collect():
-        slices = math.ceil(row["count"] / CELL_ENTITIES)
+        slices = math.ceil(row["count"] / cell_entities)
         layout.append((row["partition"], slices, cells))
         cells += slices
     spark = embeddings.sparkSession
@@ -147,11 +213,10 @@ def _grid(embeddings: DataFrame, projected: DataFrame, columns: int) -> DataFram
     )
 
     def score(entities: pa.Table, questions: pa.Table) -> pa.Table:
-        if not questions.num_rows:
+        if not questions.num_rows or not entities.num_rows:
             return HITS_ARROW.empty_table()
         scorer = Scorer(questions["question_id"].to_numpy(), matrix(questions["vector"]), questions["k"].to_numpy())
-        for batch in entities.to_batches(max_chunksize=10_000):
-            scorer.add(batch["partition"].to_numpy(), batch["index"].to_numpy(), matrix(batch["embedding"]))
+        scorer.add(entities["partition"].to_numpy(), entities["index"].to_numpy(), matrix(entities["embedding"]))
         return pa.Table.from_batches(scorer.drain(), schema=HITS_ARROW)
 
     cell = ["cell_row", "cell_column"]
@@ -169,23 +234,29 @@ def _top(hits: DataFrame, groups: list[str], rank: str, max_k: int) -> DataFrame
 
 
 def nearest(
-    questions: DataFrame, projected: DataFrame, embeddings: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    questions: DataFrame,
+    projected: DataFrame,
+    embeddings: DataFrame | ByNorm,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> tuple[DataFrame, int, int]:
     """``(question_id, k, partition, index, dist)``, the k best of each partition; the largest k; and the sum of all."""
     facts = questions.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"), F.sum("k").alias("hits")).first()
     max_k, wanted = facts["k"] or 1, facts["hits"] or 0
-    if facts["n"] <= broadcast_rows and wanted <= BROADCAST_HITS:
-        hits = _scan(embeddings, projected)
+    one = (embeddings.head if isinstance(embeddings, ByNorm) else embeddings).select(F.size("embedding")).first()
+    dimension = one[0] if one else 0
+    if facts["n"] <= broadcast_rows and wanted <= BROADCAST_HITS and 8 * dimension * facts["n"] <= BROADCAST_BYTES:
+        asked = _asked(projected)
+        hits = _scan_by_norm(embeddings, asked, max_k) if isinstance(embeddings, ByNorm) else _scan(embeddings, asked)
     else:
-        columns = max(1, math.ceil(facts["n"] / CELL_QUESTIONS), math.ceil(wanted / CELL_HITS))
-        hits = _grid(embeddings, projected, columns)
+        table = embeddings.all if isinstance(embeddings, ByNorm) else embeddings
+        hits = _grid(table, projected, *cell_shares(facts["n"], wanted, dimension, CELL_BYTES))
     best = _top(hits, ["question_id", "partition"], "_place", max_k)
     return best.select("question_id", "k", "partition", "index", "dist"), max_k, wanted
 
 
 def knn(
     requests: DataFrame,
-    embeddings: DataFrame,
+    embeddings: DataFrame | ByNorm,
     operators: DataFrame,
     entity_names: DataFrame,
     relation_names: DataFrame,
@@ -228,15 +299,19 @@ def knn(
         fetched = small_copy(located)
         located = located if fetched is None else fetched
         few = fetched is not None
-    projected = projected_questions(located, embeddings, operators, few)
+    table = embeddings.all if isinstance(embeddings, ByNorm) else embeddings
+    projected = projected_questions(located, table, operators, few)
     scanned = embeddings
     if partitioned and named_only == "before":
-        scanned = embeddings.join(entity_names.select("partition", "index"), ["partition", "index"], "left_semi")
+        named = entity_names.select("partition", "index")
+        parts = embeddings if isinstance(embeddings, ByNorm) else [embeddings]
+        parts = [part.join(named, ["partition", "index"], "left_semi") for part in parts]
+        scanned = ByNorm(*parts) if isinstance(embeddings, ByNorm) else parts[0]
     best, max_k, wanted = nearest(questions, projected, scanned, broadcast_rows)
     labels = entity_names.select("partition", "index", F.col("ent").alias("uri"), F.coalesce("name", F.lit("")).alias("name"))
     hits = best if partitioned else _top(best, ["question_id"], "rank", max_k)
     # At most the sum of all k for each partition: few enough hits are taken to the names.
-    partitions = embeddings.select("partition").distinct().count() if partitioned and few else 1
+    partitions = table.select("partition").distinct().count() if partitioned and few else 1
     if few and partitions * wanted <= BROADCAST_HITS:
         answer = labels.join(F.broadcast(hits), ["partition", "index"])
     else:

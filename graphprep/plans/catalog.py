@@ -570,6 +570,17 @@ def knn_translation(spark, sf_dir):
     return found.withColumn("dist", rounded("dist"))
 
 
+@query
+def knn_by_norm(spark, sf_dir):
+    """The neighbour job over embeddings stored by norm."""
+    paths = {name: scratch_path(spark, name) for name in ("embeddings", "operators", "names", "relations")}
+    sinks.write_by_norm(sample.embeddings(spark, sf_dir), paths["embeddings"], head_rows=64)
+    for name, rows in (("operators", sample.complex_operators), ("names", sample.vector_names), ("relations", sample.vector_relations)):
+        rows(spark, sf_dir).write.parquet(paths[name])
+    found = jobs.knn_partitioned(sample.knn_requests(spark, sf_dir), *paths.values(), by_norm=True)
+    return found.withColumn("dist", rounded("dist"))
+
+
 @query
 def knn_unknown_keys(spark, sf_dir):
     return _partitioned(spark, sf_dir, sample.document_requests(spark, sf_dir))

@@ -162,13 +162,18 @@ def knn_partitioned(
     entity_names_path: str,
     relation_names_path: str,
     kind: str = COMPLEX,
+    by_norm: bool = False,
     **options,
 ) -> DataFrame:
-    """Neighbours over partitioned embeddings; unnamed entities are left out. ``kind`` is that of the operators."""
+    """Neighbours over partitioned embeddings; unnamed entities are left out. ``kind`` is that of the operators.
+
+    ``by_norm`` says that the embeddings were stored by ``sinks.write_by_norm``.
+    """
     spark = requests.sparkSession
+    read = tables.read_by_norm if by_norm else tables.read_embeddings
     return knn(
         requests,
-        tables.read_embeddings(spark, embeddings_path),
+        read(spark, embeddings_path),
         tables.read_operators(spark, operators_path, kind),
         names.unique_names(tables.read_names(spark, entity_names_path)),
         names.unique_names(tables.read_names(spark, relation_names_path)),

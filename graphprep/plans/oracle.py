@@ -478,6 +478,7 @@ ORACLE: dict[str, str] = {
         "proj",
     ),
     "knn_partitioned": _knn(_NAMED),
+    "knn_by_norm": _knn(_NAMED),
     "knn_named_before": _knn(_NAMED, before=True),
     "knn_unknown_keys": _sql(
         """select query_id, "rank", uri, round(dist::double, 6) as dist, name from (

@@ -34,6 +34,7 @@ EMBEDDING = _table(
     index=T.IntegerType(),
     embedding=T.ArrayType(T.FloatType()),
 )
+NORMED = T.StructType([*EMBEDDING.fields, T.StructField("norm", T.DoubleType())])
 OPERATOR = _table(
     rel=T.IntegerType(),
     side=T.StringType(),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphprep import schemas
+from graphprep.functions.vectors import inner_product
 from graphprep.operators import buckets
 
 
@@ -45,6 +46,25 @@ def write_names(names: DataFrame, path: str, files: int | None = None) -> None:
     spread.write.mode("overwrite").parquet(path)
 
 
+def write_by_norm(embeddings: DataFrame, path: str, head_rows: int = 4096, block_bytes: int = 8 << 20) -> None:
+    """Embeddings by falling norm: the ``head_rows`` longest of each partition under ``head/``, all others under ``rest/``.
+
+    The rest is dealt out by ranges of (partition, norm), so each row group (of about ``block_bytes``) is a block of similar
+    norms whose greatest and least are in the file's statistics, and a condition on the norm passes over whole blocks.
+    """
+    table = schemas.conform(embeddings, schemas.EMBEDDING)
+    table = table.withColumn("norm", F.sqrt(inner_product(F.col("embedding"), F.col("embedding"))))
+    order = [F.desc("norm"), F.asc("index")]
+    place = F.row_number().over(Window.partitionBy("partition").orderBy(*order))
+    table.withColumn("_place", place).where(F.col("_place") <= head_rows).drop("_place").write.mode("overwrite").parquet(f"{path}/head")
+    spark = embeddings.sparkSession
+    # One row for each partition: its last one in the head.
+    last = spark.read.parquet(f"{path}/head").groupBy("partition").agg(F.max(F.struct(-F.col("norm"), "index")).alias("_last"))
+    rest = table.join(F.broadcast(last), "partition").where(F.struct(-F.col("norm"), "index") > F.col("_last")).drop("_last")
+    spread = rest.repartitionByRange("partition", F.desc("norm")).sortWithinPartitions("partition", *order)
+    spread.write.mode("overwrite").option("parquet.block.size", block_bytes).parquet(f"{path}/rest")
+
+
 def write_buckets(coded: DataFrame, partitions: int, path: str) -> None:
     """The trainer's edge columns per bucket under ``edges/`` and one manifest row per grid cell under ``manifest/``."""
     spread = buckets.bucket_export(coded).hint("rebalance", "part_left", "part_right")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,22 @@ def read_embeddings(spark: SparkSession, path: str, dimension: int | None = None
     return check_embeddings(spark.read.parquet(path), dimension)
 
 
+class ByNorm(NamedTuple):
+    """Embeddings stored by norm: the longest ones of each partition, and the rest; both with their ``norm``."""
+
+    head: DataFrame
+    rest: DataFrame
+
+    @property
+    def all(self) -> DataFrame:
+        return self.head.unionByName(self.rest).drop("norm")
+
+
+def read_by_norm(spark: SparkSession, path: str) -> ByNorm:
+    """What ``sinks.write_by_norm`` has written."""
+    return ByNorm(*(schemas.conform(spark.read.parquet(f"{path}/{part}"), schemas.NORMED) for part in ("head", "rest")))
+
+
 def read_operators(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     """Relation operators of both sides, all kinds or one."""
     table = schemas.conform(spark.read.parquet(path), schemas.OPERATOR)

@@ -14,7 +14,8 @@ from graphprep.operators import evaluate, lookup
 from graphprep.operators import knn as knn_module
 from graphprep.operators.knn import knn
 from graphprep.plans.jobs import knn_one_index
-from graphprep.sources.tables import check_embeddings
+from graphprep.sources import sinks
+from graphprep.sources.tables import check_embeddings, read_by_norm
 
 DIM = 6
 PARTITIONS = 3
@@ -98,8 +99,7 @@ def way(request, monkeypatch):
         return {}
     monkeypatch.setattr(lookup, "SMALL_ROWS", 2)
     monkeypatch.setattr(knn_module, "hot_keys", lambda df, key: lookup.hot_keys(df, key, fraction=1.0, min_hits=20))
-    monkeypatch.setattr(knn_module, "CELL_QUESTIONS", 20)
-    monkeypatch.setattr(knn_module, "CELL_ENTITIES", 25)
+    monkeypatch.setattr(knn_module, "CELL_BYTES", 45 * 8 * DIM)
     return {"broadcast_rows": 1}
 
 
@@ -219,6 +219,103 @@ def test_scorer_over_many_batches():
             assert set(hits[(hits.question_id == q) & (hits.partition == p)]["index"]) >= set(wanted)
 
 
+def skewed(n, rng, d=8):
+    """Vectors of which a few are very long."""
+    return rng.normal(size=(n, d)) * np.geomspace(100, 0.01, n)[:, None]
+
+
+def best_of(hits, k):
+    """The k best of each question and partition, as ``(score, index)``."""
+    found = {}
+    for row in hits.itertuples(index=False):
+        found.setdefault((row.question_id, row.partition), []).append((-row.dist, row[3]))
+    return {key: sorted(rows)[:k] for key, rows in found.items()}
+
+
+def test_short_vectors_are_passed_over():
+    rng = np.random.default_rng(7)
+    entities, questions = skewed(60_000, rng), rng.normal(size=(50, 8))
+    scorer = blocks.Scorer(np.arange(50), questions, np.full(50, 10))
+    partitions = np.arange(60_000) % 2
+    for start in range(0, 60_000, 20_000):
+        part = np.arange(start, start + 20_000)
+        scorer.add(partitions[part], part, entities[part])
+    assert scorer.skipped > 45_000 and scorer.scored + scorer.skipped == 60_000
+    scores = (questions @ entities.T).astype(np.float32)
+    found = best_of(pa.Table.from_batches(scorer.drain()).to_pandas(), 10)
+    for q in range(50):
+        for p in range(2):
+            assert found[q, p] == sorted((-scores[q, i], i) for i in range(p, 60_000, 2))[:10]
+    known = {p: np.array([-found[q, p][-1][0] for q in range(50)]) for p in (0, 1)}
+    again = blocks.Scorer(np.arange(50), questions, np.full(50, 10), known)
+    again.add(partitions[30_000:], np.arange(30_000, 60_000), entities[30_000:])
+    assert again.scored == 0  # what is known from the long ones rules out all of the short ones
+
+
+@given(st.data())
+@settings(max_examples=60, deadline=None)
+def test_passing_over_changes_no_answer(data):
+    """Ties, zero vectors, negative scores, questions of different k, batches in any order."""
+    rng = np.random.default_rng(data.draw(st.integers(0, 10**6)))
+    n, q = data.draw(st.integers(1, 80)), data.draw(st.integers(1, 6))
+    entities = rng.integers(-2, 3, size=(n, 3)) * rng.choice([0.0, 1.0, 7.0], size=(n, 1))
+    questions = rng.integers(-2, 3, size=(q, 3)).astype(float)
+    ks = rng.integers(1, 9, size=q)
+    old = blocks.ENTITY_BLOCK
+    blocks.ENTITY_BLOCK = data.draw(st.integers(1, 9))
+    try:
+        scorer = blocks.Scorer(np.arange(q), questions, ks)
+        for part in np.array_split(rng.permutation(n), 3):
+            scorer.add(part % 2, part, entities[part])
+    finally:
+        blocks.ENTITY_BLOCK = old
+    hits = pa.Table.from_batches(scorer.drain(), schema=blocks.HITS_ARROW).to_pandas()
+    found = best_of(hits, 10**6)
+    scores = (questions @ entities.T).astype(np.float32)
+    for i in range(q):
+        for p in range(2):
+            wanted = sorted((-scores[i, e], e) for e in range(p, n, 2))[: ks[i]]
+            assert found.get((i, p), [])[: ks[i]] == wanted
+
+
+@pytest.mark.parametrize("head_rows", [1, 5, 1000])
+@pytest.mark.parametrize("named_only", ["after", "before"])
+def test_embeddings_stored_by_norm(spark, world, tmp_path, head_rows, named_only):
+    sinks.write_by_norm(world.embeddings, str(tmp_path), head_rows)
+    stored = read_by_norm(spark, str(tmp_path))
+    assert bag(stored.all) == bag(world.embeddings)
+    asked = requests()
+    table = spark.createDataFrame(asked, schemas.KNN_REQUEST)
+    found = knn(table, stored, world.operator_table, world.name_table, world.relation_table, named_only=named_only)
+    close(bag(found), world.expected(asked, named_only))
+
+
+def test_blocks_of_short_embeddings_are_not_read(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    rows = [(p, i, v.tolist()) for p in (0, 1) for i, v in enumerate(skewed(20_000, rng).astype(np.float32))]
+    table = spark.createDataFrame(rows, schemas.EMBEDDING)
+    sinks.write_by_norm(table, str(tmp_path), head_rows=50, block_bytes=100_000)
+    stored = read_by_norm(spark, str(tmp_path))
+    asked = knn_module._Asked(np.arange(20), rng.normal(size=(20, 8)), np.full(20, 5))
+    whole = knn_module._top(knn_module._scan(table, asked), ["question_id", "partition"], "_place", 5)
+    found = knn_module._top(knn_module._scan_by_norm(stored, asked, 5), ["question_id", "partition"], "_place", 5)
+    columns = ["question_id", "partition", "index", "dist"]
+    assert bag(found, *columns) == bag(whole, *columns)
+    floors = {p: np.full(20, 100.0) for p in (0, 1)}
+    long_ones = stored.rest.where(knn_module.long_enough(asked, floors))
+    plan = long_ones._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(norm" in plan
+    assert 0 < long_ones.count() < 10_000
+
+
+def test_cells_are_bounded_by_bytes():
+    for questions, dimension in ((10, 100), (10**6, 100), (10**9, 1000)):
+        shares, entities = knn_module.cell_shares(questions, 0, dimension, 1 << 26)
+        assert (-(-questions // shares) + entities) * 8 * dimension <= 1 << 26
+    shares, entities = knn_module.cell_shares(10**9, 0, 64, 1 << 26)
+    assert abs(entities - 10**9 / shares) < 2  # balanced between the sides
+
+
 def test_dimension_is_checked(spark):
     mixed = spark.createDataFrame([(0, 0, [1.0, 2.0]), (0, 1, [1.0])], schemas.EMBEDDING)
     with pytest.raises(Exception, match="dimension is not"):
