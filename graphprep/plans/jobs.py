@@ -193,14 +193,13 @@ def knn_single(
 ) -> DataFrame:
     """Neighbours over one index whose uris come from a JSON dictionary and whose names from a JSON label map.
 
-    With ``relations_path`` the three are JSON rows instead of documents, for graphs of any size: ``first, names`` for
-    the entities under ``dictionary_path`` and for the relations, ``uri, label`` for the labels.
+    With ``relations_path`` the three are JSON rows instead of documents: ``first, names`` for the entities under
+    ``dictionary_path`` and for the relations, ``uri, label`` for the labels.
     """
     spark = requests.sparkSession
     if relations_path is None:
-        listed = documents.read_documents(spark, dictionary_path).select("value")
-        entities, relations = documents.entity_ids(listed), documents.relation_ids(listed)
-        labels = documents.label_map(documents.read_documents(spark, labels_path))
+        entities, relations = documents.read_entity_ids(spark, dictionary_path), documents.read_relation_ids(spark, dictionary_path)
+        labels = documents.read_label_map(spark, labels_path)
     else:
         entities, relations = documents.read_lists(spark, dictionary_path), documents.read_lists(spark, relations_path)
         labels = documents.read_label_rows(spark, labels_path)
@@ -257,7 +256,7 @@ search_relations = search_entities
 def search_entity_labels(requests: DataFrame, labels_path: str, rows: bool = False) -> DataFrame:
     """Paged substring search over a JSON label map, or over JSON rows ``uri, label``."""
     spark = requests.sparkSession
-    labels = documents.read_label_rows(spark, labels_path) if rows else documents.label_map(documents.read_documents(spark, labels_path))
+    labels = documents.read_label_rows(spark, labels_path) if rows else documents.read_label_map(spark, labels_path)
     return search.substring_search(requests, labels)
 
 

@@ -1,8 +1,9 @@
 """JSON dictionaries and label maps.
 
-A document is one row ``value``; a malformed one is an error. An optional column ``first`` gives the id of a document's
-first entry, so that a list too long for one document can come in several; without it there may be one document only.
-Long lists are better stored as JSON rows ``first, names`` (see ``buckets.name_list``), which any number of tasks reads.
+A document in a file is read in byte ranges, by any number of tasks (``read_entity_ids`` and so on; see ``json_ranges``).
+A document that is a value of a table is one row ``value``; an optional column ``first`` gives the id of its first entry, so
+that a list can come in several documents; without it there may be one only. Long lists can also be stored as JSON rows
+``first, names`` (see ``buckets.name_list``). A malformed document is an error.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphprep.sources import json_ranges
+
 DICTIONARY = "entities struct<all: array<string>>, relations array<string>"
 
 
@@ -56,6 +59,20 @@ def relation_ids(documents: DataFrame) -> DataFrame:
     return _ids(documents, _parsed(DICTIONARY)["relations"])
 
 
+def _placed(entries: DataFrame) -> DataFrame:
+    return entries.select(F.col("pos").cast("int").alias("id"), F.col("value").alias("uri"))
+
+
+def read_entity_ids(spark: SparkSession, path: str) -> DataFrame:
+    """``entity_ids`` of the document in a file of any size."""
+    return _placed(json_ranges.read_list(spark, path, "entities", "all"))
+
+
+def read_relation_ids(spark: SparkSession, path: str) -> DataFrame:
+    """``relation_ids`` of the document in a file of any size."""
+    return _placed(json_ranges.read_list(spark, path, "relations"))
+
+
 def ids_by_uri(ids: DataFrame) -> DataFrame:
     """``(uri, id)``; a repeated uri keeps its last id."""
     return ids.groupBy("uri").agg(F.max("id").alias("id"))
@@ -70,6 +87,13 @@ def label_map(documents: DataFrame) -> DataFrame:
     return placed.groupBy(F.col("entry")["key"].alias("uri")).agg(last.alias("last")).select("uri", F.col("last")["label"].alias("label"))
 
 
+def read_label_map(spark: SparkSession, path: str) -> DataFrame:
+    """``label_map`` of the documents in files of any size, the last one by path and position."""
+    last = F.max(F.struct("document", "pos", F.col("value").alias("label")))
+    entries = json_ranges.read_map(spark, path)
+    return entries.groupBy(F.col("key").alias("uri")).agg(last.alias("last")).select("uri", F.col("last")["label"].alias("label"))
+
+
 def listed_names(lists: DataFrame) -> DataFrame:
     """``(partition, index, name)`` from the rows of ``buckets.name_list``."""
     entries = lists.select("partition", "first", F.posexplode("names").alias("pos", "name"))
