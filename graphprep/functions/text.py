@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Characters of an indexed substring.
+GRAM = 3
+
 # Fixed value: the predicate of label triples.
 RDFS_LABEL = "<http://www.w3.org/2000/01/rdf-schema#label>"
 
@@ -27,12 +30,3 @@ def tokens(text: Column) -> Column:
     """Lower-cased tokens split on single blanks; a double blank gives an empty token."""
     return F.split(F.lower(text), " ", -1)
 
-
-def grams(text: Column, n: int) -> Column:
-    """All substrings of ``n`` characters of ``text``, each once. For ``n`` = 0 the empty string."""
-    if n == 0:
-        return F.array(F.lit(""))
-    characters = F.split(text, "")
-    starts = F.sequence(F.lit(0), F.size(characters) - n)
-    pieces = F.transform(starts, lambda i: F.concat(*[characters[i + j] for j in range(n)]))
-    return F.when(F.length(text) >= n, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))

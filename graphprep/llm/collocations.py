@@ -11,8 +11,9 @@ filter and were not yet in the filter of one circle ago. These are as many steps
 for any phrase at all; a false positive merely counts a phrase that need not be. Nothing is estimated, and the filter's size
 decides the work, not the result.
 
-Inside a task texts are worked on as blocks of bytes. Words and phrases are grouped by 64-bit hashes, and each group is
-compared with its first member word by word, so hashes decide nothing either. Counts are added up by the phrases themselves.
+Inside a task texts are worked on as blocks of bytes. Phrases are known by two independent hashes of 64 bits (two different
+phrases among 10^10 agree in both with a chance of about 10^-19), so what is shuffled and kept is two numbers and a count for each
+phrase; texts of words follow only for phrases that have reached the threshold, from the scans that are made anyway.
 
 Defined results: a null text is empty, a null language is ``und``; an empty text and an empty table have no phrases; texts of any
 length are counted whole; repeated rows count each time; ties of score and count go to the least phrase by bytes; further columns
@@ -21,6 +22,7 @@ are not looked at, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -48,8 +50,11 @@ SEGMENT = 1 << 16
 PIECES, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(PIECES)], _KIND[list(BLANKS)] = 2, 1
-_BASE, _NEXT = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
-COUNTS = "lang string, size int, phrase string, n bigint"
+#: For each of the two hashes: the base of a word's polynomial, and the factor between the words of a phrase.
+_BASES, _NEXT = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+COUNTS = "one bigint, two bigint, n bigint, lang string, size int, phrase string"
+#: Phrases that a task remembers to have named.
+NAMED = 1_000_000
 
 
 class Filter:
@@ -75,22 +80,24 @@ class Filter:
         return found
 
 
-_powers = np.multiply.accumulate(np.full(1 << 10, _BASE, np.uint64))
-_salts: dict[str, int] = {}
+_powers = [np.multiply.accumulate(np.full(1 << 10, base, np.uint64)) for base in _BASES]
 
 
-def _powers_to(n: int) -> np.ndarray:
-    global _powers
-    if n > len(_powers):
-        _powers = np.multiply.accumulate(np.full(2 * n, _BASE, np.uint64))
+def _powers_to(n: int) -> list[np.ndarray]:
+    if n > len(_powers[0]):
+        _powers[:] = [np.multiply.accumulate(np.full(2 * n, base, np.uint64)) for base in _BASES]
     return _powers
 
 
-def salt_of(lang: str) -> int:
+_salts: dict[str, tuple[int, int]] = {}
+
+
+def salt_of(lang: str) -> tuple[int, int]:
     if lang not in _salts:
         if len(_salts) > 100_000:
             _salts.clear()
-        _salts[lang] = int.from_bytes(hashlib.sha256(lang.encode()).digest()[:8], "little")
+        digest = hashlib.sha256(lang.encode()).digest()
+        _salts[lang] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:16], "little")
     return _salts[lang]
 
 
@@ -111,79 +118,58 @@ class Block:
         number = {lang: i for i, lang in enumerate(names)}
         self.langs = names
         self.lang = np.array([number[lang] for lang, _ in parts], np.int32)[part]
-        self.letters = raw[word]
-        self.sizes = self.ends - self.starts
-        self.begin = np.cumsum(self.sizes) - self.sizes
+        sizes = self.ends - self.starts
+        self.hash: list[np.ndarray] = []
+        self.first: list[np.ndarray] = []
         if self.n:
-            place = np.arange(len(self.letters)) - np.repeat(self.begin, self.sizes)
-            values = (self.letters.astype(np.uint64) + np.uint64(1)) * _powers_to(int(self.sizes.max()))[place]
-            self.hash = mixed(np.add.reduceat(values, self.begin))
+            begin = np.cumsum(sizes) - sizes
+            letters = raw[word].astype(np.uint64) + np.uint64(1)
+            place = np.arange(len(letters)) - np.repeat(begin, sizes)
             salts = np.array([salt_of(lang) for lang in names], np.uint64)[self.lang]
-            self.first = mixed(self.hash ^ salts)
-        self._words: np.ndarray | None = None
+            for number_, powers in enumerate(_powers_to(int(sizes.max()))):
+                self.hash.append(mixed(np.add.reduceat(letters * powers[place], begin)))
+                self.first.append(mixed(self.hash[-1] ^ salts[:, number_]))
 
-    def longer(self, hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    def longer(self, hashes: list[np.ndarray], at: np.ndarray, size: int) -> list[np.ndarray]:
         """Hashes of the phrases of ``size`` words at places ``at``, from those of one word less."""
-        return mixed(hashes * _NEXT + self.hash[at + (size - 1)])
-
-    @property
-    def words(self) -> np.ndarray:
-        """A number for each word, the same for equal words; equal hashes are checked byte by byte."""
-        if self._words is None:
-            _, first, words = np.unique(self.hash, return_index=True, return_inverse=True)
-            there = self.begin[first][words]
-            alike = self.sizes == self.sizes[first][words]
-            if alike.all():
-                shift = np.repeat(there - self.begin, self.sizes)
-                alike = (self.letters == self.letters[np.arange(len(self.letters)) + shift]).all()
-            if not np.all(alike):
-                texts = [self.data[a:b] for a, b in zip(self.starts.tolist(), self.ends.tolist())]
-                numbers = {t: i for i, t in enumerate(dict.fromkeys(texts))}
-                words = np.array([numbers[t] for t in texts])
-            self._words = words
-        return self._words
-
-    def grouped(self, hashes: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of one of each of the phrases at ``at``, and how often it is there."""
-        _, first, group, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-        model = at[first][group]
-        alike = self.lang[at] == self.lang[model]
-        for j in range(size):
-            alike &= self.words[at + j] == self.words[model + j]
-        if not alike.all():
-            rows = np.stack([self.lang[at], *(self.words[at + j] for j in range(size))], axis=1)
-            _, first, counts = np.unique(rows, axis=0, return_index=True, return_counts=True)
-        return at[first], counts
+        return [mixed(h * factor + own[at + (size - 1)]) for h, factor, own in zip(hashes, _NEXT, self.hash)]
 
     def text(self, at: int, size: int) -> bytes:
         return b" ".join(self.data[self.starts[at] : self.ends[at + size - 1]].split())
 
-    def counts(self, step: int, shards: int, now: Filter, then: Filter, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``size``, places of phrases that are active in this step, and their counts."""
+    def scan(self, step: int, shards: int, now: Filter, then: Filter, longest: int) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]]:
+        """``size``, both hashes and places of the phrases that may be active; which of them are active in this step; which are
+        in the filter since less than a circle."""
         if not self.n:
             return
-        at, hashes = np.arange(self.n), self.first
-        if step < shards:
-            yield 1, *self.grouped(hashes, at, 1)
-        for size in range(2, longest + 1):
+        at, hashes, active = np.arange(self.n), self.first, np.full(self.n, step < shards)
+        for size in range(1, longest + 1):
             reached, before = np.zeros(self.n + 1, bool), np.zeros(self.n + 1, bool)
-            reached[at] = now.has(hashes)
+            reached[at] = now.has(hashes[0])
             there = reached[at]
-            before[at[there]] = then.has(hashes[there])
+            before[at[there]] = then.has(hashes[0][there])
+            yield size, hashes, at, active, there & ~before[at]
             both = there & reached[at + 1]
-            at, hashes = at[both], hashes[both]
-            # Both parts end within the piece; what is left to check is that the second begins there, too.
-            last = at + size - 1
-            whole = last < self.n
-            at, hashes, last = at[whole], hashes[whole], last[whole]
-            whole = self.piece[at] == self.piece[last]
-            at, hashes = at[whole], hashes[whole]
-            if not len(at):
+            at, hashes = at[both], [h[both] for h in hashes]
+            # Both parts end within their piece; the second of two words may be in the next one.
+            whole = self.piece[at] == self.piece[np.minimum(at + size, self.n - 1)]
+            at, hashes = at[whole], [h[whole] for h in hashes]
+            if not len(at) or size == longest:
                 return
-            hashes = self.longer(hashes, at, size)
+            hashes = self.longer(hashes, at, size + 1)
             active = ~(before[at] & before[at + 1])
-            if active.any():
-                yield size, *self.grouped(hashes[active], at[active], size)
+
+
+def summed(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one of each pair of hashes, and how often it is there."""
+    order = np.argsort(one, kind="stable")
+    sorted_ = one[order]
+    new = np.append(True, sorted_[1:] != sorted_[:-1])[: len(order)]
+    if (two[order][1:] != two[order][:-1])[~new[1:]].any():
+        order = np.lexsort((two, one))
+        new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))[: len(order)]
+    begins = np.flatnonzero(new)
+    return order[begins], np.diff(np.append(begins, len(order)))
 
 
 def blocks_of(langs: list[str], texts: list[str], size: int = BLOCK) -> Iterator[list[tuple[str, bytes]]]:
@@ -212,37 +198,47 @@ def blocks_of(langs: list[str], texts: list[str], size: int = BLOCK) -> Iterator
 
 
 def count_shard(shard: DataFrame, step: int, shards: int, now: Filter, then: Filter, longest: int) -> DataFrame:
-    """``lang, size, phrase, n`` of the phrases that are active in this step."""
-    names = ["lang", "size", "phrase", "n"]
+    """Rows of three kinds, added up within tasks' blocks: ``one, two, n`` of the phrases that are active in this step;
+    ``one, two, lang, size, phrase`` of those that are in the filter since less than a circle; and ``lang, n``, words."""
+    names = ["one", "two", "n", "lang", "size", "phrase"]
     filters = shard.sparkSession.sparkContext.broadcast((now.bits, now.data, then.data))
 
+    def rows(length: int, **columns) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string())
+        return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(length, kind)) for name, kind in zip(names, kinds)], names=names)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, new, old = filters.value
         current, earlier = Filter(bits, new), Filter(bits, old)
+        named: set[int] = set()
         for batch in batches:
             for parts in blocks_of(*columns_of(batch, "lang", "text")):
                 block = Block(parts)
-                for size, at, counts in block.counts(step, shards, current, earlier, longest):
-                    for part in range(0, len(at), 200_000):
-                        places = at[part : part + 200_000]
-                        phrases = pa.array([block.text(i, size) for i in places.tolist()], pa.binary()).cast(pa.string())
-                        langs = pa.array(block.langs, pa.string()).take(pa.array(block.lang[places]))
-                        sizes = pa.array(np.full(len(places), size, np.int32))
-                        yield pa.RecordBatch.from_arrays([langs, sizes, phrases, pa.array(counts[part : part + 200_000].astype(np.int64))], names=names)
-
-    return shard.select("lang", "text").mapInArrow(count, COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-
-
-def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
-    """The hashes that ``Block`` gives to phrases."""
-    block = Block([(lang, phrase.encode()) for lang, phrase in zip(langs, phrases)])
-    begins = np.flatnonzero(np.diff(block.piece, prepend=-1))  # each phrase is a piece of its own
-    sizes = np.diff(np.append(begins, block.n))
-    hashes = block.first[begins]
-    for size in range(2, int(sizes.max(initial=1)) + 1):
-        longer = sizes >= size
-        hashes[longer] = block.longer(hashes[longer], begins[longer], size)
-    return hashes
+                if step < shards and block.n:
+                    langs, n = np.unique(block.lang, return_counts=True)
+                    yield rows(len(n), lang=pa.array([block.langs[i] for i in langs]), n=pa.array(n.astype(np.int64)))
+                one, two = [], []
+                for size, hashes, at, active, fresh in block.scan(step, shards, current, earlier, longest):
+                    one.append(hashes[0][active].view(np.int64))
+                    two.append(hashes[1][active].view(np.int64))
+                    where = np.flatnonzero(fresh)
+                    if len(where):
+                        where = where[np.unique(hashes[0][where], return_index=True)[1]]
+                        where = np.array([i for i, h in zip(where.tolist(), hashes[0][where].tolist()) if h not in named], np.int64)
+                    if len(where):
+                        named.update(hashes[0][where].tolist())
+                        phrases = pa.array([block.text(i, size) for i in at[where].tolist()], pa.binary()).cast(pa.string())
+                        langs = pa.array(block.langs, pa.string()).take(pa.array(block.lang[at[where]]))
+                        keys = {name: pa.array(h[where].view(np.int64)) for name, h in zip(("one", "two"), hashes)}
+                        yield rows(len(where), lang=langs, size=pa.array(np.full(len(where), size, np.int32)), phrase=phrases, **keys)
+                if len(named) > NAMED:
+                    named.clear()
+                if one and sum(map(len, one)):
+                    one_, two_ = np.concatenate(one), np.concatenate(two)
+                    first, n = summed(one_, two_)
+                    yield rows(len(n), one=pa.array(one_[first]), two=pa.array(two_[first]), n=pa.array(n.astype(np.int64)))
+
+    return shard.select("lang", "text").mapInArrow(count, COUNTS)
 
 
 def filled(reached: DataFrame, bits: int) -> list[tuple[int, bytes]]:
@@ -251,7 +247,7 @@ def filled(reached: DataFrame, bits: int) -> list[tuple[int, bytes]]:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                hashes = phrase_hashes(*columns_of(batch, "lang", "phrase"))
+                hashes = batch.column(0).to_numpy().view(np.uint64)
                 found = np.unique(np.concatenate([Filter.places(hashes, bits, probe) for probe in range(PROBES)])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array((found // (8 * SEGMENT)).astype(np.int32)), pa.array(found % (8 * SEGMENT))], names=["segment", "bit"])
 
@@ -273,7 +269,7 @@ def filled(reached: DataFrame, bits: int) -> list[tuple[int, bytes]]:
         if data is not None:
             yield pa.RecordBatch.from_arrays([pa.array([open_], pa.int32()), pa.array([data.tobytes()], pa.binary())], names=["segment", "data"])
 
-    marked = reached.select("lang", "phrase").mapInArrow(places, "segment int, bit bigint")
+    marked = reached.select("one").mapInArrow(places, "segment int, bit bigint")
     dealt = marked.repartition("segment").sortWithinPartitions("segment")
     return [(row["segment"], row["data"]) for row in dealt.mapInArrow(segments, "segment int, data binary").collect()]
 
@@ -288,30 +284,30 @@ def frequent_phrases(
     if bits is None:
         corpus = stored.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
         bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(corpus / 16 + 1))))
-    filters = [Filter(bits)]  # before each step
-    done: list[DataFrame] = []
-    words: list[DataFrame] = []
+    filters: list[Filter | None] = [Filter(bits)]  # before each step
+    done, names, words = [], [], []
     open_ = None
     step, last_reached = 0, -1
     while step < max(shards, last_reached + 1 + shards):
         then = filters[step - shards] if step >= shards else Filter(bits)
-        counted = count_shard(stored.where(F.col("shard") == step % shards), step, shards, filters[step], then, longest)
-        fresh = counted.select("lang", "size", "phrase", "n", F.lit(step).alias("since"), F.lit(None).cast("int").alias("reached"))
-        if step < shards:
-            # Stored apart only while single words are counted, whose sum is wanted as well.
-            fresh = stage(fresh, "phrase-step")
-            words.append(fresh.where("size = 1").groupBy("lang").agg(F.sum("n").alias("n")))
+        rows = count_shard(stored.where(F.col("shard") == step % shards), step, shards, filters[step], then, longest)
+        # Three kinds of rows from one scan, added up together, as a phrase's text is the same in all of its rows.
+        sums = rows.groupBy("one", "two", "lang", "size", "phrase").agg(F.sum("n").alias("n"))
+        kind = F.when(F.col("phrase").isNotNull(), 1).when(F.col("one").isNull(), 2).otherwise(0)
+        scan = stage(sums.withColumn("kind", kind), "phrase-step", partition_by=("kind",))
+        names.append(scan.where("kind = 1").select("one", "two", "lang", "size", "phrase"))
+        words.append(scan.where("kind = 2").select("lang", "n"))
+        fresh = scan.where("kind = 0").select("one", "two", "n", F.lit(step).alias("since"), F.lit(None).cast("int").alias("reached"))
         both = fresh if open_ is None else open_.unionByName(fresh)
-        sums = both.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since"), F.min("reached").alias("reached"))
+        sums = both.groupBy("one", "two").agg(F.sum("n").alias("n"), F.min("since").alias("since"), F.min("reached").alias("reached"))
         now_reached = F.when(F.col("reached").isNull() & (F.col("n") >= threshold), F.lit(step)).otherwise(F.col("reached"))
         # A phrase seen a full circle ago is counted through: it is kept if frequent, or dropped.
         complete = (F.col("since") <= step - shards + 1).cast("int")
         table = sums.withColumns({"reached": now_reached, "complete": complete}).where((F.col("complete") == 0) | (F.col("n") >= threshold))
         table = stage(table, "phrase-counts", partition_by=("complete",))
-        done.append(table.where("complete = 1").select("lang", "size", "phrase", "n"))
+        done.append(table.where("complete = 1").select("one", "two", "n"))
         open_ = table.where("complete = 0").drop("complete")
-        new = table.where((F.col("reached") == step) & (F.col("size") < longest))
-        segments = filled(new, bits)
+        segments = filled(table.where(F.col("reached") == step), bits)
         now = filters[step]
         if segments:
             last_reached = step
@@ -323,13 +319,11 @@ def frequent_phrases(
         if step >= shards:
             filters[step - shards] = None  # not looked at any more
         step += 1
-    done.append(open_.where(F.col("n") >= threshold).select("lang", "size", "phrase", "n"))
-    found, sizes = done[0], words[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    for more in words[1:]:
-        sizes = sizes.unionByName(more)
-    return stage(found, "phrases"), stage(sizes.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
+    done.append(open_.where(F.col("n") >= threshold).select("one", "two", "n"))
+    union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
+    # Every phrase that reached the threshold has been met, and named, in the circle after that.
+    found = union(done).join(union(names).dropDuplicates(["one", "two"]), ["one", "two"]).select("lang", "size", "phrase", "n")
+    return stage(found, "phrases"), stage(union(words).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
 
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS, bits: int | None = None) -> DataFrame:

@@ -1,29 +1,27 @@
 """Name search for a table of requests ``(query_id, query, limit, offset)``.
 
-Equal questions are answered once. Each question is looked up by the rarest of its terms and the candidates are then
-checked against the whole question, so a term found in a third of all names costs nothing unless it is asked for alone.
-The lookup is an equi-join on the term; names are never paired with all questions.
-
-The matches of one question are never gathered in one task: totals are counted by a map-side aggregate, ranks of
-questions asked for their first ``DEEP`` matches are bounded in every task before the shuffle, and the matches of
-deeper questions are ranked in ranges of bounded size.
+Names are searched in a stored index (``name_index``), or in one that is made for the occasion when a table of names is given.
+Equal questions are answered once. Their matches are ids in the order of the answers, in lists for each range of ids, stored once
+for the sizes and the pages: a rank is a place in these lists, so nothing is sorted, the matches of one question are never
+gathered in one task, and a page far back costs no more than the first. Labels are fetched for the rows of the pages alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphprep.functions.text import grams, tokens
-from graphprep.operators.lookup import SALTS, hot_keys, salted_join, small_copy
+from graphprep.functions.text import tokens
+from graphprep.operators import name_index
+from graphprep.operators.lookup import hot_keys, salted_join, small_copy, unique_join
+from graphprep.operators.name_index import GRAMS, WORD, NameIndex
 from graphprep.workspace import stage
 
-GRAM = 3
 PAGE_BLOCK = 100
-DEEP = 1000
+#: Rows of pages that are taken to the names.
+BROADCAST_PAGES = 200_000
 
 
 def word_index(names: DataFrame) -> DataFrame:
@@ -53,65 +51,14 @@ def _ask(requests: DataFrame, question: Column) -> _Requests:
     return _Requests(rows.withColumns({"question": question, "_end": end}), copy is not None)
 
 
-def _candidates(questions: DataFrame, items: DataFrame, few: bool) -> DataFrame:
-    """``questions(question, depth, terms)`` joined with ``items(.., terms)`` on each question's rarest term.
-
-    Every match of a question has all its terms, so the candidates cover all matches. With ``few`` questions the names
-    are scanned where they lie; otherwise the join is shuffled, with hot terms spread.
-    """
-    item_columns = [c for c in items.columns if c != "terms"]
-    asked = questions.select("question", "depth", F.explode("terms").alias("term"))
-    terms = asked.select("term").distinct()
-    postings = items.select(*item_columns, F.explode("terms").alias("term"))
-    used = postings.select("term").join(terms, "term", "left_semi")
-    rarity = asked.join(used.groupBy("term").count(), "term", "left").fillna(0, ["count"])
-    rarest = (
-        rarity.groupBy("question", "depth")
-        .agg(F.min(F.struct("count", "term")).alias("rarest"))
-        .where(F.col("rarest.count") > 0)
-        .select("question", "depth", F.col("rarest.term").alias("term"))
-    )
-    # Fetched once when it is as small as the requests: the matches are read twice, for the pages and for the totals.
-    probes = small_copy(rarest) if few else None
-    if probes is not None:
-        return postings.join(F.broadcast(probes), "term")
-    hot = hot_keys(postings, "term")
-    if not hot:
-        return postings.join(rarest, "term")
-    is_hot = F.col("term").isin(hot)
-    slice_of = F.when(is_hot, F.pmod(F.xxhash64(*item_columns), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    copies = F.sequence(F.lit(0), F.when(is_hot, F.lit(SALTS - 1)).otherwise(F.lit(0)))
-    spread = rarest.withColumn("_salt", F.explode(copies))
-    return postings.withColumn("_salt", slice_of).join(spread, ["term", "_salt"]).drop("_salt")
-
-
-def _ranked(matches: DataFrame, order: list[Column], deepest: int) -> DataFrame:
-    """``matches(question, depth, ..)`` with ``rank``, at least up to each question's depth."""
-    by_question = Window.partitionBy("question").orderBy(*order)
-    shallow = matches if deepest <= DEEP else matches.where(F.col("depth") <= DEEP)
-    shallow = shallow.withColumn("rank", F.row_number().over(by_question)).where(F.col("rank") <= DEEP)
-    if deepest <= DEEP:
-        return shallow
-    # Ranges of (question, order) are found by sampling; they are written down so that both readers see the same ones.
-    spread = matches.where(F.col("depth") > DEEP).repartitionByRange("question", *order)
-    ranges = stage(spread.withColumn("_range", F.spark_partition_id()), "matches")
-    before = Window.partitionBy("question").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.groupBy("question", "_range").count()
-    starts = starts.select("question", "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("question", "_range").orderBy(*order))
-    deep = ranges.withColumn("_place", place).join(starts, ["question", "_range"])
-    rank = (F.col("_start") + F.col("_place")).cast("int")
-    return shallow.unionByName(deep.withColumn("rank", rank).select(shallow.columns))
-
-
-def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFrame:
-    """The pages of ``matches(question, depth, value, label)`` that the requests ask for.
+def _pages(asked: _Requests, index: NameIndex) -> DataFrame:
+    """The pages that the requests ask for: ``(query_id, rank, value, label, size)``.
 
     Requests meet the ranks in blocks as wide as their own page, rounded up to ``PAGE_BLOCK`` times a power of two: a
     request reaches two blocks at most, whatever other requests ask for. A rank is given once for each width that is
     asked of its question.
     """
-    deepest = asked.rows.agg(F.max("_end")).first()[0] or 0
+    matches = name_index.matches(asked.questions, index)
     width = F.greatest(F.lit(0), F.ceil(F.log2((F.col("_end") - F.col("offset")) / PAGE_BLOCK))).cast("int")
 
     def page(rank: Column) -> Column:
@@ -119,10 +66,16 @@ def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFra
 
     wanted = asked.rows.where(F.col("_end") > F.col("offset")).withColumn("_width", width)
     widths = wanted.select(F.col("question").alias("_question"), "_width").distinct()
-    sizes = matches.groupBy("question").agg(F.count(F.lit(1)).alias("size"))
-    ranked = _ranked(matches, order, deepest).join(sizes, "question")
+    # One row for each range of ids that a question has matches in.
+    before = Window.partitionBy("question").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = matches.select("question", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"), F.sum("n").over(Window.partitionBy("question")).alias("size"))
+    depths = asked.questions.withColumnRenamed("question", "_asked")
+    lists = matches.join(starts, ["question", "range"]).join(depths, F.col("question") == F.col("_asked"))
+    ids = F.slice("ids", F.lit(1), F.greatest(F.lit(0), F.least(F.col("n").cast("long"), F.col("depth") - F.col("_start"))).cast("int"))
+    ranked = lists.select("question", "_start", "size", F.shiftleft(F.col("range").cast("long"), name_index.RANGE_BITS).alias("_base"), F.posexplode(ids).alias("_pos", "_low"))
+    ranked = ranked.select("question", (F.col("_start") + F.col("_pos") + 1).cast("int").alias("rank"), (F.col("_base") + F.col("_low")).alias("id"), "size")
     ranked = ranked.join(widths, ranked["question"] == widths["_question"]).select(
-        F.concat_ws(" ", "_width", page(F.col("rank") - 1), "question").alias("_ranked_page"), "rank", "value", "label", "size"
+        F.concat_ws(" ", "_width", page(F.col("rank") - 1), "question").alias("_ranked_page"), "rank", "id", "size"
     )
     pages = F.sequence(page(F.col("offset")), page(F.col("_end") - 1))
     turned = wanted.withColumn("_block", F.explode(pages))
@@ -130,57 +83,29 @@ def _pages(asked: _Requests, matches: DataFrame, order: list[Column]) -> DataFra
     hot = [] if asked.few else hot_keys(turned, "_page")
     found = salted_join(turned, ranked, "_page", "_ranked_page", hot)
     on_page = (F.col("rank") > F.col("offset")) & (F.col("rank") <= F.col("_end"))
-    return found.where(on_page).select("query_id", "rank", "value", "label", "size")
-
+    rows = stage(found.where(on_page).select("query_id", "rank", "id", "size"), "pages")
+    named = index.entries.withColumnRenamed("id", "_named")
+    if rows.count() <= BROADCAST_PAGES:
+        shown = named.join(F.broadcast(rows), F.col("_named") == F.col("id"))
+    else:
+        shown = unique_join(rows, named, "id", "_named", hot=hot_keys(rows, "id"))
+    return shown.select("query_id", "rank", "value", "label", "size")
 
-def word_matches(questions: DataFrame, names: DataFrame, few: bool = False) -> DataFrame:
-    """``questions(question: blank-joined tokens, depth)`` to all names holding every token."""
-    words = tokens(F.col("name"))
-    items = names.select("ent", "name", "count", F.array_distinct(words).alias("terms"), words.alias("words"))
-    found = _candidates(questions.withColumn("terms", F.split("question", " ", -1)), items, few)
-    missing = F.array_except(F.split("question", " ", -1), F.col("words"))
-    return found.where(F.size(missing) == 0).select("question", "depth", "ent", "name", "count")
 
+def word_search(requests: DataFrame, names: DataFrame | NameIndex) -> DataFrame:
+    """Names whose tokens include all tokens of the query, most frequent first: ``(query_id, rank, value, label, size)``.
 
-def word_search(requests: DataFrame, names: DataFrame) -> DataFrame:
-    """Names whose tokens include all tokens of the query, most frequent first: ``(query_id, rank, value, label, size)``."""
+    ``names`` are ``(name, ent, count)`` or their index (see ``name_index.write_word_index``).
+    """
     question = F.concat_ws(" ", F.array_sort(F.array_distinct(tokens(F.col("query")))))
-    asked = _ask(requests, question)
-    matches = word_matches(asked.questions, names, asked.few)
-    matches = matches.select(
-        "question",
-        "depth",
-        F.col("ent").alias("value"),
-        F.concat_ws(" ", "name", F.col("count").cast("string"), "ent").alias("label"),
-        "count",
-    )
-    return _pages(asked, matches, [F.desc("count"), F.asc("value")])
+    index = names if isinstance(names, NameIndex) else name_index.scratch_index(names, WORD)
+    return _pages(_ask(requests, question), index)
 
 
-def substring_matches(questions: DataFrame, labels: DataFrame, few: bool = False) -> DataFrame:
-    """``questions(question: lower-cased text, depth)`` to all ``labels(uri, label)`` holding it.
+def substring_search(requests: DataFrame, labels: DataFrame | NameIndex) -> DataFrame:
+    """``labels(uri, label)`` whose label holds the query, case folded, in ``uri`` order; an empty query matches all.
 
-    The terms are the character trigrams of the question; shorter questions are their own only term.
+    ``labels`` may be their index (see ``name_index.write_label_index``).
     """
-    lengths = [
-        row[0] for row in questions.select(F.least(F.length("question"), F.lit(GRAM)).alias("n")).distinct().collect()
-    ]
-
-    def terms(text: Column, of: Callable[[int], Column]) -> Column:
-        parts = [F.when(of(n), grams(text, n)).otherwise(F.array().cast("array<string>")) for n in sorted(lengths)]
-        return F.concat(*parts) if parts else F.array().cast("array<string>")
-
-    asked_length = F.least(F.length("question"), F.lit(GRAM))
-    asked = questions.withColumn("terms", terms(F.col("question"), lambda n: asked_length == n))
-    items = labels.select(
-        "uri", "label", F.lower("label").alias("folded"), terms(F.lower("label"), lambda n: F.lit(True)).alias("terms")
-    )
-    found = _candidates(asked, items, few)
-    return found.where(F.contains("folded", "question")).select("question", "depth", "uri", "label")
-
-
-def substring_search(requests: DataFrame, labels: DataFrame) -> DataFrame:
-    """``labels(uri, label)`` whose label holds the query, case folded, in ``uri`` order; an empty query matches all."""
-    asked = _ask(requests, F.lower("query"))
-    matches = substring_matches(asked.questions, labels, asked.few)
-    return _pages(asked, matches.select("question", "depth", F.col("uri").alias("value"), "label"), [F.asc("value")])
+    index = labels if isinstance(labels, NameIndex) else name_index.scratch_index(labels, GRAMS)
+    return _pages(_ask(requests, F.lower("query")), index)

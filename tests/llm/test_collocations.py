@@ -9,7 +9,7 @@ import pytest
 
 from compare import connect, difference
 from graphprep.llm import collocations as c
-from graphprep.llm.collocations import Block, Filter, collocations, frequent_phrases, phrase_hashes
+from graphprep.llm.collocations import Block, Filter, collocations, frequent_phrases, summed
 from graphprep.llm.oracle import ORACLE
 from graphprep.llm.queries import QUERIES
 
@@ -86,26 +86,42 @@ def test_counts_are_exact_however_late_a_phrase_begins(spark, odd_rows):
     assert dict(map(tuple, sizes.collect())) == {lang: sum(v for k, v in f.items() if len(k) == 1) for lang, f in counted(odd_rows).items()}
 
 
+def scanned(block, step, shards, now, then, longest):
+    """``active`` phrases with their counts, and those to be named."""
+    found, named = Counter(), set()
+    for size, hashes, at, active, fresh in block.scan(step, shards, now, then, longest):
+        first, n = summed(hashes[0][active], hashes[1][active])
+        found.update({(block.langs[block.lang[i]], block.text(int(i), size)): int(k) for i, k in zip(at[active][first], n)})
+        named |= {block.text(int(i), size) for i in at[fresh]}
+    return found, named
+
+
 def test_a_longer_phrase_is_only_counted_once_both_parts_have_reached_the_threshold():
-    text = b"a b c a b c a b c"
-    block = Block([("en", text)])
+    block = Block([("en", b"a b c a b c a b c")])
     data = np.zeros(1 << 13, np.uint8)
-    for hash_ in phrase_hashes(["en", "en"], ["a", "b"]):
+    for word in (0, 1):
         for probe in range(c.PROBES):
-            place = int(Filter.places(np.array([hash_], np.uint64), 16, probe)[0])
+            place = int(Filter.places(block.first[0][word : word + 1], 16, probe)[0])
             data[place // 8] |= 1 << place % 8
     now, none = Filter(16, data), Filter(16)
-    seen = lambda step, now, then: [(size, block.text(int(i), size), int(n)) for size, at, counts in block.counts(step, 3, now, then, 5) for i, n in zip(at, counts)]
-    assert sorted(seen(0, none, none)) == [(1, b"a", 3), (1, b"b", 3), (1, b"c", 3)]
-    assert seen(3, now, none) == [(2, b"a b", 3)]
-    assert seen(6, now, now) == []
+    assert scanned(block, 0, 3, none, none, 5) == ({("en", b"a"): 3, ("en", b"b"): 3, ("en", b"c"): 3}, set())
+    assert scanned(block, 3, 3, now, none, 5) == ({("en", b"a b"): 3}, {b"a", b"b"})
+    assert scanned(block, 6, 3, now, now, 5) == ({}, set())
+
+
+def test_phrases_are_told_apart_by_the_second_hash_too():
+    one, two = np.array([5, 5, 7, 5, 5], np.uint64), np.array([1, 2, 1, 1, 2], np.uint64)
+    first, n = summed(one, two)
+    assert sorted((int(one[i]), int(two[i]), int(k)) for i, k in zip(first, n)) == [(5, 1, 2), (5, 2, 2), (7, 1, 1)]
+    assert [len(x) for x in summed(one[:0], two[:0])] == [0, 0]
 
 
-def test_equal_hashes_do_not_mix_phrases(monkeypatch):
-    monkeypatch.setattr(c, "mixed", lambda x: x & np.uint64(3))
-    block = Block([("en", b"aa b cc aa b dd aa b"), ("de", b"aa b")])
-    found = {(block.lang[i], block.text(int(i), size)): int(n) for size, at, n in block.counts(0, 1, Filter(4), Filter(4), 2) for i, n in zip(at, n)}
-    assert found == {(1, b"aa"): 3, (1, b"b"): 3, (1, b"cc"): 1, (1, b"dd"): 1, (0, b"aa"): 1, (0, b"b"): 1}
+def test_hashes_tell_languages_places_and_lengths_apart():
+    block = Block([("en", b"a b, ab a b"), ("de", b"a b")])
+    at = np.array([0, 3, 5])
+    pairs = block.longer([h[at] for h in block.first], at, 2)
+    assert pairs[0][0] == pairs[0][1] != pairs[0][2] and pairs[1][0] == pairs[1][1] != pairs[1][2]
+    assert len({int(h) for h in block.first[0]}) == 5
 
 
 def test_odd_and_empty_tables(spark, odd, empty):

@@ -2,10 +2,15 @@
 
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from rows import bag
 
-from graphprep.operators import lookup, search
+from graphprep.functions import postings
+from graphprep.operators import lookup, name_index, search
 
 WORDS = ["red", "blue", "the", "widget", "Bolt", "", "röd", "in", "İx"]
 
@@ -44,9 +49,11 @@ def expected(requests, hits):
 
 @pytest.fixture(params=["few requests", "many requests"])
 def size(request, monkeypatch):
-    monkeypatch.setattr(search, "DEEP", 20)
     if request.param == "many requests":
         monkeypatch.setattr(lookup, "SMALL_ROWS", 3)
+        monkeypatch.setattr(search, "BROADCAST_PAGES", 10)
+        monkeypatch.setattr(name_index, "RANGE_BITS", 5)
+        monkeypatch.setattr(name_index, "FLUSH_CHARS", 200)
         monkeypatch.setattr(search, "hot_keys", lambda df, *keys: lookup.hot_keys(df, *keys, fraction=1.0, min_hits=20))
 
 
@@ -89,10 +96,57 @@ def test_negative_pages_are_rejected(spark):
         search.word_search(asked, table).collect()
 
 
-def test_pages_cut_before_the_shuffle(spark):
+def test_pages_are_cut_from_the_lists_of_matches(spark):
+    """A question's matches beyond what is asked are never rows, and nothing is sorted by count."""
     asked, table = frames(spark, *names_and_requests())
-    plan = search.word_search(asked.where("limit < 10"), table)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    index = name_index.scratch_index(table, name_index.WORD)
+    questions = search._ask(asked, F.lower("query")).questions.where("question = 'the'")
+    found = name_index.matches(questions, index).collect()
+    assert sum(r["n"] for r in found) > 100 and len(found) == 1
+    first = search.word_search(spark.createDataFrame([(1, "the", 3, 2)], asked.schema), index)
+    assert bag(first, "rank") == [(3,), (4,), (5,)]
+
+
+def test_a_search_reads_the_buckets_of_its_terms(spark, tmp_path):
+    _, table = frames(spark, *names_and_requests())
+    index = name_index.write_word_index(table, str(tmp_path))
+    assert len(list((tmp_path / "postings").glob("bucket=*"))) > 4
+    few = index.postings.where(F.col("bucket").isin([1, 2]))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan and "IN (1,2)" in plan
+    asked = spark.createDataFrame([(1, "red the", 5, 0), (2, "zzz", 5, 0), (3, "the zzz", 5, 0)], "query_id long, query string, limit int, offset int")
+    again = name_index.read_index(spark, str(tmp_path), name_index.WORD)
+    assert bag(search.word_search(asked, again)) == bag(search.word_search(asked, table))
+
+
+def test_two_common_words_leave_only_their_intersection(spark):
+    rows = [(f"left {i}" if i % 2 else f"right {i}", f"/{i:04d}", 1) for i in range(2000)] + [("left right", "/x", 1)]
+    asked, table = frames(spark, rows, [(1, "right left", 10, 0)])
+    index = name_index.scratch_index(table, name_index.WORD)
+    found = name_index.matches(search._ask(asked, F.lit("left right")).questions, index).collect()
+    assert [(r["n"], len(r["ids"])) for r in found] == [(1, 1)]
+    few = np.array([5, 900_000])
+    assert postings.met(few, np.arange(0, 10**6, 5)).tolist() == [5, 900_000]
+
+
+def test_places_of_trigrams_must_fit(spark):
+    labels = [("/1", "abcabd"), ("/2", "abcd"), ("/3", "bcdabc"), ("/4", "xabcdé😀y"), ("/5", "ab"), ("/6", "")]
+    asked = [(i, q, 10, 0) for i, q in enumerate(["abcd", "bcabd", "cabcd", "dé😀", "é😀y", "b", "ab", "", "xabcdé😀y", "xabcdé😀yy"])]
+    table = spark.createDataFrame(labels, "uri string, label string")
+    requests = spark.createDataFrame(asked, "query_id long, query string, limit int, offset int")
+    wanted = sorted((i, uri) for i, q, _, _ in asked for uri, label in labels if q in label)
+    assert bag(search.substring_search(requests, table), "query_id", "value") == sorted(wanted, key=repr)
+
+
+@given(st.lists(st.sets(st.integers(0, 2**40), min_size=1), max_size=8))
+@settings(max_examples=80, deadline=None)
+def test_blocks_give_back_their_numbers(groups):
+    lists = [sorted(g) for g in groups]
+    values = np.array([v for g in lists for v in g], np.int64)
+    begins = np.cumsum([0, *map(len, lists)])[: len(lists)].astype(np.int64)
+    data, starts = postings.encode(values, begins)
+    cuts = [*starts.tolist(), len(data)]
+    assert [postings.decode(data[a:b].tobytes()).tolist() for a, b in zip(cuts[:-1], cuts[1:])] == lists
 
 
 def test_nothing_to_search(spark):
