@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphprep.functions.text import is_english_label
-from graphprep.operators.lookup import lookup_join, unique_join
+from graphprep.operators.lookup import HOT_LIMIT, lookup_join, unique_join
+from graphprep.workspace import stage
 
 MIN_COUNT = 5
+#: Triples from which on an entity's rows are spread.
+HOT_ROWS = 10_000
 
 
 def endpoints(triples: DataFrame) -> DataFrame:
@@ -42,13 +45,20 @@ def keep_relations(triples: DataFrame, relations: DataFrame) -> DataFrame:
     return lookup_join(triples, members, "rel", "kept_rel", "left_semi")
 
 
-def filter_min_count(triples: DataFrame, min_count: int = MIN_COUNT, hot: Collection[str] = ()) -> DataFrame:
+def filter_min_count(triples: DataFrame, min_count: int = MIN_COUNT, hot: Collection[str] | None = None) -> DataFrame:
     """Triples whose two entities and relation each occur in at least ``min_count`` triples.
 
     One pass over counts taken before any filtering, so a survivor may end with fewer triples. The relation filter
     comes first: it needs no shuffle of the triples and thins them for the two that do.
+
+    The triples are read three times: for either count, and for the result. The counts of entities are stored; both semi joins and
+    (unless given) the very frequent entities, whose rows are spread, come from there.
     """
-    entities = frequent_entities(triples, min_count).select(F.col("ent").alias("kept_ent"))
+    counts = stage(frequent_entities(triples, min_count), "entity-counts")
+    if hot is None:
+        frequent = counts.where(F.col("count") >= HOT_ROWS).orderBy(F.desc("count"), "ent").limit(HOT_LIMIT)
+        hot = [row["ent"] for row in frequent.collect()]
+    entities = counts.select(F.col("ent").alias("kept_ent"))
     kept = keep_relations(triples, frequent_relations(triples, min_count))
     kept = unique_join(kept, entities, "subj", "kept_ent", "left_semi", hot)
     return unique_join(kept, entities, "obj", "kept_ent", "left_semi", hot)

@@ -27,21 +27,30 @@ from graphprep.workspace import ROW, ROW_NUMBERS
 
 SALTS = 64
 HOT_LIMIT = 1000
+#: Counters of a summary of frequent values, the error they leave, and summaries that are merged first.
+TRACKED = 20_000
+SUMMARY_ERROR = 3.5 / TRACKED
+MERGES = 64
 SMALL_ROWS = 50_000
 SMALL_BYTES = 32 << 20  # as JSON text
 
 
-def hot_keys(df: DataFrame, *keys: str, fraction: float = 0.01, min_hits: int = 100) -> list[str]:
-    """The most frequent values over all ``keys`` columns, at most ``HOT_LIMIT`` of them.
+def hot_keys(df: DataFrame, *keys: str, min_hits: int = 10_000) -> list:
+    """The most frequent values over all ``keys`` columns: those with at least ``min_hits`` rows, at most ``HOT_LIMIT``.
 
-    Only decides which keys get salted, so a sample is enough: with the defaults a key is reported from about ten
-    thousand rows on, and one beyond the limit cannot hold more than a thousandth of the rows. The list is fetched
-    because both sides of a salted join must see the very same keys.
+    One read. Each task keeps a summary of ``TRACKED`` counters, from which rare values are dropped as it goes; summaries are
+    merged task by task into ``MERGES`` and these into one. A count is wrong by at most ``SUMMARY_ERROR`` of all rows, so every
+    value with a larger share than that and ``min_hits`` is found, wherever its rows lie. A value missing from the list cannot
+    hold more than about a thousandth of the rows. The list is fetched because both sides of a salted join must see the very
+    same keys.
     """
-    sample = df.select(*keys).sample(fraction, seed=1) if fraction < 1 else df.select(*keys)
-    values = sample.select(F.explode(F.array(*keys)).alias("key")) if len(keys) > 1 else sample.toDF("key")
-    frequent = values.groupBy("key").count().where((F.col("count") >= min_hits) & F.col("key").isNotNull())
-    return [row["key"] for row in frequent.orderBy(F.desc("count"), "key").limit(HOT_LIMIT).collect()]
+    values = df.select(F.explode(F.array(*keys)).alias("key")) if len(keys) > 1 else df.select(*keys).toDF("key")
+    kept = values.where(F.col("key").isNotNull()).withColumn("_merge", F.spark_partition_id() % MERGES)
+    summaries = kept.groupBy("_merge").agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("summary"))
+    # Grouped, as no summaries at all cannot be merged.
+    found = summaries.groupBy((F.col("_merge") * 0).alias("_all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {TRACKED}), {HOT_LIMIT})").alias("top")).first()
+    frequent = [(-row["count"], row["item"]) for row in (found["top"] if found and found["top"] else []) if row["count"] >= min_hits]
+    return [item for _, item in sorted(frequent)]
 
 
 def small_copy(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:

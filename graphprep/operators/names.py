@@ -75,14 +75,19 @@ def label_relation_names(triples: DataFrame, relations: DataFrame, strict: bool
     return named.withColumn("partition", F.lit(0)).select(COLUMNS)
 
 
-def unique_names(names: DataFrame, *by: str) -> DataFrame:
+def unique_names(names: DataFrame, *by: str, order: str = "count") -> DataFrame:
     """One row per key (``ent`` by default, or ``partition``, ``index``): the one with the highest count.
 
-    Ties go to the greatest remaining columns, so the choice does not depend on row order.
+    Ties go to the greatest remaining columns, so the choice does not depend on row order. With ``order="last"`` it is the
+    last row as the table is stored, by file and row: ``names`` then need ``_file`` and ``_row`` (see
+    ``tables.read_names(placed=True)``).
     """
     keys = list(by or ("ent",))
-    order = ["count"] + [c for c in COLUMNS if c != "count" and c not in keys]
-    best = names.groupBy(*keys).agg(F.max(F.struct(*order)).alias("best"))
+    if order not in ("count", "last"):
+        raise ValueError(f"unknown order {order!r}")
+    rest = [c for c in COLUMNS if c not in keys]
+    first = ["count"] if order == "count" else ["_file", "_row"]
+    best = names.groupBy(*keys).agg(F.max(F.struct(*first, *[c for c in rest if c not in first])).alias("best"))
     return best.select(*keys, "best.*").select(COLUMNS)
 
 

@@ -51,27 +51,29 @@ def stored_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(spread_thin(sample.triples(spark, sf_dir)), "raw", row_ids=True)
 
 
-def stored_raw_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(sample.raw_graph(spark, sf_dir), "raw")
+def stored_raw_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The raw graph, and what of it is no label; stored once, with the labels in a folder of their own."""
+    raw = sample.raw_graph(spark, sf_dir).withColumn("label", (F.col("rel") == text.RDFS_LABEL).cast("int"))
+    stored = stage(spread_thin(raw), "raw", partition_by=("label",), row_ids=True)
+    return stored.drop("label", ROW), stored.where("label = 0").drop("label")
 
 
-def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def filtered(spark: SparkSession, sf_dir: str, graph: DataFrame | None = None) -> DataFrame:
     """As the import job does it: the graph is written once, then counted and filtered."""
-    graph = stored_graph(spark, sf_dir)
-    return filters.filter_min_count(graph, hot=hot_keys(graph, "subj", "obj"))
+    return filters.filter_min_count(stored_graph(spark, sf_dir) if graph is None else graph)
 
 
-def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split(spark: SparkSession, sf_dir: str, graph: DataFrame | None = None) -> DataFrame:
     """The filtered graph with its splits, written once as every job does."""
-    return stage(splits.split_triples(filtered(spark, sf_dir)), "splits", partition_by=("split",), row_ids=True)
+    return stage(splits.split_triples(filtered(spark, sf_dir, graph)), "splits", partition_by=("split",), row_ids=True)
 
 
-def train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split(spark, sf_dir).where(F.col("split") == "train")
+def train(spark: SparkSession, sf_dir: str, graph: DataFrame | None = None) -> DataFrame:
+    return split(spark, sf_dir, graph).where(F.col("split") == "train")
 
 
-def dataset(spark: SparkSession, sf_dir: str) -> Dataset:
-    staged = split(spark, sf_dir)
+def dataset(spark: SparkSession, sf_dir: str, graph: DataFrame | None = None) -> Dataset:
+    staged = split(spark, sf_dir, graph)
     learned = staged.where(F.col("split") == "train")
     return Dataset(
         learned,
@@ -92,7 +94,17 @@ def parse_triples(spark, sf_dir):
 
 @query
 def scan_triples(spark, sf_dir):
-    return sample.triples(spark, sf_dir)
+    """Triples from a Parquet table with further columns."""
+    path = scratch_path(spark, "triples")
+    sample.triples(spark, sf_dir).withColumn("more", F.lit(1)).write.parquet(path)
+    return tables.read_triples(spark, path)
+
+
+@query
+def memory_triples(spark, sf_dir):
+    """Triples held by the program, here those of the nations."""
+    rows = sample.triples(spark, sf_dir).where(F.col("subj").startswith("/nation/")).collect()
+    return tables.triples_from_rows(spark, [tuple(row) for row in rows])
 
 
 @query
@@ -146,6 +158,17 @@ def dict_json_repeated(spark, sf_dir):
     return documents.ids_by_uri(documents.entity_ids(document))
 
 
+@query
+def dict_json_ranges(spark, sf_dir):
+    """One written document with all parts as entities, read in byte ranges."""
+    path = scratch_path(spark, "dictionary")
+    parts = sample.table(spark, sf_dir, "part")
+    entry = F.struct("p_partkey", F.concat(F.lit("/part, "), "p_partkey", F.lit('/"'), "p_name").alias("uri"))
+    names_ = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["uri"])
+    parts.agg(F.to_json(F.struct(F.struct(names_.alias("all")).alias("entities"))).alias("value")).coalesce(1).write.text(path)
+    return documents.ids_by_uri(documents.read_entity_ids(spark, path))
+
+
 @query
 def label_map_repeated(spark, sf_dir):
     """Label maps of a thousand parts each that name each brand many times: the last label counts."""
@@ -186,7 +209,7 @@ def relation_min_count(spark, sf_dir):
 
 @query
 def relation_membership(spark, sf_dir):
-    graph = stored_graph(spark, sf_dir).drop(ROW)
+    graph = sample.triples(spark, sf_dir)
     return filters.keep_relations(graph, filters.frequent_relations(graph))
 
 
@@ -425,23 +448,34 @@ def relation_names(spark, sf_dir):
 
 @query
 def label_entity_names(spark, sf_dir):
-    entities = dictionary.entity_dictionary(train(spark, sf_dir), PARTITIONS)
-    return names.label_entity_names(stored_raw_graph(spark, sf_dir), entities)
+    raw, graph = stored_raw_graph(spark, sf_dir)
+    return names.label_entity_names(raw, dictionary.entity_dictionary(train(spark, sf_dir, graph), PARTITIONS))
 
 
 @query
 def label_relation_names(spark, sf_dir):
-    relations = dictionary.relation_dictionary(train(spark, sf_dir))
-    return names.label_relation_names(stored_raw_graph(spark, sf_dir), relations)
+    raw, graph = stored_raw_graph(spark, sf_dir)
+    return names.label_relation_names(raw, dictionary.relation_dictionary(train(spark, sf_dir, graph)))
 
 
 @query
 def unique_names(spark, sf_dir):
-    data = dataset(spark, sf_dir)
-    labelled = names.label_entity_names(stored_raw_graph(spark, sf_dir), data.entities)
+    raw, graph = stored_raw_graph(spark, sf_dir)
+    data = dataset(spark, sf_dir, graph)
+    labelled = names.label_entity_names(raw, data.entities)
     return names.unique_names(names.entity_names(data.coded, data.entities).unionByName(labelled))
 
 
+@query
+def last_names(spark, sf_dir):
+    """Names stored in the order of their count, of which the last one of each uri holds."""
+    path = scratch_path(spark, "ordered-names")
+    parts = sample.part_names(spark, sf_dir)
+    again = parts.select("name", F.concat(F.lit("/group/"), F.col("index") % 97).alias("ent"), "count", "index", "partition")
+    again.unionByName(parts).coalesce(1).sortWithinPartitions("count", "index").write.parquet(path)
+    return names.unique_names(tables.read_names(spark, path, placed=True), order="last")
+
+
 @query
 def top_entities(spark, sf_dir):
     return names.most_frequent(entity_names(spark, sf_dir), 20)
@@ -495,6 +529,15 @@ def relation_word_search(spark, sf_dir):
     return jobs.search_relations(tables.read_names(spark, path).select(*asked), path)
 
 
+@query
+def stored_word_search(spark, sf_dir):
+    """The first page of each request, from a stored index of stored names."""
+    names_path, index_path = scratch_path(spark, "part-names"), scratch_path(spark, "part-index")
+    sinks.write_names(sample.part_names(spark, sf_dir), names_path)
+    jobs.index_names(spark, names_path, index_path)
+    return jobs.search_entities(sample.search_requests(spark, sf_dir), index_path=index_path)
+
+
 # Vectors
 
 
@@ -602,6 +645,24 @@ def knn_single_index(spark, sf_dir):
     return found.withColumn("dist", rounded("dist"))
 
 
+@query
+def knn_single_files(spark, sf_dir):
+    """The one-index job over a stored dictionary document and label map."""
+    paths = {name: scratch_path(spark, name) for name in ("embeddings", "operators", "dictionary", "labels")}
+    sample.single_index(spark, sf_dir).write.parquet(paths["embeddings"])
+    sample.complex_operators(spark, sf_dir).write.parquet(paths["operators"])
+    vectors_ = sample.table(spark, sf_dir, "embeddings").select(F.struct("vec_id", F.concat(F.lit("/vec/"), "vec_id").alias("uri")).alias("entry"))
+    relations = sample.vector_relations(spark, sf_dir).select(F.struct("index", F.col("ent").alias("uri")).alias("entry"))
+    listed = lambda rows: rows.agg(F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["uri"]).alias("names"))
+    both = listed(vectors_).crossJoin(listed(relations).withColumnRenamed("names", "relations"))  # a row each
+    both.select(F.to_json(F.struct(F.struct(F.col("names").alias("all")).alias("entities"), "relations")).alias("value")).write.text(paths["dictionary"])
+    labels = sample.vector_names(spark, sf_dir).select(F.col("ent"), F.col("name"))
+    entries = F.map_from_entries(F.collect_list(F.struct("ent", "name")))
+    labels.agg(F.to_json(entries).alias("value")).write.text(paths["labels"])
+    found = jobs.knn_single(sample.knn_requests(spark, sf_dir), *paths.values())
+    return found.withColumn("dist", rounded("dist"))
+
+
 # Scoring and ranking
 
 

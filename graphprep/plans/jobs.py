@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphprep.functions.vectors import COMPLEX
-from graphprep.operators import dictionary, encode, filters, names, search, splits
+from graphprep.operators import dictionary, encode, filters, name_index, names, search, splits
 from graphprep.operators.knn import knn
 from graphprep.operators.lookup import hot_keys
-from graphprep.sources import documents, sinks, tables
+from graphprep.operators.name_index import NameIndex
+from graphprep.sources import documents, sinks, tables, versions
 from graphprep.sources.text import read_triple_text
 from graphprep.workspace import spread_thin, stage
 
@@ -47,7 +48,7 @@ def import_triples(
 ) -> DataFrame:
     """Raw text to filtered triples. The parsed text is written once: counting and filtering read it three times."""
     raw = stage(spread_thin(read_triple_text(spark, path, mode)), "raw", row_ids=True)
-    return filters.filter_min_count(raw, min_count, hot_keys(raw, "subj", "obj"))
+    return filters.filter_min_count(raw, min_count)
 
 
 def write_entity_dictionary(triples: DataFrame, partitions: int, path: str) -> None:
@@ -96,6 +97,17 @@ def create_dataset(triples: DataFrame, partitions: int, root: str, method: str =
     return layout
 
 
+def publish_dataset(triples: DataFrame, partitions: int, root: str, method: str = "hash") -> Layout:
+    """``create_dataset`` as a new version under ``root``; readers change over to all of its tables at once."""
+    spark = triples.sparkSession
+    return Layout(versions.publish(spark, root, lambda path: create_dataset(triples, partitions, path, method)))
+
+
+def current_dataset(spark: SparkSession, root: str) -> Layout:
+    """The dataset that ``publish_dataset`` made last."""
+    return Layout(versions.current(spark, root))
+
+
 def generate_entity_names(coded: DataFrame, entities_path: str, path: str) -> None:
     entities = tables.read_entities(coded.sparkSession, entities_path)
     sinks.write_names(names.entity_names(coded, entities), path)
@@ -149,12 +161,27 @@ def export_dataset(
         sinks.write_relation_lists(tables.read_relations(spark, relations_in), metadata_out)
 
 
-def load_names(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """A stored names table, one row per uri, and its word index."""
-    table = names.unique_names(tables.read_names(spark, path))
+def _one_name_each(spark: SparkSession, path: str, order: str = "count") -> DataFrame:
+    return names.unique_names(tables.read_names(spark, path, placed=order == "last"), order=order)
+
+
+def load_names(spark: SparkSession, path: str, order: str = "count") -> tuple[DataFrame, DataFrame]:
+    """A stored names table, one row per uri (the most frequent, or the ``last`` one stored), and its word index."""
+    table = _one_name_each(spark, path, order)
     return table, search.word_index(table)
 
 
+def index_names(spark: SparkSession, names_path: str, index_path: str, order: str = "count") -> NameIndex:
+    """Store the search index of a stored names table, for ``search_entities``."""
+    return name_index.write_word_index(_one_name_each(spark, names_path, order), index_path)
+
+
+def index_labels(spark: SparkSession, labels_path: str, index_path: str, rows: bool = False) -> NameIndex:
+    """Store the search index of a JSON label map, or of JSON rows ``uri, label``, for ``search_entity_labels``."""
+    labels = documents.read_label_rows(spark, labels_path) if rows else documents.read_label_map(spark, labels_path)
+    return name_index.write_label_index(labels, index_path)
+
+
 def knn_partitioned(
     requests: DataFrame,
     embeddings_path: str,
@@ -245,17 +272,22 @@ def knn_one_index(
     )
 
 
-def search_entities(requests: DataFrame, names_path: str) -> DataFrame:
-    """Paged word search over a stored names table, of entities or of relations."""
-    return search.word_search(requests, load_names(requests.sparkSession, names_path)[0])
+def search_entities(requests: DataFrame, names_path: str | None = None, index_path: str | None = None) -> DataFrame:
+    """Paged word search over a stored names table, of entities or of relations, or over its stored index."""
+    spark = requests.sparkSession
+    if index_path is not None:
+        return search.word_search(requests, name_index.read_index(spark, index_path, name_index.WORD))
+    return search.word_search(requests, _one_name_each(spark, names_path))
 
 
 search_relations = search_entities
 
 
-def search_entity_labels(requests: DataFrame, labels_path: str, rows: bool = False) -> DataFrame:
-    """Paged substring search over a JSON label map, or over JSON rows ``uri, label``."""
+def search_entity_labels(requests: DataFrame, labels_path: str | None = None, rows: bool = False, index_path: str | None = None) -> DataFrame:
+    """Paged substring search over a JSON label map, over JSON rows ``uri, label``, or over their stored index."""
     spark = requests.sparkSession
+    if index_path is not None:
+        return search.substring_search(requests, name_index.read_index(spark, index_path, name_index.GRAMS))
     labels = documents.read_label_rows(spark, labels_path) if rows else documents.read_label_map(spark, labels_path)
     return search.substring_search(requests, labels)
 

@@ -295,6 +295,16 @@ _NAMED = "join vn n on n.vec_id = s.vec_id"
 ORACLE: dict[str, str] = {
     "parse_triples": _sql("select * from g", "g"),
     "scan_triples": _sql("select * from g", "g"),
+    "memory_triples": _sql("select * from g where subj like '/nation/%'", "g"),
+    "dict_json_ranges": "select concat('/part, ', p_partkey, '/\"', p_name) as uri, (row_number() over (order by p_partkey) - 1)::int as id from part",
+    "last_names": _sql(
+        """select name, ent, "count", "index", 0 as "partition" from (
+               select *, row_number() over (partition by ent order by "count" desc, "index" desc) as n from (
+                   select name, ent, "count", split_part(ent, '/', 3)::int as "index" from pn
+                   union all select name, concat('/group/', split_part(ent, '/', 3)::int % 97), "count", split_part(ent, '/', 3)::int from pn))
+           where n = 1""",
+        "pn",
+    ),
     "scan_embeddings": _sql(
         'select p as "partition", i as "index", len(x)::int as dimension, round(list_dot_product(x, x), 6) as norm from v',
         "v",
@@ -458,6 +468,9 @@ ORACLE: dict[str, str] = {
     "search_page": _sql(
         'select query_id, "rank", value, label, size from hits where "rank" > off and "rank" <= off + lim', "hits"
     ),
+    "stored_word_search": _sql(
+        'select query_id, "rank", value, label, size from hits where "rank" > off and "rank" <= off + lim', "hits"
+    ),
     "entity_substring_search": _substring("select ent as uri, name as label from pn", "pn"),
     "relation_substring_search": _substring("select distinct rel as uri, rel as label from g", "g"),
     "project_complex": _sql(
@@ -503,6 +516,14 @@ ORACLE: dict[str, str] = {
         "scored",
         "vn",
     ),
+    "knn_single_files": _sql(
+        """select query_id, "rank", concat('/vec/', s.vec_id) as uri, round(dist::double, 6) as dist,
+                  coalesce(name, '') as name
+           from (select *, row_number() over (partition by query_id order by dist desc, vec_id)::int as "rank" from scored) s
+           left join vn on vn.vec_id = s.vec_id where "rank" <= k""",
+        "scored",
+        "vn",
+    ),
     "score_triples": _sql(_SCORE.format(source="vec_id", side="lhs", target="first"), "e", "proj"),
     "score_triples_right": _sql(_SCORE.format(source="first", side="rhs", target="vec_id"), "e", "proj"),
     "negative_samples": _sql(

@@ -1,4 +1,4 @@
-"""Writers of the dataset layout. Every one of them overwrites its target."""
+"""Writers of the dataset layout. Every one of them replaces its target when the new table is whole (see ``versions.replacing``)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from graphprep import schemas
 from graphprep.functions.vectors import inner_product
 from graphprep.operators import buckets
+from graphprep.sources.versions import replacing
 
 
 def write_entities(entities: DataFrame, path: str) -> None:
@@ -15,13 +16,15 @@ def write_entities(entities: DataFrame, path: str) -> None:
     table = schemas.conform(entities, schemas.ENTITY)
     # Rebalancing gives few files per directory and splits a directory that is too large for one task.
     spread = table.hint("rebalance", "partition").sortWithinPartitions("partition", "index")
-    spread.write.mode("overwrite").partitionBy("partition").parquet(path)
+    with replacing(table.sparkSession, path) as fresh:
+        spread.write.partitionBy("partition").parquet(fresh)
 
 
 def write_relations(relations: DataFrame, path: str, files: int = 1) -> None:
     table = schemas.conform(relations, schemas.RELATION)
     spread = table.repartitionByRange(files, "index").sortWithinPartitions("index")
-    spread.write.mode("overwrite").parquet(path)
+    with replacing(table.sparkSession, path) as fresh:
+        spread.write.parquet(fresh)
 
 
 def write_coded(coded: DataFrame, path: str, tasks: int | None = None) -> None:
@@ -36,14 +39,16 @@ def write_coded(coded: DataFrame, path: str, tasks: int | None = None) -> None:
         spread = table.hint("rebalance", "part_left", "part_right")
     else:
         spread = table.repartition(tasks, "part_left", "part_right")
-    spread.write.mode("overwrite").partitionBy("part_left", "part_right").parquet(path)
+    with replacing(table.sparkSession, path) as fresh:
+        spread.write.partitionBy("part_left", "part_right").parquet(fresh)
 
 
 def write_names(names: DataFrame, path: str, files: int | None = None) -> None:
     """The names table, in ``files`` files if given (one suits relations, not the entities of a large graph)."""
     table = schemas.conform(names, schemas.NAMES)
     spread = table if files is None else table.repartition(files)
-    spread.write.mode("overwrite").parquet(path)
+    with replacing(table.sparkSession, path) as fresh:
+        spread.write.parquet(fresh)
 
 
 def write_by_norm(embeddings: DataFrame, path: str, head_rows: int = 4096, block_bytes: int = 8 << 20) -> None:

@@ -33,8 +33,13 @@ def read_coded(spark: SparkSession, path: str) -> DataFrame:
     return schemas.conform(spark.read.parquet(path), schemas.CODED)
 
 
-def read_names(spark: SparkSession, path: str) -> DataFrame:
-    return schemas.conform(spark.read.parquet(path), schemas.NAMES)
+def read_names(spark: SparkSession, path: str, placed: bool = False) -> DataFrame:
+    """The names table; ``placed`` adds the name of each row's file and its place there, as ``_file`` and ``_row``."""
+    table = spark.read.parquet(path)
+    if not placed:
+        return schemas.conform(table, schemas.NAMES)
+    where = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    return table.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.NAMES.fields] + where)
 
 
 def check_embeddings(embeddings: DataFrame, dimension: int | None = None) -> DataFrame:

@@ -98,7 +98,7 @@ def way(request, monkeypatch):
         monkeypatch.setattr(knn_module, "TASK_HITS", 5_000_000 if request.param == "scan" else 10)
         return {}
     monkeypatch.setattr(lookup, "SMALL_ROWS", 2)
-    monkeypatch.setattr(knn_module, "hot_keys", lambda df, key: lookup.hot_keys(df, key, fraction=1.0, min_hits=20))
+    monkeypatch.setattr(knn_module, "hot_keys", lambda df, key: lookup.hot_keys(df, key, min_hits=20))
     monkeypatch.setattr(knn_module, "CELL_BYTES", 45 * 8 * DIM)
     return {"broadcast_rows": 1}
 
@@ -345,7 +345,7 @@ def entity(partition, index):
 @pytest.mark.parametrize("side", ["lhs", "rhs"])
 def test_scores(spark, world, side, hot):
     pairs, edges = edges_of(spark, world)
-    keys = evaluate.hot_positions(edges, fraction=1.0, min_hits=10) if hot else ()
+    keys = evaluate.hot_positions(edges, min_hits=10) if hot else ()
     assert len(keys) == (2 if hot else 0)
     found = bag(evaluate.score_triples(edges, world.embeddings, world.operator_table, side, keys))
     wanted = []

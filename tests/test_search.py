@@ -54,7 +54,7 @@ def size(request, monkeypatch):
         monkeypatch.setattr(search, "BROADCAST_PAGES", 10)
         monkeypatch.setattr(name_index, "RANGE_BITS", 5)
         monkeypatch.setattr(name_index, "FLUSH_CHARS", 200)
-        monkeypatch.setattr(search, "hot_keys", lambda df, *keys: lookup.hot_keys(df, *keys, fraction=1.0, min_hits=20))
+        monkeypatch.setattr(search, "hot_keys", lambda df, *keys: lookup.hot_keys(df, *keys, min_hits=20))
 
 
 def test_word_search(spark, size):
