@@ -60,6 +60,12 @@ def clear(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(spark: SparkSession, table: DataFrame, part: str = "") -> None:
+    """Delete a stored table that nothing will read again, or one folder of it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_at + (f"/{part}" if part else ""))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread_thin(scan: DataFrame) -> DataFrame:
     """Shuffle the rows of a scan that has fewer tasks than the cluster has cores (one gzip file is one task)."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
@@ -83,4 +89,6 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), row_ids:
     writer.parquet(path)
     # Read by the known schema: no file has to be opened for it, and a partitioned table may be empty.
     inner = [f for f in table.schema.fields if f.name not in partition_by]
-    return spark.read.schema(T.StructType([*inner, *[table.schema[c] for c in partition_by]])).parquet(path)
+    stored = spark.read.schema(T.StructType([*inner, *[table.schema[c] for c in partition_by]])).parquet(path)
+    stored.stored_at = path
+    return stored
