@@ -11,9 +11,9 @@ filter and were not yet in the filter of one circle ago. These are as many steps
 for any phrase at all; a false positive merely counts a phrase that need not be. Nothing is estimated, and the filter's size
 decides the work, not the result.
 
-Inside a task texts are worked on as blocks of bytes. Phrases are known by two independent hashes of 64 bits (two different
-phrases among 10^10 agree in both with a chance of about 10^-19), so what is shuffled and kept is two numbers and a count for each
-phrase; texts of words follow only for phrases that have reached the threshold, from the scans that are made anyway.
+Inside a task texts are worked on as blocks of bytes. Phrases are known by two independent hashes of 64 and 32 bits (that any two
+different phrases among 10^10 agree in both has a chance of about 10^-9), so what is shuffled and kept is two numbers and a count for
+each phrase; texts of words follow only for phrases that have reached the threshold, from the scans that are made anyway.
 
 Defined results: a null text is empty, a null language is ``und``; an empty text and an empty table have no phrases; texts of any
 length are counted whole; repeated rows count each time; ties of score and count go to the least phrase by bytes; further columns
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphprep.llm.common import columns_of, mixed
-from graphprep.workspace import stage
+from graphprep.workspace import discard, stage
 
 THRESHOLD = 100
 LONGEST = 5
@@ -52,9 +52,9 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[list(PIECES)], _KIND[list(BLANKS)] = 2, 1
 #: For each of the two hashes: the base of a word's polynomial, and the factor between the words of a phrase.
 _BASES, _NEXT = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
-COUNTS = "one bigint, two bigint, n bigint, lang string, size int, phrase string"
+COUNTS = "one bigint, two int, n bigint, lang string, size int, phrase string"
 #: Phrases that a task remembers to have named.
-NAMED = 1_000_000
+NAMED = 200_000
 
 
 class Filter:
@@ -160,16 +160,32 @@ class Block:
             active = ~(before[at] & before[at + 1])
 
 
+def second(hashes: np.ndarray) -> np.ndarray:
+    """What is kept of the second hash."""
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+_slots = np.empty(1 << 20, np.int64)
+
+
 def summed(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of one of each pair of hashes, and how often it is there."""
-    order = np.argsort(one, kind="stable")
-    sorted_ = one[order]
-    new = np.append(True, sorted_[1:] != sorted_[:-1])[: len(order)]
-    if (two[order][1:] != two[order][:-1])[~new[1:]].any():
-        order = np.lexsort((two, one))
-        new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))[: len(order)]
+    """Places of one of each pair of hashes, and how often it is there.
+
+    Pairs are gathered in slots; those that do not get the slot of their hash are sorted.
+    """
+    slots = (one & len(_slots) - 1).astype(np.int64)
+    _slots[slots] = np.arange(len(one))
+    holder = _slots[slots]
+    alike = (one[holder] == one) & (two[holder] == two)
+    counts = np.bincount(holder[alike], minlength=len(one)) if len(one) else np.zeros(0, np.int64)
+    first = np.flatnonzero(counts)
+    lost = np.flatnonzero(~alike)
+    if not len(lost):
+        return first, counts[first]
+    order = lost[np.lexsort((two[lost], one[lost]))]
+    new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
     begins = np.flatnonzero(new)
-    return order[begins], np.diff(np.append(begins, len(order)))
+    return np.append(first, order[begins]), np.append(counts[first], np.diff(np.append(begins, len(order))))
 
 
 def blocks_of(langs: list[str], texts: list[str], size: int = BLOCK) -> Iterator[list[tuple[str, bytes]]]:
@@ -204,7 +220,7 @@ def count_shard(shard: DataFrame, step: int, shards: int, now: Filter, then: Fil
     filters = shard.sparkSession.sparkContext.broadcast((now.bits, now.data, then.data))
 
     def rows(length: int, **columns) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string())
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.string())
         return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(length, kind)) for name, kind in zip(names, kinds)], names=names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,17 +236,17 @@ def count_shard(shard: DataFrame, step: int, shards: int, now: Filter, then: Fil
                 one, two = [], []
                 for size, hashes, at, active, fresh in block.scan(step, shards, current, earlier, longest):
                     one.append(hashes[0][active].view(np.int64))
-                    two.append(hashes[1][active].view(np.int64))
+                    two.append(second(hashes[1][active]))
                     where = np.flatnonzero(fresh)
                     if len(where):
-                        where = where[np.unique(hashes[0][where], return_index=True)[1]]
+                        where = where[summed(hashes[0][where].view(np.int64), second(hashes[1][where]))[0]]
                         where = np.array([i for i, h in zip(where.tolist(), hashes[0][where].tolist()) if h not in named], np.int64)
                     if len(where):
                         named.update(hashes[0][where].tolist())
                         phrases = pa.array([block.text(i, size) for i in at[where].tolist()], pa.binary()).cast(pa.string())
                         langs = pa.array(block.langs, pa.string()).take(pa.array(block.lang[at[where]]))
-                        keys = {name: pa.array(h[where].view(np.int64)) for name, h in zip(("one", "two"), hashes)}
-                        yield rows(len(where), lang=langs, size=pa.array(np.full(len(where), size, np.int32)), phrase=phrases, **keys)
+                        keys = pa.array(hashes[0][where].view(np.int64)), pa.array(second(hashes[1][where]))
+                        yield rows(len(where), one=keys[0], two=keys[1], lang=langs, size=pa.array(np.full(len(where), size, np.int32)), phrase=phrases)
                 if len(named) > NAMED:
                     named.clear()
                 if one and sum(map(len, one)):
@@ -286,7 +302,8 @@ def frequent_phrases(
         bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(corpus / 16 + 1))))
     filters: list[Filter | None] = [Filter(bits)]  # before each step
     done, names, words = [], [], []
-    open_ = None
+    open_ = kept = None
+    spark = docs.sparkSession
     step, last_reached = 0, -1
     while step < max(shards, last_reached + 1 + shards):
         then = filters[step - shards] if step >= shards else Filter(bits)
@@ -305,6 +322,11 @@ def frequent_phrases(
         complete = (F.col("since") <= step - shards + 1).cast("int")
         table = sums.withColumns({"reached": now_reached, "complete": complete}).where((F.col("complete") == 0) | (F.col("n") >= threshold))
         table = stage(table, "phrase-counts", partition_by=("complete",))
+        # Added up into the new table, and not read again.
+        discard(spark, scan, "kind=0")
+        if kept is not None:
+            discard(spark, kept, "complete=0")
+        kept = table
         done.append(table.where("complete = 1").select("one", "two", "n"))
         open_ = table.where("complete = 0").drop("complete")
         segments = filled(table.where(F.col("reached") == step), bits)
@@ -322,6 +344,7 @@ def frequent_phrases(
     done.append(open_.where(F.col("n") >= threshold).select("one", "two", "n"))
     union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
     # Every phrase that reached the threshold has been met, and named, in the circle after that.
+    discard(spark, stored)
     found = union(done).join(union(names).dropDuplicates(["one", "two"]), ["one", "two"]).select("lang", "size", "phrase", "n")
     return stage(found, "phrases"), stage(union(words).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
 

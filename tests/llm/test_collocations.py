@@ -9,7 +9,7 @@ import pytest
 
 from compare import connect, difference
 from graphprep.llm import collocations as c
-from graphprep.llm.collocations import Block, Filter, collocations, frequent_phrases, summed
+from graphprep.llm.collocations import Block, Filter, collocations, frequent_phrases, second, summed
 from graphprep.llm.oracle import ORACLE
 from graphprep.llm.queries import QUERIES
 
@@ -90,7 +90,7 @@ def scanned(block, step, shards, now, then, longest):
     """``active`` phrases with their counts, and those to be named."""
     found, named = Counter(), set()
     for size, hashes, at, active, fresh in block.scan(step, shards, now, then, longest):
-        first, n = summed(hashes[0][active], hashes[1][active])
+        first, n = summed(hashes[0][active].view(np.int64), second(hashes[1][active]))
         found.update({(block.langs[block.lang[i]], block.text(int(i), size)): int(k) for i, k in zip(at[active][first], n)})
         named |= {block.text(int(i), size) for i in at[fresh]}
     return found, named
@@ -110,7 +110,7 @@ def test_a_longer_phrase_is_only_counted_once_both_parts_have_reached_the_thresh
 
 
 def test_phrases_are_told_apart_by_the_second_hash_too():
-    one, two = np.array([5, 5, 7, 5, 5], np.uint64), np.array([1, 2, 1, 1, 2], np.uint64)
+    one, two = np.array([5, 5, 7, 5, 5], np.int64), np.array([1, 2, 1, 1, 2], np.int32)
     first, n = summed(one, two)
     assert sorted((int(one[i]), int(two[i]), int(k)) for i, k in zip(first, n)) == [(5, 1, 2), (5, 2, 2), (7, 1, 1)]
     assert [len(x) for x in summed(one[:0], two[:0])] == [0, 0]
