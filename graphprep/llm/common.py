@@ -96,14 +96,6 @@ def wrapped(docs: DataFrame, *derived: Column) -> DataFrame:
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("id"), *derived)
 
 
-def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Null-safe equality of all columns."""
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def cumulate(table: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], name: str) -> DataFrame:
     """Adds, for each of ``sums``, the sum over the rows before a row in its group, in the given order.
 
@@ -138,10 +130,6 @@ def columns_of(batch: pa.RecordBatch, *names: str) -> Iterator[list]:
         yield batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-
 def extended(table: DataFrame, ddl: str) -> T.StructType:
     """The schema of a table with further columns."""
     return T.StructType([*table.schema.fields, *T.StructType.fromDDL(ddl).fields])

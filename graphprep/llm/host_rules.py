@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphprep.llm.common import batch_of, columns_of, words_of
+from graphprep.llm.common import columns_of, words_of
 from graphprep.workspace import stage
 
 SYMBOLS = "#*$%&|<>"

@@ -149,7 +149,6 @@ def fit(rows: DataFrame, weight: float = WEIGHT, added: float = ADDED) -> Models
     """Both models from ``text, target``."""
     col, lit = F.col, F.lit
     counts = stage(_counts(rows).where((col("n") >= LEAST_COUNT) | (col("a") == WORD)), "lm-counts")
-    rows.sparkSession.sparkContext._jvm.System.gc()  # what has been shuffled is not needed any more
     words = counts.where(col("a") == WORD)
     rare = words.where(col("n") < LEAST_COUNT)
     known = words.where(col("n") >= LEAST_COUNT).select(col("b").alias("w"), "n", "t")

@@ -21,7 +21,7 @@ m as (select w.rid, w.doc_id, ws, (g.doc_id is not null)::int tgt from w left jo
 tok as (select rid, tgt, i, ws[i] word from (select rid, tgt, ws, unnest(range(1, len(ws) + 1)) i from m)),
 totals as (select count(*)::double n, coalesce(sum(tgt), 0)::double t from tok),
 vocabulary as (select word, count(*)::double n, sum(tgt)::double t from tok group by word
-  having count(*) >= greatest(2, ceil(1e-6 * (select n from totals)))),
+  having count(*) >= 2),
 counted as (select * from vocabulary union all
   select null, (select n from totals) - coalesce(sum(n), 0), (select t from totals) - coalesce(sum(t), 0) from vocabulary),
 uni as (select word, n, t, (n + 0.5) / ((select n from totals) + 0.5 * (select count(*) from counted)) pb,
@@ -29,7 +29,7 @@ uni as (select word, n, t, (n + 0.5) / ((select n from totals) + 0.5 * (select c
 ids as (select rid, tgt, i, v.word from tok left join vocabulary v on v.word = tok.word),
 seq as (select *, lag(coalesce('+' || word, '-')) over (partition by rid order by i) before from ids),
 pair as (select before, coalesce('+' || word, '-') word, count(*)::double n, sum(tgt)::double t from seq where before is not null group by all),
-kept as (select * from pair where n >= greatest(2, ceil(1e-6 * (select sum(n) from pair)))),
+kept as (select * from pair where n >= 2),
 named as (select coalesce('+' || word, '-') word, n, t, pb, pt from uni),
 own as (select before, k.word, 0.7 * (k.n / u.n) ob, 0.7 * (case when u.t > 0 then k.t / u.t else 0 end) ot
   from kept k join named u on u.word = k.before),

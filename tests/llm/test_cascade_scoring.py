@@ -59,10 +59,10 @@ def brute_scores(texts, targets, least=2):
     words = [(t or "").split() for t in texts]
     count = Counter(w for ws in words for w in ws)
     total = sum(count.values())
-    known = {w for w, n in count.items() if n >= max(least, math.ceil(1e-6 * total))}
+    known = {w for w, n in count.items() if n >= least}
     seqs = [[w if w in known else None for w in ws] for ws in words]
     pairs = Counter(p for s in seqs for p in zip(s, s[1:]))
-    kept = {p for p, n in pairs.items() if n >= max(least, math.ceil(1e-6 * sum(pairs.values())))}
+    kept = {p for p, n in pairs.items() if n >= least}
 
     def model(chosen):
         one = Counter(w for s in chosen for w in s)
