@@ -10,14 +10,18 @@ shares of a window grow.
 
 The last window is cut into sequences of powers of two, so nothing is padded.
 
+There are many queues if there are many sources: the ``OWN_QUEUES`` largest have one each, the others share ``GROUPS``.
+
 Defined results: a null text has one token, the end of document; a null source is a queue of its own; repeated rows are
 packed row by row; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import array
 import base64
 import re
+import sys
 import zlib
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
@@ -34,8 +38,10 @@ from graphprep.workspace import stage
 LENGTH = 1024
 QUANTUM = 32
 END = 0
-#: Queues are named in the task's arguments. More sources than this are to be mapped to groups first.
-MAX_QUEUES = 10_000
+#: Sources with a queue of their own, the largest ones. Those beyond share ``GROUPS`` queues by a hash of their names, each with
+#: the sum of its sources' proportions: what tasks are told is bounded, and all sources are packed.
+OWN_QUEUES = 10_000
+GROUPS = 256
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Between two words parted by one space, the tokenizer's own pattern always cuts before the space.
 CUTS = re.compile(r"(?<=\S) (?=\S)")
@@ -56,24 +62,42 @@ class Encoder:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encode = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of words with a space before them
+
+    def ids(self, text: str) -> bytes:
+        found = array.array("H", self.encode(text))
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
 
-    def piece(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece), "<u2").tobytes()
-        if len(piece) <= 64:
+    def word(self, word: str) -> bytes:
+        ids = self.ids(" " + word)
+        if len(word) <= 64:
             if len(self.known) >= self.remembered:
                 self.known.clear()
-            self.known[piece] = ids
+            self.known[word] = ids
         return ids
 
     def __call__(self, text: str) -> bytes:
-        first, *rest = CUTS.split(text)
-        known, piece = self.known.get, self.piece
-        out = [piece(first)] if first else []
-        for word in rest:
-            word = " " + word
-            out.append(known(word) or piece(word))
-        return b"".join(out)
+        words = text.split(" ")
+        if "" in words or list(map(str.strip, words)) != words:
+            # Some space is next to white space or an end, where it need not be a cut.
+            words = CUTS.split(text)
+        first, *rest = words
+        out = list(map(self.known.get, rest))
+        if None in out:
+            out = [self.word(w) if ids is None else ids for ids, w in zip(out, rest)]
+        return (self.ids(first) if first else b"") + b"".join(out)
+
+
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(tokenizer: tuple[str, str]) -> Encoder:
+    """The encoder of this worker process, with what it remembers; it outlives tasks."""
+    if tokenizer not in _encoders:
+        _encoders[tokenizer] = Encoder(*tokenizer)
+    return _encoders[tokenizer]
 
 
 def default_tokenizer() -> tuple[str, str]:
@@ -95,7 +119,7 @@ def tokenized(docs: DataFrame, tokenizer: tuple[str, str] | None = None) -> Data
     given = tokenizer
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*(given or default_tokenizer()))
+        encoder = encoder_of(tuple(given or default_tokenizer()))
         block = TaskContext.get().partitionId()
         sums: dict[str | None, int] = {}
         end = np.array([END], "<u2").tobytes()
@@ -128,26 +152,30 @@ class Schedule(NamedTuple):
         whole = np.floor(rounds[:, None] * self.credits / self.quantum).astype(np.int64) * self.quantum
         return np.minimum(whole, self.sizes)
 
-    def round_of(self, queue: int, token: int) -> int:
-        """The round that hands out a token: the first after which more than ``token`` are handed out."""
+    def rounds_of(self, queue: int, start: int, stop: int) -> np.ndarray:
+        """The rounds that hand out a run of a queue's tokens: for each of its quanta the first after which it is handed out."""
         credit = self.credits[queue]
-        r = max(1, int((token // self.quantum + 1) * self.quantum / credit) - 1)
-        while int(np.floor(r * credit / self.quantum)) * self.quantum <= token:
-            r += 1
-        return r
+        tokens = np.arange(start // self.quantum, (stop - 1) // self.quantum + 1, dtype=np.int64) * self.quantum
+        r = np.maximum(1.0, np.floor((tokens + self.quantum) / credit) - 1)
+        while len(late := np.flatnonzero(np.floor(r * credit / self.quantum) * self.quantum <= tokens)):
+            r[late] += 1
+        return np.unique(r)
 
     def spans(self, queue: int, start: int, stop: int) -> list[tuple[int, int, int]]:
-        """``(first token, tokens, place in the output)`` of the pieces of a run of a queue's tokens."""
-        first, last = self.round_of(queue, start), self.round_of(queue, stop - 1)
+        """``(first token, tokens, place in the output)`` of the pieces of a run of a queue's tokens.
+
+        Only the rounds that hand out some of the run are looked at: at most one for each of its quanta, however rarely the
+        queue has its turn.
+        """
+        rounds = self.rounds_of(queue, start, stop)
         step = max(1, 2_000_000 // len(self.sizes))
         found = []
-        for at in range(first, last + 1, step):
-            served = self.served(np.arange(at - 1, min(at + step, last + 1), dtype=np.float64))
-            rounds = served[:-1].sum(axis=1)  # where each round begins
-            ahead = (served[1:, :queue] - served[:-1, :queue]).sum(axis=1)
-            low = np.maximum(served[:-1, queue], start)
-            high = np.minimum(served[1:, queue], stop)
-            place = rounds + ahead + low - served[:-1, queue]
+        for at in range(0, len(rounds), step):
+            some = rounds[at : at + step]
+            old, new = self.served(some - 1), self.served(some)
+            ahead = (new[:, :queue] - old[:, :queue]).sum(axis=1)
+            low, high = np.maximum(old[:, queue], start), np.minimum(new[:, queue], stop)
+            place = old.sum(axis=1) + ahead + low - old[:, queue]
             has = high > low
             found += zip(low[has].tolist(), (high - low)[has].tolist(), place[has].tolist())
         return found
@@ -187,14 +215,40 @@ def schedule_of(sizes: list[int], shares: list[float] | None = None, length: int
     return Schedule(np.array(sizes, np.int64), credits, quantum, length)
 
 
+def queues_of(blocks: DataFrame, shares: Mapping[str | None, float] | None) -> tuple[DataFrame, list[int], list[float] | None]:
+    """``_source, _queue``; and each queue's tokens and share, in visiting order: by name, null last, then the groups."""
+    spark = blocks.sparkSession
+    sizes = stage(blocks.groupBy("source").agg(F.sum("n").alias("n")), "pack-sources")
+    group = F.pmod(F.crc32(F.encode(F.coalesce("source", F.lit("")), "UTF-8")), F.lit(GROUPS)).cast("int")
+    own = sizes.orderBy(F.desc("n"), F.asc_nulls_first("source")).limit(OWN_QUEUES).collect()
+    own = sorted(own, key=lambda q: (q["source"] is None, q["source"] or ""))
+    number = {q["source"]: i for i, q in enumerate(own)}
+    named = spark.createDataFrame([(s, i) for s, i in number.items()], "_own string, _number int")
+    placed = sizes.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_own")), "left")
+    placed = placed.select(F.col("source").alias("_source"), F.coalesce("_number", group + len(own)).alias("_queue"), "n", F.col("_number").isNull().alias("grouped"))
+    tokens = [q["n"] for q in own] + [0] * GROUPS
+    for row in placed.where("grouped").groupBy("_queue").agg(F.sum("n").alias("n")).collect():
+        tokens[row["_queue"]] = row["n"]
+    given = None
+    if shares is not None:
+        if missing := [q["source"] for q in own if q["source"] not in shares]:
+            raise ValueError(f"no share for {missing[:5]}")
+        given = [float(shares[q["source"]]) for q in own] + [0.0] * GROUPS
+        for source, share in shares.items():
+            if source not in number:
+                given[len(own) + zlib.crc32((source or "").encode()) % GROUPS] += share
+    return placed.select("_source", "_queue"), tokens, given
+
+
 def pack(
     docs: DataFrame,
     shares: Mapping[str | None, float] | None = None,
     length: int = LENGTH,
     quantum: int = QUANTUM,
     tokenizer: tuple[str, str] | None = None,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """Pieces: ``doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids`` (16-bit ids).
+    """Pieces: ``doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids`` (16-bit ids, if wanted).
 
     ``shares`` gives the target proportion of each source; by default each has its share of all tokens.
     """
@@ -202,21 +256,20 @@ def pack(
         raise ValueError("the length must be a power of two")
     tokens = tokenized(docs, tokenizer)
     blocks = stage(tokens.groupBy("source", "block").agg(F.sum("tokens").alias("n")), "pack-blocks")
-    queues = blocks.groupBy("source").agg(F.sum("n").alias("n")).limit(MAX_QUEUES + 1).collect()
-    if len(queues) > MAX_QUEUES:
-        raise ValueError(f"more than {MAX_QUEUES} sources: map them to mixture groups first")
-    queues = sorted(queues, key=lambda q: (q["source"] is None, q["source"] or ""))
-    if shares is not None and (missing := [q["source"] for q in queues if q["source"] not in shares]):
-        raise ValueError(f"no share for {missing[:5]}")
-    schedule = schedule_of([q["n"] for q in queues], shares and [shares[q["source"]] for q in queues], length, quantum)
-    number = {q["source"]: i for i, q in enumerate(queues)}
+    named, sizes, given = queues_of(blocks, shares)
+    # Queues without tokens are left out, so that every one has a share.
+    used = [i for i, n in enumerate(sizes) if n]
+    order = {queue: i for i, queue in enumerate(used)}
+    schedule = schedule_of([sizes[i] for i in used], given and [given[i] for i in used], length, quantum)
     # One row per task and source: sums of sums, far smaller than the data.
-    earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("queue_start"))
+    earlier = Window.partitionBy("_queue").orderBy("source", "block").rowsBetween(Window.unboundedPreceding, -1)
+    queued = blocks.join(named, blocks["source"].eqNullSafe(named["_source"])).drop("_source")
+    starts = queued.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "_queue", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("queue_start"))
     starts = stage(starts, "pack-starts")
     placed = tokens.join(starts, tokens["source"].eqNullSafe(starts["_source"]) & (tokens["block"] == starts["_block"]))
-    rows = placed.select("doc_id", "source", (F.col("queue_start") + F.col("before")).alias("at"), "tokens", "ids")
-    columns = {"start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(), "ids": pa.binary()}
+    rows = placed.select("doc_id", "source", F.col("_queue").alias("queue"), (F.col("queue_start") + F.col("before")).alias("at"), "tokens", "ids")
+    columns = {"start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64()}
+    columns |= {"ids": pa.binary()} if with_ids else {}
     kinds = ", ".join(f"{name} {'binary' if name == 'ids' else 'bigint'}" for name in columns)
     schema = extended(rows.select("doc_id", "source"), kinds)
 
@@ -225,21 +278,18 @@ def pack(
         for batch in batches:
             for part in range(0, batch.num_rows, 256):  # bounds what one output batch holds
                 slice_ = batch.slice(part, 256)
-                sources, at, tokens_, ids = columns_of(slice_, "source", "at", "tokens", "ids")
-                out: dict[str, list] = {name: [] for name in columns}
-                of = []
-                for row, (source, start, n, packed) in enumerate(zip(sources, at, tokens_, ids)):
+                queues, at, tokens_, ids = columns_of(slice_, "queue", "at", "tokens", "ids")
+                made: list[tuple] = []
+                for row, (queue, start, n, packed) in enumerate(zip(queues, at, tokens_, ids)):
                     wide = memoryview(np.frombuffer(packed, "<u2").astype("<u4").tobytes())
-                    for first, size, place in schedule.spans(number[source], start, start + n):
+                    for first, size, place in schedule.spans(order[queue], start, start + n):
                         low = first - start
                         for sequence, offset, count in schedule.cut(place, size, tail):
-                            of.append(row)
-                            values = (low, count, zlib.crc32(wide[4 * low : 4 * (low + count)]), n, sequence, offset, packed[2 * low : 2 * (low + count)])
-                            for name, value in zip(columns, values):
-                                out[name].append(value)
+                            made.append((row, low, count, zlib.crc32(wide[4 * low : 4 * (low + count)]), n, sequence, offset, packed[2 * low : 2 * (low + count)] if with_ids else None))
                             low += count
-                index = pa.array(of, pa.int32())
-                made = [pa.array(out[name], kind) for name, kind in columns.items()]
-                yield pa.RecordBatch.from_arrays([slice_.column(0).take(index), slice_.column(1).take(index), *made], names=schema.names)
+                index, *values = zip(*made) if made else [()] * 8
+                takes = pa.array(index, pa.int32())
+                found = [pa.array(column, kind) for column, kind in zip(values, columns.values())]
+                yield pa.RecordBatch.from_arrays([slice_.column(0).take(takes), slice_.column(1).take(takes), *found], names=schema.names)
 
     return rows.mapInArrow(pieces, schema)

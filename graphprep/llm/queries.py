@@ -51,7 +51,7 @@ def op2_host_rules(spark, sf_dir):
 
 @query
 def op3_mixture_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 @query

@@ -127,3 +127,56 @@ def test_odd_documents_are_packed(odd, empty, tokenizer):
     assert sum(r["length"] for r in one) == 2 * one[0]["doc_tokens"]  # repeated rows are packed both
     assert sum(r["length"] for r in rows if r["doc_id"] == 1) == 1
     assert packing.pack(empty).count() == 0
+
+
+def covered(rows, length):
+    """Every token of every document in one piece, every place of every sequence taken once."""
+    spans, places = {}, {}
+    for r in rows:
+        spans.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["length"]))
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for (_, n), parts in spans.items():
+        at = 0
+        for start, size in sorted(parts):
+            assert start == at
+            at += size
+        assert at == n
+    for parts in places.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at == length or at & (at - 1) == 0
+
+
+def test_more_sources_than_queues(docs_of, monkeypatch):
+    """Sources beyond the queues share some; all of them are packed."""
+    docs = [(i, f"text of {i} " * (i % 7), "en", f"s{i % 300}" if i % 11 else None) for i in range(900)]
+    monkeypatch.setattr(packing, "OWN_QUEUES", 20)
+    monkeypatch.setattr(packing, "GROUPS", 7)
+    rows = packing.pack(docs_of(docs).repartition(3), length=64, quantum=8).collect()
+    assert {r["doc_id"] for r in rows} == set(range(900))
+    covered(rows, 64)
+    shares = {f"s{i}": 1.0 + i % 3 for i in range(300)} | {None: 2.0}
+    covered(packing.pack(docs_of(docs).repartition(3), shares, length=64, quantum=8).collect(), 64)
+
+
+def test_twenty_thousand_sources(docs_of):
+    docs = [(i, "some words", "en", f"source {i}") for i in range(20_000)]
+    rows = packing.pack(docs_of(docs), with_ids=False).collect()
+    assert len({r["doc_id"] for r in rows}) == 20_000 and "ids" not in rows[0].asDict()
+    covered(rows, packing.LENGTH)
+
+
+def test_ids_are_the_librarys_on_the_whole_table():
+    import public_tokenizers
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    encoder = packing.encoder_of(packing.default_tokenizer())
+    assert encoder is packing.encoder_of(packing.default_tokenizer())
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder(text), "<u2").tolist() == found.ids
