@@ -25,10 +25,12 @@ from __future__ import annotations
 import functools
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +65,13 @@ class Filter:
     def __init__(self, bits: int, data: np.ndarray | None = None) -> None:
         self.bits, self.data = bits, data
 
+    def packed(self) -> bytes | None:
+        return None if self.data is None else zlib.compress(self.data.tobytes(), 1)
+
+    @classmethod
+    def unpacked(cls, bits: int, packed: bytes | None) -> Filter:
+        return cls(bits, None if packed is None else np.frombuffer(zlib.decompress(packed), np.uint8))
+
     @staticmethod
     def places(hashes: np.ndarray, bits: int, probe: int) -> np.ndarray:
         step = (hashes >> np.uint64(32)) | np.uint64(1)
@@ -213,19 +222,21 @@ def blocks_of(langs: list[str], texts: list[str], size: int = BLOCK) -> Iterator
         yield block
 
 
-def count_shard(shard: DataFrame, step: int, shards: int, now: Filter, then: Filter, longest: int) -> DataFrame:
+def count_shard(shard: DataFrame, step: int, shards: int, now: Filter, then: Filter, longest: int) -> tuple[DataFrame, Broadcast]:
     """Rows of three kinds, added up within tasks' blocks: ``one, two, n`` of the phrases that are active in this step;
-    ``one, two, lang, size, phrase`` of those that are in the filter since less than a circle; and ``lang, n``, words."""
+    ``one, two, lang, size, phrase`` of those that are in the filter since less than a circle; and ``lang, n``, words.
+
+    Also what the rows need until they are stored."""
     names = ["one", "two", "n", "lang", "size", "phrase"]
-    filters = shard.sparkSession.sparkContext.broadcast((now.bits, now.data, then.data))
+    # Few of the bits are set, so they are sent compressed.
+    filters = shard.sparkSession.sparkContext.broadcast((now.bits, now.packed(), then.packed()))
 
     def rows(length: int, **columns) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.string())
         return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(length, kind)) for name, kind in zip(names, kinds)], names=names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, new, old = filters.value
-        current, earlier = Filter(bits, new), Filter(bits, old)
+        current, earlier = (Filter.unpacked(filters.value[0], packed) for packed in filters.value[1:])
         named: set[int] = set()
         for batch in batches:
             for parts in blocks_of(*columns_of(batch, "lang", "text")):
@@ -254,7 +265,7 @@ def count_shard(shard: DataFrame, step: int, shards: int, now: Filter, then: Fil
                     first, n = summed(one_, two_)
                     yield rows(len(n), one=pa.array(one_[first]), two=pa.array(two_[first]), n=pa.array(n.astype(np.int64)))
 
-    return shard.select("lang", "text").mapInArrow(count, COUNTS)
+    return shard.select("lang", "text").mapInArrow(count, COUNTS), filters
 
 
 def filled(reached: DataFrame, bits: int) -> list[tuple[int, bytes]]:
@@ -307,11 +318,12 @@ def frequent_phrases(
     step, last_reached = 0, -1
     while step < max(shards, last_reached + 1 + shards):
         then = filters[step - shards] if step >= shards else Filter(bits)
-        rows = count_shard(stored.where(F.col("shard") == step % shards), step, shards, filters[step], then, longest)
+        rows, sent = count_shard(stored.where(F.col("shard") == step % shards), step, shards, filters[step], then, longest)
         # Three kinds of rows from one scan, added up together, as a phrase's text is the same in all of its rows.
         sums = rows.groupBy("one", "two", "lang", "size", "phrase").agg(F.sum("n").alias("n"))
         kind = F.when(F.col("phrase").isNotNull(), 1).when(F.col("one").isNull(), 2).otherwise(0)
         scan = stage(sums.withColumn("kind", kind), "phrase-step", partition_by=("kind",))
+        sent.destroy()
         names.append(scan.where("kind = 1").select("one", "two", "lang", "size", "phrase"))
         words.append(scan.where("kind = 2").select("lang", "n"))
         fresh = scan.where("kind = 0").select("one", "two", "n", F.lit(step).alias("since"), F.lit(None).cast("int").alias("reached"))
