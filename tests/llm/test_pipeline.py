@@ -26,7 +26,7 @@ def test_matches_twin(spark, name):
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
     assert {*QUERIES, "pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
