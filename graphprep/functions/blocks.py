@@ -9,8 +9,13 @@ import pyarrow as pa
 
 QUESTION_BLOCK = 256
 ENTITY_BLOCK = 4096
+#: Entities that a question block is shown first, to reach scores that others can be held against.
+FIRST_BLOCK = 512
 #: Twice the relative rounding error of a score in single precision, and more than that of sums in double.
 ROUNDING = 1e-6
+#: More than twice the unit rounding of single precision, and than the step of its least numbers; norms it is used for.
+SINGLE, TINY = 1.2e-7, 2e-45
+ORDINARY = 1e-15, 1e15
 HITS = "question_id long, k int, partition int, index int, dist float"
 HITS_ARROW = pa.schema(
     [
@@ -59,12 +64,22 @@ def norms(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
 
 
+def side_by_side(rows: np.ndarray, values: np.ndarray, n: int, empty) -> np.ndarray:
+    """Values sorted by row as a matrix of ``n`` rows, short ones filled up with ``empty``."""
+    sizes = np.bincount(rows, minlength=n)
+    starts = np.cumsum(sizes) - sizes
+    out = np.full((n, int(sizes.max(initial=0))), empty, values.dtype)
+    out[rows, np.arange(len(rows)) - starts[rows]] = values
+    return out
+
+
 class Scorer:
     """Keeps the best k entities of each (question, partition) over the batches it is shown.
 
     Questions are worked through in blocks of similar k, so one large k does not inflate the others. Entities are worked
     through by falling norm: a product is at most the product of the norms, so once that is below the k-th best score of every
-    question of a block, the rest of the batch is passed over. ``floors`` gives, for a partition, scores already known to be
+    question of a block, the rest of the batch is passed over. Once a block has k scores, products in single precision say
+    which entities could be better, by the greatest error they can have; only those are scored in double. ``floors`` gives, for a partition, scores already known to be
     reached by k entities for each question. ``scored`` and ``skipped`` count (question block, entity) pairs.
     """
 
@@ -75,11 +90,17 @@ class Scorer:
             for rows in (order[start : start + QUESTION_BLOCK] for start in range(0, len(order), QUESTION_BLOCK))
         ]
         self.norms = [norms(vectors) for _, _, vectors in self.blocks]
+        self.singles = [vectors.astype(np.float32) if self._ordinary(asked) else None for (_, _, vectors), asked in zip(self.blocks, self.norms)]
         cuts = range(QUESTION_BLOCK, len(order), QUESTION_BLOCK)
         self.floors = {partition: np.split(known[order], cuts) for partition, known in (floors or {}).items()}
         self.scored = self.skipped = 0
         self.clear()
 
+    @staticmethod
+    def _ordinary(lengths: np.ndarray) -> bool:
+        """Whether products with such vectors can be estimated in single precision."""
+        return bool(((lengths == 0) | ((lengths > ORDINARY[0]) & (lengths < ORDINARY[1]))).all())
+
     def clear(self) -> None:
         self.kept: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         self.size = 0
@@ -98,24 +119,51 @@ class Scorer:
             least = np.where((asked > 0) & (reached > 0), reached / asked * (1 - ROUNDING), -np.inf)
         return float(least.min()) if len(least) else np.inf
 
+    def _rivals(self, key: tuple[int, int], k: int, embeddings: np.ndarray, single: np.ndarray | None, longest: float) -> tuple[np.ndarray, np.ndarray] | None:
+        """``(question, entity)`` places, by question, of all that might be among the best k; None if they are not few."""
+        number, kept = key[1], self.kept.get(key)
+        if single is None or self.singles[number] is None or kept is None or kept[0].shape[1] < k:
+            return None
+        reached, asked, dimension = kept[0].min(axis=1).astype(np.float64), self.norms[number], embeddings.shape[1]
+        error = (dimension + 8) * SINGLE * asked * longest + dimension * TINY * (1 + asked + longest)
+        least = np.where(np.isfinite(reached), reached - error - SINGLE * np.abs(reached), -np.inf)
+        # Rounded down: the bound is compared in single precision.
+        bound = np.nextafter(least.astype(np.float32), np.float32(-np.inf))
+        near = self.singles[number] @ single.T >= bound[:, None]
+        rows, columns = np.divmod(np.flatnonzero(near), near.shape[1])
+        return (rows, columns) if 8 * len(rows) <= near.size else None
+
     def add(self, partitions: np.ndarray, indexes: np.ndarray, embeddings: np.ndarray) -> None:
         lengths = norms(embeddings)
+        indexes = indexes.astype(np.int32)
         for partition in np.unique(partitions):
             rows = np.flatnonzero(partitions == partition)
             rows = rows[np.argsort(-lengths[rows], kind="stable")]
+            cuts = [*range(0, min(len(rows), ENTITY_BLOCK), FIRST_BLOCK)][:2] + [*range(ENTITY_BLOCK, len(rows), ENTITY_BLOCK)]
+            ordered, own = embeddings[rows], indexes[rows]
+            single = ordered.astype(np.float32) if self._ordinary(lengths[rows]) else None
             for number, (_, ks, vectors) in enumerate(self.blocks):
                 k, key = int(ks.max()), (int(partition), number)
-                for start in range(0, len(rows), ENTITY_BLOCK):
-                    part = rows[start : start + ENTITY_BLOCK]
+                for start, stop in zip(cuts, [*cuts[1:], len(rows)]):
                     least = self.least_norm(*key, k)
-                    if lengths[part[0]] < least:
+                    if lengths[rows[start]] < least:
                         self.skipped += len(rows) - start
                         break
-                    part = part[: np.searchsorted(-lengths[part], -least, side="right")]
-                    self.scored += len(part)
-                    self.skipped += min(ENTITY_BLOCK, len(rows) - start) - len(part)
-                    scores = (vectors @ embeddings[part].T).astype(np.float32)
-                    scores, ids = best(scores, np.broadcast_to(indexes[part].astype(np.int32), scores.shape), k)
+                    end = start + int(np.searchsorted(-lengths[rows[start:stop]], -least, side="right"))
+                    self.scored += end - start
+                    self.skipped += stop - end
+                    part, ids = ordered[start:end], own[start:end]
+                    rivals = self._rivals(key, k, part, None if single is None else single[start:end], float(lengths[rows[start]]))
+                    if rivals is None:
+                        scores = (vectors @ part.T).astype(np.float32)
+                        scores, ids = best(scores, np.broadcast_to(ids, scores.shape), k)
+                    elif len(rivals[0]):
+                        asked, found = rivals
+                        products = np.einsum("ij,ij->i", vectors[asked], part[found]).astype(np.float32)
+                        scores = side_by_side(asked, products, len(vectors), -np.inf)
+                        ids = side_by_side(asked, ids[found], len(vectors), np.iinfo(np.int32).max)
+                    else:
+                        continue
                     if key in self.kept:
                         old_scores, old_ids = self.kept[key]
                         self.size -= old_scores.size

@@ -10,9 +10,9 @@ Two ways to bring questions and embeddings together, chosen by a check of the nu
 
 * up to ``BROADCAST_ROWS`` of them (and ``BROADCAST_BYTES`` of vectors) are broadcast as one matrix and the embeddings are
   scanned where they lie;
-* beyond that both sides are spread over a grid of cells of at most ``CELL_BYTES``, each cell scoring its share of the questions
-  against its share of the embeddings. Each side is sent to as many cells as the other has shares, so half of a cell is given
-  to either, or what the questions leave if they need less.
+* beyond that both sides are spread over a grid of cells of at most ``CELL_BYTES`` and ``CELL_PAIRS``, each cell scoring its share
+  of the questions against its share of the embeddings. Each side is sent to as many cells as the other has shares, so half of a
+  cell is given to either, or what the questions leave if they need less. There are as many tasks as cells, up to ``CELL_TASKS``.
 
 Either way a task hands on only its best k per question and partition, never the scores. A product is at most the product of
 the norms, so a task passes over what is too short to be among the best (see ``blocks.Scorer``). For embeddings stored by norm
@@ -45,6 +45,9 @@ BROADCAST_BYTES = 64 << 20
 BROADCAST_HITS = CELL_HITS = 1_000_000
 TASK_HITS = 5_000_000
 CELL_BYTES = 256 << 20
+#: Scores of a cell, some seconds of work, so that more questions and embeddings make more tasks and not longer ones.
+CELL_PAIRS = 1 << 31
+CELL_TASKS = 10_000
 #: Known scores, of questions times partitions, that the driver takes to pass over short embeddings.
 FLOORS = 1_000_000
 
@@ -171,15 +174,17 @@ def _numbers(n: int) -> Column:
 
 
 def cell_shares(questions: int, hits: int, dimension: int, cell_bytes: int) -> tuple[int, int]:
-    """``(shares of the questions, entities of a cell)`` so that both sides of a cell take at most ``cell_bytes`` as doubles.
+    """``(shares of the questions, entities of a cell)`` so that both sides of a cell take at most ``cell_bytes`` as doubles,
+    and have at most ``CELL_PAIRS`` pairs.
 
     With V entities, Q questions and cells for a and b of them, V * Q / b + Q * V / a rows are sent: least for a = b, unless
     all questions need less than that.
     """
     row = 8 * max(1, dimension)
-    half = max(1, cell_bytes // 2 // row)
+    half = max(1, min(cell_bytes // 2 // row, math.isqrt(CELL_PAIRS)))
     shares = max(1, math.ceil(questions / half), math.ceil(hits / CELL_HITS))
-    return shares, max(1, cell_bytes // row - math.ceil(questions / shares))
+    each = max(1, math.ceil(questions / shares))
+    return shares, max(1, min(cell_bytes // row - each, CELL_PAIRS // each))
 
 
 def _grid(embeddings: DataFrame, projected: DataFrame, columns: int, cell_entities: int) -> DataFrame:
@@ -220,6 +225,9 @@ def _grid(embeddings: DataFrame, projected: DataFrame, columns: int, cell_entiti
         return pa.Table.from_batches(scorer.drain(), schema=HITS_ARROW)
 
     cell = ["cell_row", "cell_column"]
+    # By number: cells are few rows and much work, so they must not be put together by their bytes.
+    tasks = min(cells * columns, CELL_TASKS)
+    placed, asked = placed.repartition(tasks, *cell), asked.repartition(tasks, *cell)
     return placed.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(score, HITS)
 
 

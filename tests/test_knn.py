@@ -1,5 +1,7 @@
 """Neighbour queries, scores and ranks against numpy."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -401,3 +403,49 @@ def test_ranks(spark, world, side):
     summary = evaluate.rank_summary(ranks, 1, 10).first()
     assert summary.edges == len(pairs) and summary.mrr == pytest.approx(total / len(pairs))
     assert 0 <= summary.hits_at_1 <= summary.hits_at_10 <= 1
+
+
+def test_a_cell_is_bounded_in_work_and_not_only_in_bytes():
+    """A million questions of few bytes against as many embeddings: cells of bounded work, not one of all that fits."""
+    shares, entities = knn_module.cell_shares(1_000_000, 1_000_000, 4, 1 << 40)
+    assert math.ceil(1_000_000 / shares) * entities <= knn_module.CELL_PAIRS
+    assert math.ceil(1_000_000 / entities) * shares >= 400
+
+
+def test_few_cells_are_not_put_together_in_one_task(spark, monkeypatch):
+    """Small cells are much work for their bytes: each has a task, whatever their bytes."""
+    monkeypatch.setattr(knn_module, "CELL_PAIRS", 40 * 40)
+    rows = spark.range(200).select(F.lit(0).alias("partition"), F.col("id").cast("int").alias("index"), F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding"))
+    asked = spark.range(200).select(F.col("id").alias("question_id"), F.array(F.lit(1.0), F.lit(0.0)).alias("vector"), F.lit(3).alias("k"))
+    hits = knn_module._grid(rows, asked, *knn_module.cell_shares(200, 600, 2, 1 << 30))
+    assert hits.rdd.getNumPartitions() == 25
+    assert {r["index"] for r in hits.orderBy(F.desc("dist")).limit(600).collect()} == {197, 198, 199}
+
+
+def test_scores_ruled_out_in_single_precision_are_those_that_lose():
+    """Against a full comparison: ties, zeros, copies and vectors of very small and very large norm."""
+    draw = np.random.default_rng(5)
+    for trial in range(6):
+        vectors, asked = draw.normal(size=(6000, 8)), draw.normal(size=(300, 8))
+        if trial == 1:
+            vectors, asked = np.round(vectors), np.round(asked)
+        elif trial == 2:
+            vectors[:] = vectors[0]
+        elif trial == 3:
+            vectors *= 10.0 ** draw.integers(-42, 14, size=(6000, 1))
+        elif trial == 4:
+            asked[::5], vectors[::3] = 0, 0
+        elif trial == 5:
+            asked *= 10.0 ** draw.integers(-30, 20, size=(300, 1))
+        with np.errstate(all="ignore"):
+            vectors = vectors.astype(np.float32).astype(np.float64)
+            scorer = blocks.Scorer(np.arange(300), asked, np.full(300, 7))
+            scorer.add(np.zeros(6000, int), np.arange(6000), vectors)
+            scores = np.einsum("qd,ed->qe", asked, vectors).astype(np.float32)
+        found = {}
+        for batch in scorer.drain():
+            for row in batch.to_pylist():
+                found.setdefault(row["question_id"], []).append(row["dist"])
+        # By score: what ties for the last place may differ by the rounding of the sums.
+        for question in range(300):
+            np.testing.assert_allclose(sorted(found[question]), np.sort(scores[question])[-7:], rtol=1e-6)
