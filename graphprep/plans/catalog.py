@@ -472,7 +472,8 @@ def last_names(spark, sf_dir):
     path = scratch_path(spark, "ordered-names")
     parts = sample.part_names(spark, sf_dir)
     again = parts.select("name", F.concat(F.lit("/group/"), F.col("index") % 97).alias("ent"), "count", "index", "partition")
-    again.unionByName(parts).coalesce(1).sortWithinPartitions("count", "index").write.parquet(path)
+    # By ranges: the files' names follow the order of the ranges.
+    again.unionByName(parts).repartitionByRange("count", "index").sortWithinPartitions("count", "index").write.parquet(path)
     return names.unique_names(tables.read_names(spark, path, placed=True), order="last")
 
 

@@ -1,5 +1,7 @@
 """Replacing and publishing tables."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from rows import bag
@@ -7,7 +9,7 @@ from rows import bag
 from graphprep import schemas
 from graphprep.operators import names
 from graphprep.operators.lookup import HOT_LIMIT, SUMMARY_ERROR, hot_keys
-from graphprep.plans import jobs
+from graphprep.plans import catalog, jobs
 from graphprep.sources import sinks, tables, versions
 
 
@@ -80,3 +82,23 @@ def test_all_frequent_keys_are_found_wherever_their_rows_lie(spark):
     assert SUMMARY_ERROR * n < 700 and len(found) <= HOT_LIMIT
     assert hot_keys(table, "none") == hot_keys(table.limit(0), "k") == []
     assert set(hot_keys(table.select(F.col("k").alias("a"), F.col("k").alias("b")), "a", "b", min_hits=1500)) == set(found)
+
+
+def test_names_in_order_are_stored_by_several_tasks(spark, tmp_path, monkeypatch):
+    """No one task reads all names; the files' order is that of the ranges."""
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: str(tmp_path / name))
+    path = str(tmp_path / "sf")
+    spark.range(3000).selectExpr("id as p_partkey", "concat('name ', id) as p_name").write.parquet(f"{path}/part.parquet")
+    spark.range(9000).selectExpr("id * id % 2900 as l_partkey").write.parquet(f"{path}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = catalog.last_names(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(list((tmp_path / "ordered-names").glob("part-*.parquet"))) > 1
+    sold = Counter(i * i % 2900 for i in range(9000))
+    wanted = {}
+    for _, index in sorted((sold[index], index) for index in range(3000)):
+        wanted[f"/group/{index % 97}"] = wanted[f"/part/{index}"] = index
+    assert {r["ent"]: r["index"] for r in found} == wanted
