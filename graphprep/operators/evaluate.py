@@ -90,8 +90,16 @@ def score_triples(
 
 def _draw(side: str, seed: int, total: Column, number_: Column) -> Column:
     """A draw from ``total`` entities, as a hash of the edge, the draw's number and the seed."""
-    key = digest(F.lit(str(seed)), F.lit(side), *[F.col(c).cast("string") for c in EDGE], number_.cast("string"))
-    return F.pmod(number(key, 15), total)
+    return _drawn(_draw_key(side, seed), total, number_)
+
+
+def _draw_key(side: str, seed: int) -> Column:
+    """What all draws of an edge have in common."""
+    return F.concat_ws("\t", F.lit(str(seed)), F.lit(side), *[F.col(c).cast("string") for c in EDGE])
+
+
+def _drawn(key: Column, total: Column, number_: Column) -> Column:
+    return F.pmod(number(digest(key, number_.cast("string")), 15), total)
 
 
 def negative_samples(
@@ -104,12 +112,15 @@ def negative_samples(
     sizes (one row per partition). Gaps are an error; with ``on_missing="drop"`` ordinals count only the entities that exist,
     and are looked up in bitmaps of the slices (see ``slices``).
     """
-    drawn = edges.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    # Edges are few bytes for the rows they become: they are dealt out by number. The key is made once an edge, below the draws.
+    spark = edges.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    drawn = edges.repartition(tasks).withColumn("_key", _draw_key(side, seed)).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
     if on_missing == "drop":
         found = slices.slice_map(entities, slices.BITMAP_ROWS)
         if not found.total:
             raise ValueError("there are no entities to draw from")
-        ordinals = drawn.withColumn("_ordinal", _draw(side, seed, F.lit(found.total), F.col("draw")))
+        ordinals = drawn.withColumn("_ordinal", _drawn(F.col("_key"), F.lit(found.total), F.col("draw"))).drop("_key")
         return slices.existing(ordinals, entities, "_ordinal", slices=found)
     if on_missing != "error":
         raise ValueError(f"unknown on_missing {on_missing!r}")
@@ -126,7 +137,7 @@ def negative_samples(
     )
     layout = sizes.select(F.struct("sizes", starts.alias("starts"), "total").alias("layout"))
     drawn = drawn.withColumn("_layout", layout.scalar())
-    placed = drawn.withColumn("_global", _draw(side, seed, F.col("_layout.total"), F.col("draw")))
+    placed = drawn.withColumn("_global", _drawn(F.col("_key"), F.col("_layout.total"), F.col("draw")))
     slot = F.size(F.filter(F.col("_layout.starts"), lambda start: start <= F.col("_global")))
     placed = placed.withColumn("_slot", slot)
     return placed.select(

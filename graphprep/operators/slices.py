@@ -9,6 +9,7 @@ leads to its index without numbering the entities anew.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -19,7 +20,11 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 256 << 20
 BITMAP_ROWS = 1 << 20
-BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1)
+#: Bytes of bitmaps that every task may hold.
+BROADCAST_BITMAPS = 4 << 20
+BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1, dtype=np.int64)
+#: The places of a byte's set bits, in order and then the others.
+SET = np.argsort(1 - np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"), axis=1, kind="stable")
 
 
 class SliceMap(NamedTuple):
@@ -102,22 +107,61 @@ def bitmaps(entities: DataFrame, slices: SliceMap) -> DataFrame:
 def select(bits: bytes, places: np.ndarray) -> np.ndarray:
     """The bits set at the given ranks: a look-up by the number of bits before each byte, then within it."""
     data = np.frombuffer(bits, np.uint8)
-    before = np.append(0, np.cumsum(BITS[data]))
+    return _select(data, np.append(0, np.cumsum(BITS[data])), places)
+
+
+def _select(data: np.ndarray, before: np.ndarray, places: np.ndarray) -> np.ndarray:
     byte = np.searchsorted(before, places, side="right") - 1
-    inner = np.unpackbits(data[byte][:, None], axis=1, bitorder="little")
-    wanted = (places - before[byte])[:, None]
-    return byte * 8 + (np.cumsum(inner, axis=1) <= wanted).sum(axis=1)
+    return byte * 8 + SET[data[byte], places - before[byte]]
 
 
-def existing(draws: DataFrame, entities: DataFrame, ordinal: str = "ordinal", rows: int = BITMAP_ROWS, slices: SliceMap | None = None) -> DataFrame:
+def existing(draws: DataFrame, entities: DataFrame, ordinal: str = "ordinal", rows: int = BITMAP_ROWS, slices: SliceMap | None = None, bitmap_bytes: int = BROADCAST_BITMAPS) -> DataFrame:
     """``draws`` with ``cand_part, cand_index`` in place of an ordinal among the entities that exist.
 
-    Draws meet their slice's bitmap: a 32nd part of what the indexes themselves would take, and no vectors.
+    Bitmaps that take at most ``bitmap_bytes`` are sent to all tasks, and draws stay where they are. Beyond, draws meet their
+    slice's bitmap: a 32nd part of what the indexes themselves would take, and no vectors. The draws of a slice are dealt to
+    several tasks then, each with a copy of the bitmap, so that few slices do not make few tasks.
     """
     slices = slices or slice_map(entities, rows)
+    if len(slices.numbers) * math.ceil(slices.rows / 8) <= bitmap_bytes:
+        return _existing_by_broadcast(draws, entities, ordinal, slices)
+    return _existing_by_slice(draws, entities, ordinal, slices)
+
+
+def _drawn_fields(draws: DataFrame, ordinal: str) -> tuple[list[str], str]:
     kept = [c for c in draws.columns if c != ordinal]
-    fields = ", ".join(f"`{c}` {draws.schema[c].dataType.simpleString()}" for c in kept)
-    starts = entities.sparkSession.sparkContext.broadcast((slices.starts, slices.partitions))
+    return kept, ", ".join(f"`{c}` {draws.schema[c].dataType.simpleString()}" for c in kept)
+
+
+def _existing_by_broadcast(draws: DataFrame, entities: DataFrame, ordinal: str, slices: SliceMap) -> DataFrame:
+    kept, fields = _drawn_fields(draws, ordinal)
+    held = bitmaps(entities, slices).toArrow().sort_by("slice")
+    sizes = [len(b) for b in held["bits"].to_pylist()]
+    starts = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    bits = b"".join(held["bits"].to_pylist())
+    shared = entities.sparkSession.sparkContext.broadcast((bits, starts, held["first"].to_numpy(), slices.partitions))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, starts, firsts, partitions = shared.value
+        data = np.frombuffer(bits, np.uint8)
+        # All bitmaps as one: an ordinal counts over all slices.
+        before = np.append(0, np.cumsum(BITS[data]))
+        for batch in batches:
+            found = _select(data, before, batch.column(batch.schema.get_field_index(ordinal)).to_numpy())
+            slice_ = np.searchsorted(starts, found // 8, side="right") - 1
+            index = firsts[slice_] + found - starts[slice_] * 8
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(partitions[slice_].astype(np.int32)), pa.array(index.astype(np.int32))], names=[*kept, "cand_part", "cand_index"])
+
+    return draws.select(*kept, ordinal).mapInArrow(look_up, f"{fields}, cand_part int, cand_index int")
+
+
+def _existing_by_slice(draws: DataFrame, entities: DataFrame, ordinal: str, slices: SliceMap) -> DataFrame:
+    kept, fields = _drawn_fields(draws, ordinal)
+    spark = entities.sparkSession
+    starts = spark.sparkContext.broadcast((slices.starts, slices.partitions))
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = math.ceil(2 * tasks / max(1, len(slices.numbers)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, partitions = starts.value
@@ -129,27 +173,29 @@ def existing(draws: DataFrame, entities: DataFrame, ordinal: str = "ordinal", ro
             yield pa.RecordBatch.from_arrays([*columns, parts, pa.array(found.astype(np.int32)), pa.array(inner.astype(np.int64))], names=[*kept, "cand_part", "_slice", "_place"])
 
     placed = draws.select(*kept, ordinal).mapInArrow(place, f"{fields}, cand_part int, _slice int, _place long")
+    block = F.pmod(F.xxhash64("_place", *kept), F.lit(blocks)).cast("int")
     maps = bitmaps(entities, slices).withColumnRenamed("slice", "_of")
-    # Only a slice's first row carries its bitmap: the bitmap goes once to each task that asks for it.
+    # Only the first row of a slice's block carries the bitmap: it goes once to each task that asks for it.
     empty = [F.lit(None).cast(draws.schema[c].dataType).alias(c) for c in kept]
-    both = placed.select(*kept, "cand_part", "_slice", "_place", F.lit(None).cast("long").alias("_first"), F.lit(None).cast("binary").alias("_bits"))
-    copies = maps.select(*empty, F.lit(None).cast("int").alias("cand_part"), F.col("_of").alias("_slice"), F.lit(-1).cast("long").alias("_place"), F.col("first").alias("_first"), F.col("bits").alias("_bits"))
-    dealt = both.unionByName(copies).repartition("_slice").sortWithinPartitions("_slice", "_place")
+    both = placed.select(*kept, "cand_part", "_slice", block.alias("_block"), "_place", F.lit(None).cast("long").alias("_first"), F.lit(None).cast("binary").alias("_bits"))
+    copies = maps.select(*empty, F.lit(None).cast("int").alias("cand_part"), F.col("_of").alias("_slice"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"), F.lit(-1).cast("long").alias("_place"), F.col("first").alias("_first"), F.col("bits").alias("_bits"))
+    dealt = both.unionByName(copies).repartition("_slice", "_block").sortWithinPartitions("_slice", "_block", "_place")
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, bits = 0, b""
         for batch in batches:
-            where = {n: batch.schema.get_field_index(n) for n in ("_slice", "_place", "_first", "_bits")}
+            where = {n: batch.schema.get_field_index(n) for n in ("_slice", "_block", "_place", "_first", "_bits")}
             if not batch.num_rows:
                 continue
-            numbers, places = batch.column(where["_slice"]).to_numpy(), batch.column(where["_place"]).to_numpy()
+            numbers, dealt_to, places = (batch.column(where[n]).to_numpy() for n in ("_slice", "_block", "_place"))
             index = np.zeros(len(places), np.int64)
-            cuts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])).tolist() + [len(numbers)]
+            cuts = np.flatnonzero(np.append(True, (numbers[1:] != numbers[:-1]) | (dealt_to[1:] != dealt_to[:-1]))).tolist() + [len(numbers)]
             for start, stop in zip(cuts[:-1], cuts[1:]):
                 if places[start] == -1:
                     first, bits = batch.column(where["_first"])[start].as_py(), batch.column(where["_bits"])[start].as_py()
                     start += 1
-                index[start:stop] = first + select(bits, places[start:stop])
+                if start < stop:
+                    index[start:stop] = first + select(bits, places[start:stop])
             real = pa.array(places >= 0)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in (*kept, "cand_part")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(index.astype(np.int32))], names=[*kept, "cand_part", "cand_index"]).filter(real)

@@ -123,3 +123,29 @@ def test_floats_keep_their_precision_and_must_agree_in_length():
     assert evaluate._floats(pa.array([[1.0, 2.0]], pa.list_(pa.float32()))).dtype == np.float32
     with pytest.raises(ValueError, match="same dimension"):
         evaluate._floats(pa.array([[1.0, 2.0], [1.0]], pa.list_(pa.float32())))
+
+
+@pytest.mark.parametrize("bitmap_bytes", [0, 1 << 20])
+def test_draws_of_one_slice_are_dealt_to_several_tasks(spark, bitmap_bytes):
+    """One slice of all entities, and one partition of draws: either way finds the entities, and not in one task."""
+    gaps = spark.range(300).where("id % 3 != 1").select(F.lit(2).alias("partition"), F.col("id").cast("int").alias("index"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        asked = spark.range(0, 4000, 1, 5).select(F.col("id").alias("draw"), (F.col("id") % 200).alias("ordinal"))
+        found = slices.existing(asked, gaps, bitmap_bytes=bitmap_bytes).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    there = [i for i in range(300) if i % 3 != 1]
+    assert sorted((r["draw"], r["cand_part"], r["cand_index"]) for r in found) == [(i, 2, there[i % 200]) for i in range(4000)]
+    assert len({r["task"] for r in found}) > 1
+
+
+def test_few_edges_draw_in_many_tasks(spark):
+    """Edges that came in one partition are spread before they become many rows."""
+    edges = spark.range(0, 50, 1, 1).selectExpr("cast(id as int) subj", "0 obj", "0 rel", "0 part_left", "0 part_right")
+    entities = spark.range(50).selectExpr("0 partition", "cast(id as int) index")
+    for options in ({}, {"on_missing": "drop"}):
+        drawn = evaluate.negative_samples(edges, entities, n=20, **options).withColumn("task", F.spark_partition_id())
+        assert drawn.count() == 1000
+        assert drawn.select("task").distinct().count() > 1
