@@ -19,8 +19,10 @@ from graphprep.workspace import stage
 
 EDGE = ["subj", "obj", "rel", "part_left", "part_right"]
 SEED = 11
-#: Bytes of projected vectors that one task deals out to slices at once.
+#: Bytes of projected vectors, and of the draws with all that is worked out of them, that one task deals out to slices at once.
 DEAL_BYTES = 32 << 20
+#: Numbers that are held for a draw while it is dealt: itself, its edge, slice and place, the order, and copies in that order.
+DEALT_NUMBERS = 12
 #: Candidates scored at once in a cell.
 PAIRS = 8192
 
@@ -148,6 +150,12 @@ def negative_samples(
     )
 
 
+def deal_rows(dimension: int, n_slices: int, per_edge: int) -> int:
+    """Edges that are dealt out at once."""
+    copies = 8 * max(1, dimension) * max(1, min(n_slices, per_edge))
+    return max(1, DEAL_BYTES // max(copies, 8 * DEALT_NUMBERS * per_edge))
+
+
 def dealt_to_slices(edges: DataFrame, found: slices.SliceMap, dimension: int) -> DataFrame:
     """``edges(.., vector, draws)`` to ``slice, .., vector, places``: a row for each slice that an edge has draws in.
 
@@ -164,7 +172,7 @@ def dealt_to_slices(edges: DataFrame, found: slices.SliceMap, dimension: int) ->
         for batch in batches:
             draws = batch.column(batch.schema.get_field_index("draws"))
             per_edge = len(draws.flatten()) // max(1, batch.num_rows)
-            step = max(1, DEAL_BYTES // (8 * max(1, dimension) * max(1, min(n_slices, per_edge))))
+            step = deal_rows(dimension, n_slices, per_edge)
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 drawn = part.column(part.schema.get_field_index("draws"))

@@ -149,3 +149,11 @@ def test_few_edges_draw_in_many_tasks(spark):
         drawn = evaluate.negative_samples(edges, entities, n=20, **options).withColumn("task", F.spark_partition_id())
         assert drawn.count() == 1000
         assert drawn.select("task").distinct().count() > 1
+
+
+@pytest.mark.parametrize("dimension, n_slices, n", [(64, 4, 500), (64, 10_000, 500), (2, 1, 100_000), (4, 3, 0)])
+def test_dealing_is_bounded_by_the_draws_too(dimension, n_slices, n):
+    """Few slices and many draws: the draws take more than the vectors."""
+    rows = evaluate.deal_rows(dimension, n_slices, n)
+    assert rows == 1 or rows * n * 8 * evaluate.DEALT_NUMBERS <= evaluate.DEAL_BYTES
+    assert rows == 1 or rows * 8 * dimension * min(n_slices, n) <= evaluate.DEAL_BYTES
