@@ -35,12 +35,12 @@ def dense_index(keys: DataFrame, key: str, partitions: int) -> DataFrame:
     """
     if partitions < 1:
         raise ValueError("partitions must be positive")
-    hashed = keys.select(key, digest(F.coalesce(key, F.lit(""))).alias("_digest"))
+    digits = digest(F.coalesce(key, F.lit("")))
+    hashed = keys.select(key, digits.alias("_digest"))
     placed = hashed.select(
         key,
         F.coalesce(modulo(F.col("_digest"), partitions), F.lit(0)).alias("partition"),
         F.substring("_digest", 9, 2).alias("_slice"),
-        F.substring("_digest", 9, 24).alias("_order"),
     )
     slices = Window.partitionBy("partition").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -50,13 +50,15 @@ def dense_index(keys: DataFrame, key: str, partitions: int) -> DataFrame:
     )
     if partitions * SLICES <= 100_000:
         starts = F.broadcast(starts)
+    # The digits of the order do not travel: they are made again from the key where the slice is sorted.
+    dealt = placed.repartition("partition", "_slice").withColumn("_order", F.substring(digits, 9, 24))
     place = F.row_number().over(Window.partitionBy("partition", "_slice").orderBy("_order", key))
     position = F.col("_start") + F.col("_place") - 1
     index = F.when(position <= MAX_INDEX, position).otherwise(
         F.raise_error(F.lit("a partition holds more than 2^31 keys; use more partitions"))
     )
     return (
-        placed.withColumn("_place", place)
+        dealt.withColumn("_place", place)
         .join(starts, ["partition", "_slice"])
         .select(index.cast("int").alias("index"), key, "partition")
     )

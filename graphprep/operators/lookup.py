@@ -113,17 +113,26 @@ def unique_join(
         made_up = F.concat(F.lit("\0"), salt.cast("string"))
     else:
         made_up = (F.lit(-1) - salt).cast(left.schema[left_key].dataType)
-    spread = left.withColumn("_is_hot", is_hot).withColumn(
-        "_spread_key", F.when(F.col("_is_hot"), made_up).otherwise(F.col(left_key))
+    # One key travels: the made-up one, which leads a hot row on its way, has the real one beside it.
+    marked = left.withColumn("_hot_row", is_hot).join(F.broadcast(few), left[left_key] == few["_hot_key"], "left")
+    if how != "left":
+        known = F.col("_hot_key").isNotNull()
+        marked = marked.where(~F.col("_hot_row") | (~known if how == "left_anti" else known))
+    spread = marked.select(
+        *[c for c in left.columns if c != left_key],
+        F.when(F.col("_hot_row"), F.col(left_key)).alias("_kept_key"),
+        F.when(F.col("_hot_row"), made_up).otherwise(F.col(left_key)).alias("_spread_key"),
+        *[f"_hot_{c}" for c in values],
     )
-    spread = spread.join(F.broadcast(few), spread[left_key] == few["_hot_key"], "left")
     found = right.select(right[right_key].alias("_cold_key"), *[right[c].alias(f"_cold_{c}") for c in values])
     joined = spread.join(found, spread["_spread_key"] == found["_cold_key"], "left")
-    matched = F.when(F.col("_is_hot"), F.col("_hot_key").isNotNull()).otherwise(F.col("_cold_key").isNotNull())
+    hot_row = F.col("_kept_key").isNotNull()
     if how != "left":
-        joined = joined.where(~matched if how == "left_anti" else matched)
-    chosen = [F.when(F.col("_is_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in values]
-    return joined.select(*left.columns, *chosen)
+        met = F.col("_cold_key").isNotNull()
+        joined = joined.where(hot_row | (~met if how == "left_anti" else met))
+    key = F.coalesce("_kept_key", "_spread_key").alias(left_key)
+    chosen = [F.when(hot_row, F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in values]
+    return joined.select(*[key if c == left_key else F.col(c) for c in left.columns], *chosen)
 
 
 def lookup_join(

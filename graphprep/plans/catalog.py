@@ -48,13 +48,13 @@ class Dataset(NamedTuple):
 
 
 def stored_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spread_thin(sample.triples(spark, sf_dir)), "raw", row_ids=True)
+    return stage(spread_thin(sample.triples(spark, sf_dir)), "raw", row_ids=True, packed=True)
 
 
 def stored_raw_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The raw graph, and what of it is no label; stored once, with the labels in a folder of their own."""
     raw = sample.raw_graph(spark, sf_dir).withColumn("label", (F.col("rel") == text.RDFS_LABEL).cast("int"))
-    stored = stage(spread_thin(raw), "raw", partition_by=("label",), row_ids=True)
+    stored = stage(spread_thin(raw), "raw", partition_by=("label",), row_ids=True, packed=True)
     return stored.drop("label", ROW), stored.where("label = 0").drop("label")
 
 
@@ -65,7 +65,7 @@ def filtered(spark: SparkSession, sf_dir: str, graph: DataFrame | None = None) -
 
 def split(spark: SparkSession, sf_dir: str, graph: DataFrame | None = None) -> DataFrame:
     """The filtered graph with its splits, written once as every job does."""
-    return stage(splits.split_triples(filtered(spark, sf_dir, graph)), "splits", partition_by=("split",), row_ids=True)
+    return stage(splits.split_triples(filtered(spark, sf_dir, graph)), "splits", partition_by=("split",), row_ids=True, packed=True)
 
 
 def train(spark: SparkSession, sf_dir: str, graph: DataFrame | None = None) -> DataFrame:

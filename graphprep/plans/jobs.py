@@ -47,7 +47,7 @@ def import_triples(
     spark: SparkSession, path: str, min_count: int = filters.MIN_COUNT, mode: str = "failfast"
 ) -> DataFrame:
     """Raw text to filtered triples. The parsed text is written once: counting and filtering read it three times."""
-    raw = stage(spread_thin(read_triple_text(spark, path, mode)), "raw", row_ids=True)
+    raw = stage(spread_thin(read_triple_text(spark, path, mode)), "raw", row_ids=True, packed=True)
     return filters.filter_min_count(raw, min_count)
 
 
@@ -85,7 +85,7 @@ def create_dataset(triples: DataFrame, partitions: int, root: str, method: str =
     The split triples are written once, so the input's lineage runs once whatever it costs.
     """
     layout = Layout(root)
-    staged = stage(splits.split_triples(triples, method), "splits", partition_by=("split",), row_ids=True)
+    staged = stage(splits.split_triples(triples, method), "splits", partition_by=("split",), row_ids=True, packed=True)
     hot = hot_keys(staged, "subj", "obj")
 
     def part(name: str) -> DataFrame:

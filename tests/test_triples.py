@@ -1,5 +1,7 @@
 """Parsing, filtering, dictionaries, splits and encoding on literal rows."""
 
+import re
+
 import pytest
 from rows import bag
 from pyspark.sql import functions as F
@@ -231,3 +233,33 @@ def test_hot_entities_do_not_change_filter_or_encoding(skewed):
     assert bag(encode.encode_triples(skewed, ents, rels, hot)) == bag(encode.encode_triples(skewed, ents, rels))
     few = ents.where(F.col("ent") != "hub")
     assert bag(encode.dropped_triples(skewed, few, rels, hot)) == bag(encode.dropped_triples(skewed, few, rels))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_key_is_sent_once(spark, how):
+    """Beside the key that rows are dealt by, only hot rows carry their own; rows and nulls come out as they went in."""
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5), ("d", 6)], "subj string, n int")
+    right = spark.createDataFrame([("a", 10), ("b", 20)], "ent string, index int")
+    joined = unique_join(left, right, "subj", "ent", how, ["a", "d"])
+    sent = [line for line in _plan(joined).splitlines() if "AS _spread_key" in line]
+    assert len(sent) == 1 and "subj#" not in re.sub(r"CASE WHEN.*?END", "", sent[0])
+    plain = left.join(right, left["subj"] == right["ent"], how).drop("ent")
+    key = lambda row: repr(tuple(row))
+    assert joined.columns == plain.columns
+    assert sorted(joined.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_digits_of_the_order_are_not_sent(spark):
+    """A dictionary's keys are sent to their slice without the digest they are sorted by."""
+    plan = _plan(dictionary.dense_index(spark.range(50).selectExpr("concat('/e/', id) as ent"), "ent", 3))
+    above, below = plan.split("RepartitionByExpression")
+    assert "_order" in above and "_order" not in below
+
+
+def test_large_intermediate_tables_are_packed(spark):
+    stored = stage(spark.range(5), "small", row_ids=True, packed=True)
+    assert all(".zstd." in name for name in stored.inputFiles())
