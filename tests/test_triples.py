@@ -263,3 +263,37 @@ def test_digits_of_the_order_are_not_sent(spark):
 def test_large_intermediate_tables_are_packed(spark):
     stored = stage(spark.range(5), "small", row_ids=True, packed=True)
     assert all(".zstd." in name for name in stored.inputFiles())
+
+
+def test_triples_whose_slots_decide_are_not_shuffled(spark, monkeypatch):
+    # Some entities are rare, some are not; there are many slots, or so few that none decides.
+    ends = [F.concat(F.lit(end), F.col("id") % 4000 % (F.col("id") % 9 * 500 + 1)) for end in ("s", "o")]
+    graph = stage(spark.range(20_000).select(ends[0].alias("subj"), F.lit("r").alias("rel"), ends[1].alias("obj")), "slots-test", row_ids=True)
+    graph = graph.unionByName(spark.createDataFrame([(None, "r", "o1", 1), ("s1", "r", None, 2)] * 9, "subj string, rel string, obj string, _row smallint"))
+    plain = bag(filters.filter_min_count(graph), "subj", "rel", "obj")
+    asked = []
+
+    def counting(left, *others):
+        asked.append(left.count())
+        return unique_join(left, *others)
+
+    monkeypatch.setattr(filters, "unique_join", counting)
+    monkeypatch.setattr(filters, "MANY_ENTITIES", 1)
+    marked = filters.filter_min_count(graph)
+    assert bag(marked, "subj", "rel", "obj") == plain
+    semi = [line for line in marked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LeftSemi" in line]
+    assert not [line for line in semi if "kept_rel" not in line]
+    assert 0 < len(plain) < 20_000 and max(asked) < 4_000
+    monkeypatch.setattr(filters, "_slot", lambda entity, slots: F.pmod(F.xxhash64(entity), F.lit(64)))
+    assert bag(filters.filter_min_count(graph), "subj", "rel", "obj") == plain
+    assert max(asked) > 4_000
+
+
+def test_a_table_is_stored_by_folders_with_few_or_many_open_files(spark, monkeypatch):
+    rows = spark.range(3000, numPartitions=1).select("id", (F.col("id") % 3).alias("folder"))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    stored = stage(rows, "folders", partition_by=("folder",))
+    assert bag(stored) == bag(rows)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
+    monkeypatch.setattr("graphprep.workspace.OPEN_WRITERS", 2)
+    assert bag(stage(rows, "folders", partition_by=("folder",))) == bag(rows)
