@@ -11,11 +11,11 @@ from graphprep.operators.lookup import lookup_join, unique_join
 
 
 def encode_triples(
-    triples: DataFrame, entities: DataFrame, relations: DataFrame, hot: Collection[str] = ()
+    triples: DataFrame, entities: DataFrame, relations: DataFrame, hot: Collection[str] = (), keep: Collection[str] = ()
 ) -> DataFrame:
     """``(subj, obj, rel, part_left, part_right)``; triples with an entity or relation not in the dictionaries drop out.
 
-    ``hot`` lists very frequent entities, see ``lookup.hot_keys``.
+    ``hot`` lists very frequent entities, see ``lookup.hot_keys``; the columns ``keep`` go with their triples.
     """
     known_relations = relations.select(F.col("index").alias("_rel"), "relation")
     left = entities.select(
@@ -28,7 +28,7 @@ def encode_triples(
     coded = unique_join(coded, left, "subj", "_left_ent", "inner", hot).drop("subj")
     coded = unique_join(coded, right, "obj", "_right_ent", "inner", hot)
     return coded.select(
-        F.col("_subj").alias("subj"), F.col("_obj").alias("obj"), F.col("_rel").alias("rel"), "part_left", "part_right"
+        F.col("_subj").alias("subj"), F.col("_obj").alias("obj"), F.col("_rel").alias("rel"), "part_left", "part_right", *keep
     )
 
 

@@ -82,18 +82,20 @@ def build_dataset(
 def create_dataset(triples: DataFrame, partitions: int, root: str, method: str = "hash") -> Layout:
     """Split, build the dictionaries on train, and encode all three splits with them.
 
-    The split triples are written once, so the input's lineage runs once whatever it costs.
+    The split triples are written once, so the input's lineage runs once whatever it costs. All splits are encoded and written
+    together, so the dictionary is shuffled for them once.
     """
     layout = Layout(root)
     staged = stage(splits.split_triples(triples, method), "splits", partition_by=("split",), row_ids=True, packed=True)
     hot = hot_keys(staged, "subj", "obj")
 
-    def part(name: str) -> DataFrame:
-        return staged.where(F.col("split") == name)
-
-    build_dataset(part("train"), partitions, layout.relations, layout.entities, layout.split("train"), hot)
-    for name in ("valid", "test"):
-        write_coded_triples(part(name), layout.relations, layout.entities, layout.split(name), hot)
+    train = staged.where(F.col("split") == "train")
+    write_entity_dictionary(train, partitions, layout.entities)
+    write_relation_dictionary(train, layout.relations)
+    spark = triples.sparkSession
+    entities, relations = tables.read_entities(spark, layout.entities), tables.read_relations(spark, layout.relations)
+    coded = encode.encode_triples(staged, entities, relations, hot, keep=("split",))
+    sinks.write_coded_splits(coded, {name: layout.split(name) for name in splits.WEIGHTS})
     return layout
 
 
@@ -152,7 +154,7 @@ def export_dataset(
     metadata_out: str | None = None,
 ) -> None:
     """Trainer form of one split. Without ``metadata_out`` no name lists are written, nor for a dictionary not given."""
-    sinks.write_buckets(tables.read_coded(spark, edges_in), partitions, edges_out)
+    sinks.write_buckets(tables.read_coded(spark, edges_in), partitions, edges_out, by_bucket=True)
     if metadata_out is None:
         return
     if entities_in is not None:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphprep import schemas
 from graphprep.functions.vectors import inner_product
 from graphprep.operators import buckets
+from graphprep.sources import versions
 from graphprep.sources.versions import replacing
+from graphprep.workspace import OPEN_WRITERS, open_writers
 
 
 def write_entities(entities: DataFrame, path: str) -> None:
@@ -43,6 +47,30 @@ def write_coded(coded: DataFrame, path: str, tasks: int | None = None) -> None:
         spread.write.partitionBy("part_left", "part_right").parquet(fresh)
 
 
+def write_coded_splits(coded: DataFrame, paths: dict[str, str]) -> None:
+    """``write_coded`` for several splits in one job; the column ``split`` names that of each triple.
+
+    All are written to one folder beside the first of ``paths``, whose subfolders then take the places of the splits.
+    """
+    spark = coded.sparkSession
+    table = coded.select("split", *[F.col(f.name).cast(f.dataType) for f in schemas.CODED.fields])
+    spread = table.hint("rebalance", "split", "part_left", "part_right")
+    together = f"{next(iter(paths.values())).rstrip('/')}.splits-{uuid.uuid4().hex[:12]}"
+    files, folder = versions.files_of(spark, together)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    try:
+        spread.write.partitionBy("split", "part_left", "part_right").parquet(together)
+        for name, path in paths.items():
+            with replacing(spark, path) as fresh:
+                written = place(f"{together}/split={name}")
+                # A split without triples has no folder.
+                if not (files.rename(written, place(fresh)) if files.exists(written) else files.mkdirs(place(fresh))):
+                    raise OSError(f"could not put {written} at {fresh}")
+                files.create(place(f"{fresh}/_SUCCESS"), True).close()
+    finally:
+        files.delete(folder, True)
+
+
 def write_names(names: DataFrame, path: str, files: int | None = None) -> None:
     """The names table, in ``files`` files if given (one suits relations, not the entities of a large graph)."""
     table = schemas.conform(names, schemas.NAMES)
@@ -70,17 +98,23 @@ def write_by_norm(embeddings: DataFrame, path: str, head_rows: int = 4096, block
     spread.write.mode("overwrite").option("parquet.block.size", block_bytes).parquet(f"{path}/rest")
 
 
-def write_buckets(coded: DataFrame, partitions: int, path: str) -> None:
-    """The trainer's edge columns per bucket under ``edges/`` and one manifest row per grid cell under ``manifest/``."""
-    spread = buckets.bucket_export(coded).hint("rebalance", "part_left", "part_right")
-    spread.write.mode("overwrite").partitionBy("part_left", "part_right").parquet(f"{path}/edges")
+def write_buckets(coded: DataFrame, partitions: int, path: str, by_bucket: bool = False) -> None:
+    """The trainer's edge columns per bucket under ``edges/`` and one manifest row per grid cell under ``manifest/``.
+
+    ``by_bucket`` says that ``coded`` was read from a table stored by bucket: a task then has few buckets, and its rows stay with it.
+    """
+    edges = buckets.bucket_export(coded)
+    spread = edges if by_bucket else edges.hint("rebalance", "part_left", "part_right")
+    with open_writers(coded.sparkSession, OPEN_WRITERS if by_bucket else 0):
+        spread.write.mode("overwrite").partitionBy("part_left", "part_right").parquet(f"{path}/edges")
     buckets.manifest(coded, partitions).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
 def write_entity_lists(entities: DataFrame, path: str, chunk_rows: int = buckets.CHUNK_ROWS) -> None:
     """JSON name arrays under ``entity_names_all/partition=<p>/`` and counts under ``entity_count_all/``."""
     lists = buckets.name_list(entities, "ent", chunk_rows)
-    spread = lists.hint("rebalance", "partition").sortWithinPartitions("partition", "first")
+    # A row is a whole array: grouping them has dealt them out already.
+    spread = lists.sortWithinPartitions("partition", "first")
     spread.write.mode("overwrite").partitionBy("partition").json(f"{path}/entity_names_all")
     counts = buckets.entity_counts(entities).select("partition", F.col("count").cast("string").alias("value"))
     counts.repartition(1).write.mode("overwrite").partitionBy("partition").text(f"{path}/entity_count_all")

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 CURRENT = "CURRENT"
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
@@ -29,7 +29,7 @@ def _path(spark: SparkSession, path: str):
 @contextmanager
 def replacing(spark: SparkSession, path: str) -> Iterator[str]:
     """A path to write to; what is there in the end takes the place of ``path``."""
-    files, target = _files(spark, path)
+    files, target = files_of(spark, path)
     mark = uuid.uuid4().hex[:12]
     fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
     try:
@@ -52,7 +52,7 @@ def replacing(spark: SparkSession, path: str) -> Iterator[str]:
 
 def current(spark: SparkSession, root: str) -> str:
     """The folder of the version that readers take."""
-    files, manifest = _files(spark, f"{root}/{CURRENT}")
+    files, manifest = files_of(spark, f"{root}/{CURRENT}")
     if not files.exists(manifest):
         raise FileNotFoundError(f"{root} has no published version")
     return f"{root}/{spark.read.text(f'{root}/{CURRENT}', wholetext=True).first()[0].strip()}"
@@ -61,7 +61,7 @@ def current(spark: SparkSession, root: str) -> str:
 def publish(spark: SparkSession, root: str, write: Callable[[str], None]) -> str:
     """Lets ``write`` fill a new version's folder, then makes it the current one; the version before stays until ``drop_old``."""
     name = f"v-{uuid.uuid4().hex}"
-    files, folder = _files(spark, f"{root}/{name}")
+    files, folder = files_of(spark, f"{root}/{name}")
     try:
         write(f"{root}/{name}")
     except BaseException:
@@ -83,7 +83,7 @@ def publish(spark: SparkSession, root: str, write: Callable[[str], None]) -> str
 def drop_old(spark: SparkSession, root: str) -> int:
     """Deletes all versions but the current one; how many."""
     kept = current(spark, root).rsplit("/", 1)[1]
-    files, folder = _files(spark, root)
+    files, folder = files_of(spark, root)
     old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("v-") and s.getPath().getName() != kept]
     for path in old:
         files.delete(path, True)

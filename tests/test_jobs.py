@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from graphprep import schemas
 from graphprep.functions import vectors
 from graphprep.functions.text import RDFS_LABEL
-from graphprep.operators import buckets, dictionary, encode
+from graphprep.operators import buckets, dictionary, encode, splits
 from graphprep.plans import jobs
 from graphprep.sources import documents, sinks, tables
 
@@ -251,3 +251,33 @@ def test_missing_columns_are_an_error(spark):
 def test_dictionary_needs_a_partition(graph):
     with pytest.raises(ValueError):
         dictionary.entity_dictionary(graph, 0)
+
+
+def test_a_dataset_is_encoded_and_exported_without_needless_shuffles(spark, graph, tmp_path, monkeypatch):
+    calls, asked = [], []
+    encode_triples, hint = encode.encode_triples, type(graph).hint
+
+    def encoding(*args, **named):
+        calls.append(1)
+        return encode_triples(*args, **named)
+
+    monkeypatch.setattr(encode, "encode_triples", encoding)
+    layout = jobs.create_dataset(graph, 3, str(tmp_path / "dataset"))
+    assert len(calls) == 1
+    entities, relations = tables.read_entities(spark, layout.entities), tables.read_relations(spark, layout.relations)
+    for name in ("train", "valid", "test"):
+        rows = splits.split_triples(graph).where(F.col("split") == name)
+        assert bag(tables.read_coded(spark, layout.split(name))) == bag(encode_triples(rows, entities, relations))
+    left = [p.name for p in (tmp_path / "dataset").iterdir()]
+    assert sorted(n for n in left if not n.endswith(".crc")) == ["entities", "relations", "test", "train", "valid"]
+
+    stored = tables.read_coded(spark, layout.split("train"))
+
+    def hinting(table, name, *columns):
+        asked.append(name)
+        return hint(table, name, *columns)
+
+    monkeypatch.setattr(type(graph), "hint", hinting)
+    jobs.export_dataset(spark, layout.split("train"), 3, str(tmp_path / "out"))
+    assert "rebalance" not in asked
+    assert bag(spark.read.parquet(str(tmp_path / "out" / "edges"))) == bag(buckets.bucket_export(stored))
