@@ -94,7 +94,10 @@ def create_dataset(triples: DataFrame, partitions: int, root: str, method: str =
     write_relation_dictionary(train, layout.relations)
     spark = triples.sparkSession
     entities, relations = tables.read_entities(spark, layout.entities), tables.read_relations(spark, layout.relations)
-    coded = encode.encode_triples(staged, entities, relations, hot, keep=("split",))
+    # A small number goes with each triple, not the split's name.
+    names_ = F.array(*[F.lit(name) for name in splits.WEIGHTS])
+    numbered = staged.withColumn("split", F.array_position(names_, F.col("split")).cast("tinyint"))
+    coded = encode.encode_triples(numbered, entities, relations, hot, keep=("split",))
     sinks.write_coded_splits(coded, {name: layout.split(name) for name in splits.WEIGHTS})
     return layout
 

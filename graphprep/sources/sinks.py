@@ -48,7 +48,7 @@ def write_coded(coded: DataFrame, path: str, tasks: int | None = None) -> None:
 
 
 def write_coded_splits(coded: DataFrame, paths: dict[str, str]) -> None:
-    """``write_coded`` for several splits in one job; the column ``split`` names that of each triple.
+    """``write_coded`` for several splits in one job; the column ``split`` is the place, from 1, of each triple's split in ``paths``.
 
     All are written to one folder beside the first of ``paths``, whose subfolders then take the places of the splits.
     """
@@ -60,9 +60,9 @@ def write_coded_splits(coded: DataFrame, paths: dict[str, str]) -> None:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     try:
         spread.write.partitionBy("split", "part_left", "part_right").parquet(together)
-        for name, path in paths.items():
+        for number, path in enumerate(paths.values(), 1):
             with replacing(spark, path) as fresh:
-                written = place(f"{together}/split={name}")
+                written = place(f"{together}/split={number}")
                 # A split without triples has no folder.
                 if not (files.rename(written, place(fresh)) if files.exists(written) else files.mkdirs(place(fresh))):
                     raise OSError(f"could not put {written} at {fresh}")
