@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from graphprep import workspace
 from graphprep.llm import lm_scoring, url_cascade
 from graphprep.llm.queries import RULES
 
@@ -145,3 +146,38 @@ def test_looked_up_and_sent_entries_score_alike(spark, docs_of, monkeypatch, hot
     for i, (background, target) in enumerate(brute_scores(texts, [i % 2 for i in range(40)])):
         assert rows[i]["background_loss"] == pytest.approx(background)
         assert rows[i]["target_loss"] == pytest.approx(target)
+
+
+def test_blocks_and_ranges_of_any_size_score_alike(spark, docs_of, monkeypatch):
+    """A null, an empty text and words without a block of their own; ranges of a few words each."""
+    random.seed(9)
+    texts = [" ".join(random.choice(["a", "b", "c", f"x{random.randrange(60)}", f"once{i}_{j}"]) for j in range(random.randrange(0, 40))) for i in range(50)] + [None]
+    labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(51)], "doc_id bigint, quality boolean").select("doc_id", F.col("quality").cast("int"))
+    expected = brute_scores(texts, [i % 3 == 0 for i in range(51)])
+    for chunk, documents, range_ in ((30, 7, 20), (10_000, 3, 5)):
+        monkeypatch.setattr(lm_scoring, "CHUNK", chunk)
+        monkeypatch.setattr(lm_scoring, "DOCUMENTS", documents)
+        monkeypatch.setattr(lm_scoring, "RANGE", range_)
+        rows = {r["doc_id"]: r for r in lm_scoring.score(docs_of(texts), labels).collect()}
+        for i, (background, target) in enumerate(expected):
+            if background is None:
+                assert rows[i]["difference"] is None and rows[i]["n_words"] == 0
+            else:
+                assert rows[i]["background_loss"] == pytest.approx(background)
+                assert rows[i]["target_loss"] == pytest.approx(target)
+
+
+def test_scoring_stores_little(spark, tmp_path, monkeypatch):
+    """All intermediate tables together, each of which is kept until the end."""
+    monkeypatch.setattr(workspace, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lm_scoring.score(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet")).write.format("noop").mode("overwrite").save()
+    stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert 0 < stored < 1.5 * docs.agg(F.sum(F.octet_length("text"))).first()[0]
+
+
+def test_packed_numbers_come_back():
+    arrays = [np.array([3, 2**63, 5], np.uint64), np.zeros(0, np.int64), np.arange(300, dtype=np.uint32)]
+    for x, y in zip(arrays, lm_scoring.unpacked(lm_scoring.packed(*arrays), np.uint64, np.int64, np.uint32)):
+        assert x.dtype == y.dtype and (x == y).all()
+    assert (np.cumsum(lm_scoring.steps(np.sort(arrays[0])), dtype=np.uint64) == np.sort(arrays[0])).all()
