@@ -52,9 +52,15 @@ SEGMENT = 1 << 16
 PIECES, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(PIECES)], _KIND[list(BLANKS)] = 2, 1
-#: For each of the two hashes: the base of a word's polynomial, and the factor between the words of a phrase.
-_BASES, _NEXT = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+#: For each of the two hashes: the factor between the eights of bytes of a word, and that between the words of a phrase.
+_WITHIN, _NEXT = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)), (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+#: What of eight bytes belongs to a word, by its bytes from there on.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes of words that are hashed together, eight by eight; longer words are hashed one by one.
+SHORT = 64
 COUNTS = "one bigint, two int, n bigint, lang string, size int, phrase string"
+#: Kinds of rows of a step: counts of phrases that are still open, texts of phrases, words of languages, counts of phrases that are complete.
+OPEN, NAME, WORD, COMPLETE = range(4)
 #: Phrases that a task remembers to have named.
 NAMED = 200_000
 
@@ -89,13 +95,25 @@ class Filter:
         return found
 
 
-_powers = [np.multiply.accumulate(np.full(1 << 10, base, np.uint64)) for base in _BASES]
-
-
-def _powers_to(n: int) -> list[np.ndarray]:
-    if n > len(_powers[0]):
-        _powers[:] = [np.multiply.accumulate(np.full(2 * n, base, np.uint64)) for base in _BASES]
-    return _powers
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Both hashes of the words at these places."""
+    eights = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+    sizes = ends - starts
+    found = [mixed(sizes.astype(np.uint64) * factor) for factor in _WITHIN]
+    at, left = np.arange(len(starts)), sizes
+    for begin in range(0, SHORT, 8):
+        part = eights[starts[at] + begin] & _MASKS[np.minimum(left, 8)]
+        for i, factor in enumerate(_WITHIN):
+            found[i][at] = mixed((found[i][at] ^ part) * factor)
+        at = at[left > 8]
+        if not len(at):
+            break
+        left = sizes[at] - begin - 8
+    for word in np.flatnonzero(sizes > SHORT).tolist():
+        digest = hashlib.blake2b(data[starts[word] : ends[word]], digest_size=16).digest()
+        for i in range(2):
+            found[i][word] = int.from_bytes(digest[8 * i : 8 * i + 8], "little")
+    return found
 
 
 _salts: dict[str, tuple[int, int]] = {}
@@ -118,26 +136,22 @@ class Block:
         raw = np.frombuffer(self.data, np.uint8)
         kind = _KIND[raw]
         word = kind == 0
-        edge = np.diff(word.astype(np.int8), prepend=0)  # the last byte is no word's
-        self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        # The last byte is no word's.
+        edges = np.flatnonzero(np.diff(word, prepend=False))
+        self.starts, self.ends = edges[::2], edges[1::2]
         self.n = len(self.starts)
-        self.piece = np.cumsum(kind == 2)[self.starts]
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
         part = np.searchsorted(np.cumsum([len(p) + 1 for _, p in parts]), self.starts, "right")
         names = sorted({lang for lang, _ in parts})
         number = {lang: i for i, lang in enumerate(names)}
         self.langs = names
         self.lang = np.array([number[lang] for lang, _ in parts], np.int32)[part]
-        sizes = self.ends - self.starts
         self.hash: list[np.ndarray] = []
         self.first: list[np.ndarray] = []
         if self.n:
-            begin = np.cumsum(sizes) - sizes
-            letters = raw[word].astype(np.uint64) + np.uint64(1)
-            place = np.arange(len(letters)) - np.repeat(begin, sizes)
             salts = np.array([salt_of(lang) for lang in names], np.uint64)[self.lang]
-            for number_, powers in enumerate(_powers_to(int(sizes.max()))):
-                self.hash.append(mixed(np.add.reduceat(letters * powers[place], begin)))
-                self.first.append(mixed(self.hash[-1] ^ salts[:, number_]))
+            self.hash = word_hashes(self.data, self.starts, self.ends)
+            self.first = [mixed(h ^ salts[:, number_]) for number_, h in enumerate(self.hash)]
 
     def longer(self, hashes: list[np.ndarray], at: np.ndarray, size: int) -> list[np.ndarray]:
         """Hashes of the phrases of ``size`` words at places ``at``, from those of one word less."""
@@ -319,29 +333,26 @@ def frequent_phrases(
     while step < max(shards, last_reached + 1 + shards):
         then = filters[step - shards] if step >= shards else Filter(bits)
         rows, sent = count_shard(stored.where(F.col("shard") == step % shards), step, shards, filters[step], then, longest)
-        # Three kinds of rows from one scan, added up together, as a phrase's text is the same in all of its rows.
-        sums = rows.groupBy("one", "two", "lang", "size", "phrase").agg(F.sum("n").alias("n"))
-        kind = F.when(F.col("phrase").isNotNull(), 1).when(F.col("one").isNull(), 2).otherwise(0)
-        scan = stage(sums.withColumn("kind", kind), "phrase-step", partition_by=("kind",))
-        sent.destroy()
-        names.append(scan.where("kind = 1").select("one", "two", "lang", "size", "phrase"))
-        words.append(scan.where("kind = 2").select("lang", "n"))
-        fresh = scan.where("kind = 0").select("one", "two", "n", F.lit(step).alias("since"), F.lit(None).cast("int").alias("reached"))
-        both = fresh if open_ is None else open_.unionByName(fresh)
-        sums = both.groupBy("one", "two").agg(F.sum("n").alias("n"), F.min("since").alias("since"), F.min("reached").alias("reached"))
+        # Three kinds of rows from one scan, and those of open phrases, added up together: a phrase's text is the same in all of its rows.
+        rows = rows.withColumns({"since": F.lit(step), "reached": F.lit(None).cast("int")})
+        both = rows if open_ is None else rows.unionByName(open_, allowMissingColumns=True)
+        sums = both.groupBy("one", "two", "lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since"), F.min("reached").alias("reached"))
         now_reached = F.when(F.col("reached").isNull() & (F.col("n") >= threshold), F.lit(step)).otherwise(F.col("reached"))
         # A phrase seen a full circle ago is counted through: it is kept if frequent, or dropped.
-        complete = (F.col("since") <= step - shards + 1).cast("int")
-        table = sums.withColumns({"reached": now_reached, "complete": complete}).where((F.col("complete") == 0) | (F.col("n") >= threshold))
-        table = stage(table, "phrase-counts", partition_by=("complete",))
+        counted = F.when(F.col("since") <= step - shards + 1, COMPLETE).otherwise(OPEN)
+        kind = F.when(F.col("phrase").isNotNull(), NAME).when(F.col("one").isNull(), WORD).otherwise(counted)
+        table = sums.withColumns({"reached": now_reached, "kind": kind}).where((F.col("kind") != COMPLETE) | (F.col("n") >= threshold))
+        table = stage(table, "phrase-step", partition_by=("kind",))
+        sent.destroy()
+        names.append(table.where(F.col("kind") == NAME).select("one", "two", "lang", "size", "phrase"))
+        words.append(table.where(F.col("kind") == WORD).select("lang", "n"))
         # Added up into the new table, and not read again.
-        discard(spark, scan, "kind=0")
         if kept is not None:
-            discard(spark, kept, "complete=0")
+            discard(spark, kept, f"kind={OPEN}")
         kept = table
-        done.append(table.where("complete = 1").select("one", "two", "n"))
-        open_ = table.where("complete = 0").drop("complete")
-        segments = filled(table.where(F.col("reached") == step), bits)
+        done.append(table.where(F.col("kind") == COMPLETE).select("one", "two", "n"))
+        open_ = table.where(F.col("kind") == OPEN).select("one", "two", "n", "since", "reached")
+        segments = filled(table.where(F.col("kind").isin(OPEN, COMPLETE) & (F.col("reached") == step)), bits)
         now = filters[step]
         if segments:
             last_reached = step

@@ -12,6 +12,7 @@ from graphprep.llm import collocations as c
 from graphprep.llm.collocations import Block, Filter, collocations, frequent_phrases, second, summed
 from graphprep.llm.oracle import ORACLE
 from graphprep.llm.queries import QUERIES
+from graphprep.workspace import stage
 
 DATA = "/root/testdata"
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -128,3 +129,24 @@ def test_odd_and_empty_tables(spark, odd, empty):
     texts = [(r["text"], r["lang"]) for r in odd.select("text", "lang").collect()]
     assert rows_of(collocations(odd, threshold=2, top=100)) == expected(texts, 2, 100)
     assert collocations(empty).count() == 0
+
+
+def test_words_of_any_length_have_hashes_of_their_own():
+    """Each hash alone tells them apart, wherever they are; bytes behind a word do not matter, zeros in it do."""
+    words = [b"a" * n for n in range(1, 200)] + [b"a\x00" * n for n in range(1, 40)] + [b"\x00" * n for n in range(1, 80)] + [b"x" * n + b"y" for n in range(150)]
+    for order in (words, words[::-1]):
+        block = Block([("en", b" ".join(order))])
+        assert [block.text(i, 1) for i in range(block.n)] == order
+        twice = Block([("en", b"  ".join(order) + b"\t" + b" z,".join(order))])
+        for h, again in zip(block.hash, twice.hash):
+            assert len(set(h.tolist())) == len(set(order))
+            assert (again[: block.n] == h).all() and (again[block.n :: 2] == h).all()
+
+
+def test_a_step_adds_up_once(spark, odd_rows, monkeypatch):
+    """One stored table for each step, besides the shards and the two results."""
+    stored = []
+    monkeypatch.setattr(c, "stage", lambda table, name, **more: stored.append(name) or stage(table, name, **more))
+    docs = spark.createDataFrame([(t, lang) for t, lang in odd_rows], "text string, lang string").repartition(2)
+    frequent_phrases(docs, threshold=40, shards=2)
+    assert set(stored) == {"phrase-shards", "phrase-step", "phrases", "phrase-words"}
