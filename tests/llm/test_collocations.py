@@ -150,3 +150,40 @@ def test_a_step_adds_up_once(spark, odd_rows, monkeypatch):
     docs = spark.createDataFrame([(t, lang) for t, lang in odd_rows], "text string, lang string").repartition(2)
     frequent_phrases(docs, threshold=40, shards=2)
     assert set(stored) == {"phrase-shards", "phrase-step", "phrases", "phrase-words"}
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_counts_go_many_to_a_row_and_a_phrase_is_named_once(spark, odd_rows, monkeypatch, shards):
+    """A range of hashes has one row of open counts, however many phrases; no step names what one before it has named."""
+    kinds, named = Counter(), []
+
+    def stored(table, name, **more):
+        table = stage(table, name, **more)
+        if name == "phrase-step":
+            rows = table.select("kind", "range", "one", "two").collect()
+            kinds.update((r["kind"], r["range"], id(table)) for r in rows if r["kind"] == c.OPEN)
+            named.extend((r["one"], r["two"]) for r in rows if r["kind"] == c.NAME)
+        return table
+
+    monkeypatch.setattr(c, "stage", stored)
+    docs = spark.createDataFrame([(t, lang) for t, lang in odd_rows], "text string, lang string").repartition(3)
+    found, _ = frequent_phrases(docs, threshold=7, shards=shards, bits=20)
+    assert max(kinds.values(), default=1) == 1
+    assert len(named) == len(set(named)) >= found.count() > 0
+
+
+def test_a_stored_block_is_the_same():
+    for parts in ([("en", b"a b, ab a b"), ("de", "é a\x00\x1c. b".encode()), ("en", b"b a")], [("x", b"one")], [("x", b"., ")]):
+        block = Block(parts)
+        (again,) = Block.all_of(block.stored(0, 9))
+        assert again.n == block.n and again.langs == block.langs
+        assert [again.text(i, 1) for i in range(block.n)] == [w for _, p in parts for w in p.replace(b".", b" ").replace(b",", b" ").split(b" ") if w]
+        for x, y in zip([block.lang, block.last, *block.hash, *block.first], [again.lang, again.last, *again.hash, *again.first]):
+            assert x.tolist() == y.tolist()
+
+
+def test_only_the_unnamed_are_named():
+    block = Block([("en", b"a b a b")])
+    none, full = Filter(16), Filter(16, np.full(1 << 13, 255, np.uint8))
+    fresh = lambda unnamed: [int(f.sum()) for *_, f in block.scan(0, 3, full, none, 3, unnamed)]
+    assert fresh(None) == fresh(full) == [4, 3, 2] and fresh(none) == [0, 0, 0]
