@@ -180,3 +180,53 @@ def test_ids_are_the_librarys_on_the_whole_table():
     texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
     for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(encoder(text), "<u2").tolist() == found.ids
+
+
+def test_long_texts_are_encoded_in_parts(tokenizer, monkeypatch):
+    """Parts of any size give the same ids, and no call gets more than a part and what follows up to a space between words."""
+    encode = packing.Encoder(*packing.default_tokenizer())
+    draw = random.Random(6)
+    parts = [" ", "  ", "\n", "\t", "a", "Wort", "é", "1", "'s", ".", "x-y", "🙂", "\x1c", "\xa0"]
+    texts = TEXTS + ["".join(draw.choices(parts, k=40)) for _ in range(200)]
+    whole, sizes = encode.encode, []
+    monkeypatch.setattr(encode, "encode", lambda text: sizes.append(len(text)) or whole(text))
+    monkeypatch.setattr(encode, "part", 3)
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    sizes.clear()
+    encode("word " * 1000)
+    assert max(sizes) <= 10
+
+
+@pytest.mark.parametrize("sizes, quantum, length", [([700, 90, 333], 8, 64), ([5000], 32, 64), ([1], 32, 64), ([300, 300, 1, 5], 1, 16), ([64, 64], 8, 64), ([129, 7], 4, 128)])
+def test_pieces_of_many_documents_at_once(sizes, quantum, length):
+    """Documents that follow each other in a queue, worked on together, against the schedule token by token."""
+    draw = random.Random(7)
+    schedule = packing.schedule_of(sizes, None, length, quantum)
+    tail = schedule.tail()
+    output = {token: i for i, token in enumerate(brute(sizes, schedule.credits, quantum))}
+    taken = set()
+    for queue, size in enumerate(sizes):
+        cuts = sorted({0, *draw.sample(range(size), min(size, 9))})
+        starts, n = np.array(cuts), np.diff([*cuts, size])
+        document, low, sequence, offset = (x.tolist() for x in schedule.pieces(queue, starts, n, tail))
+        ends = [low[i + 1] if i + 1 < len(low) and document[i + 1] == document[i] else n[document[i]] for i in range(len(low))]
+        assert sorted(set(document)) == list(range(len(starts)))
+        for d, at, end, s, o in zip(document, low, ends, sequence, offset):
+            assert end > at
+            for i in range(end - at):
+                place = output[queue, cuts[d] + at + i]
+                if place < tail[0]:
+                    assert (s, o + i) == (place // length, place % length)
+                else:
+                    k = sum(b <= place for b in tail[1]) - 1
+                    assert (s, o + i) == (tail[0] // length + k, place - tail[1][k])
+                taken.add((s, o + i))
+    assert len(taken) == sum(sizes)
+
+
+def test_batches_have_some_tokens_and_lose_no_row(monkeypatch):
+    monkeypatch.setattr(packing, "BATCH", 10)
+    slices = list(packing.batches_of(np.array([3, 4, 5, 100, 1, 1, 9, 10])))
+    assert [i for s in slices for i in range(s.start, s.stop)] == list(range(8)) and max(s.stop - s.start for s in slices) == 3
+    assert list(packing.batches_of(np.array([], np.int64))) == []
