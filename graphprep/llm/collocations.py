@@ -93,7 +93,8 @@ class Filter:
             return self
         data = np.zeros((1 << self.bits) // 8, np.uint8) if self.data is None else self.data.copy()
         for number, set_ in segments:
-            data[number * SEGMENT : number * SEGMENT + len(set_)] |= np.frombuffer(set_, np.uint8)
+            bits = np.frombuffer(zlib.decompress(set_), np.uint8)
+            data[number * SEGMENT : number * SEGMENT + len(bits)] |= bits
         return Filter(self.bits, data)
 
     @staticmethod
@@ -503,7 +504,7 @@ def added_up(batches: Iterator[pa.RecordBatch], step: int, shards: int, threshol
 
 def filled(found: DataFrame, bits: int) -> dict[int, list[tuple[int, bytes]]]:
     """The bits of phrases, of which ``ones`` has many first hashes in a row, as segments of at most ``SEGMENT`` bytes for each kind:
-    together no more than the filter's size."""
+    together no more than the filter's size. Few of the bits are set, so they go to the driver compressed."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -523,13 +524,13 @@ def filled(found: DataFrame, bits: int) -> dict[int, list[tuple[int, bytes]]]:
             for number in np.unique(numbers):
                 if number != open_:
                     if data is not None:
-                        done.append((open_, data.tobytes()))
+                        done.append((open_, zlib.compress(data.tobytes(), 1)))
                     open_, data = number, np.zeros(size, np.uint8)
                 bit = set_[numbers == number]
                 np.bitwise_or.at(data, bit // 8, (1 << (bit % 8)).astype(np.uint8))
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.int32()), pa.array([d for _, d in done], pa.binary())], names=["segment", "data"])
         if data is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([open_], pa.int32()), pa.array([data.tobytes()], pa.binary())], names=["segment", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([open_], pa.int32()), pa.array([zlib.compress(data.tobytes(), 1)], pa.binary())], names=["segment", "data"])
 
     marked = found.select("kind", "ones").mapInArrow(places, "segment int, bit bigint")
     dealt = marked.repartition("segment").sortWithinPartitions("segment")

@@ -187,3 +187,13 @@ def test_only_the_unnamed_are_named():
     none, full = Filter(16), Filter(16, np.full(1 << 13, 255, np.uint8))
     fresh = lambda unnamed: [int(f.sum()) for *_, f in block.scan(0, 3, full, none, 3, unnamed)]
     assert fresh(None) == fresh(full) == [4, 3, 2] and fresh(none) == [0, 0, 0]
+
+
+def test_few_bits_go_to_the_driver_in_few_bytes(spark):
+    hashes = np.random.default_rng(3).integers(0, 2**63, 500).astype(np.uint64)
+    rows = spark.createDataFrame([(c.REACHED, hashes[:300].tobytes()), (c.REACHED, hashes[300:].tobytes()), (c.UNNAMED, hashes[:1].tobytes())], "kind int, ones binary")
+    found = c.filled(rows, 22)
+    assert sum(len(data) for kind in found.values() for _, data in kind) < (1 << 22) // 8 // 4
+    assert Filter(22).with_segments(found[c.REACHED]).has(hashes).all()
+    one = Filter(22).with_segments(found[c.UNNAMED])
+    assert one.has(hashes[:1]).all() and one.has(hashes).sum() < 5
